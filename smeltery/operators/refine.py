@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,9 @@ from ..functions import all_hold, minutes_between, rule_columns
 from ..functions.predicates import Rules
 from .conform import ColumnSpec, early_columns, late_columns
 
+# A null test, or a comparison of a column with a number or another column.
+_PLAIN_RULE = re.compile(r"\w+\s+IS\s+NOT\s+NULL|\w+\s*(<|<=|>|>=|=)\s*(\w+|-?\d+(\.\d+)?)", re.I)
+
 
 def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
     """Keep the rows for which every rule is TRUE."""
@@ -20,10 +24,14 @@ def apply_rules(df: DataFrame, rules: Rules) -> DataFrame:
 def conform_and_filter(df: DataFrame, columns: Sequence[ColumnSpec], rules: Rules) -> DataFrame:
     """``apply_rules(conform(df, columns), rules)``, with the range tests pushed into the scan.
 
-    A narrowing cast keeps a comparison out of the parquet filter. So the rules run on the raw
-    columns first and again after the cast, which rejects the values the cast could not hold.
+    A narrowing cast keeps a comparison out of the parquet filter. So the plain comparisons among
+    the rules run on the raw columns first; all rules run after the cast, which also rejects the
+    values the cast could not hold.
     """
-    early = df.select(early_columns(df, columns)).where(all_hold(rules))
+    early = df.select(early_columns(df, columns))
+    plain = {n: r for n, r in rules.items() if isinstance(r, str) and _PLAIN_RULE.fullmatch(r.strip())}
+    if plain:
+        early = early.where(all_hold(plain))
     return early.select(late_columns(early, columns)).where(all_hold(rules))
 
 
@@ -71,8 +79,8 @@ def dedup(df: DataFrame, keys: Sequence[str], prefer: Sequence = ()) -> DataFram
     """
     if not keys:
         raise ValueError("at least one key column is needed")
-    order = [F.col(p) if isinstance(p, str) else p for p in prefer]
-    order += [F.col(c) for c in df.columns if c not in keys]
+    named = [p for p in prefer if isinstance(p, str)]
+    order = [*prefer, *[c for c in df.columns if c not in keys and c not in named]]
     if not order:
         return df.dropDuplicates(list(keys))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

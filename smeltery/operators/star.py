@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,14 +31,16 @@ def date_dim(df: DataFrame, column: str) -> DataFrame:
 
 
 def static_dim(spark: SparkSession, rows: Sequence[tuple], schema: Sequence[tuple[str, str]]) -> DataFrame:
-    """A small literal relation, as SQL VALUES: its size is known, so Spark may broadcast it."""
-    marks = ", ".join("(" + ", ".join("?" * len(schema)) + ")" for _ in rows)
-    names = ", ".join(f"`{n}`" for n, _ in schema)
-    picked = ", ".join(f"CAST(`{n}` AS {t}) AS `{n}`" for n, t in schema)
-    return spark.sql(
-        f"SELECT {picked} FROM VALUES {marks} AS t({names})",
-        args=[value for row in rows for value in row],
-    )
+    """A small literal relation.
+
+    Built from an Arrow table, which Spark keeps as a local relation of known size: joins may
+    broadcast it. A frame made from Python rows counts as infinitely large instead.
+    """
+    if not rows:
+        raise ValueError("at least one row is needed")
+    names = [name for name, _ in schema]
+    local = pa.Table.from_pylist([dict(zip(names, row, strict=True)) for row in rows])
+    return spark.createDataFrame(local).select(*[F.col(n).cast(t).alias(n) for n, t in schema])
 
 
 def attribute_dim(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:

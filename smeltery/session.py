@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,28 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     return builder.getOrCreate()
 
 
+@contextmanager
+def overriding(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Change runtime settings for the actions inside the block, then put them back."""
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@contextmanager
+def listing_folders(spark: SparkSession) -> Iterator[None]:
+    """Keep the job that lists a table's folders to a few tasks per core, not one per folder."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    tasks = min(int(spark.conf.get(key)), 4 * spark.sparkContext.defaultParallelism)
+    with overriding(spark, {key: str(tasks)}):
+        yield
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder all executors share.
 

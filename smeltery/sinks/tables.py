@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from ..session import listing_folders, overriding
+
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a namespace unless it exists; ``location`` is a shared folder for its tables."""
@@ -13,23 +19,26 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{place}")
 
 
-def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring rows of a partition value together before a partitioned write.
+@contextmanager
+def partitioned_writer(df: DataFrame, partition_by: Sequence[str]) -> Iterator[DataFrameWriter]:
+    """A parquet writer that brings the rows of a partition value together first.
 
     A plain repartition would hand a hot date to one task. The rebalance hint lets adaptive
-    execution split such a partition by size and merge small ones.
+    execution split such a date by size. Merging small shuffle partitions is turned off meanwhile:
+    a date lands in one file either way, and merged tasks would only write them one by one.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
-
-
-def writer(df: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
-    out = laid_out(df, partition_by).write.format("parquet").mode("overwrite")
-    return out.partitionBy(*partition_by) if partition_by else out
+    spark = df.sparkSession
+    if not partition_by:
+        yield df.write.format("parquet")
+        return
+    with overriding(spark, {_COALESCE: "false"}), listing_folders(spark):
+        yield df.hint("rebalance", *partition_by).write.format("parquet")
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Create the table or replace it whole; running it again gives the same table."""
-    writer(df, partition_by).saveAsTable(name)
+    with partitioned_writer(df, partition_by) as out:
+        out.partitionBy(*partition_by).mode("overwrite").saveAsTable(name)
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:
@@ -39,8 +48,11 @@ def replace_partitions(df: DataFrame, name: str) -> None:
     partition_by = [c.name for c in info if c.isPartition]
     if not partition_by:
         raise ValueError(f"{name} is not partitioned")
-    ordered = laid_out(df.select(*[c.name for c in info]), partition_by)
-    ordered.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    ordered = df.select(*[c.name for c in info])
+    # insertInto takes the overwrite mode from the session only.
+    with overriding(spark, {_OVERWRITE_MODE: "dynamic"}):
+        with partitioned_writer(ordered, partition_by) as out:
+            out.insertInto(name, overwrite=True)
 
 
 def materialise(

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import ensure_namespace, writer
+from ..session import listing_folders
+from .tables import ensure_namespace, partitioned_writer
 
 _LOG_SCHEMA = (
     "table_name string, version int, committed_at timestamp, row_count bigint, "
@@ -46,6 +47,11 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], _LOG_SCHEMA)
 
 
+def _open(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    with listing_folders(spark):
+        return spark.read.schema(schema).parquet(path)
+
+
 def history(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
     """One row per publish: table, version, time, rows and path."""
     log = _log(spark, root).drop("schema_json")
@@ -58,12 +64,13 @@ def stage(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()
     latest = _log(spark, root).where(F.col("table_name") == table).agg(F.max("version")).first()[0]
     version = (latest or 0) + 1
     path = f"{root.rstrip('/')}/{table}/version-{version:06d}"
-    writer(df, partition_by).save(path)
+    with partitioned_writer(df, partition_by) as out:
+        out.partitionBy(*partition_by).mode("overwrite").save(path)
     # A relation read from files can hold NULL anywhere, and partition columns come last.
     fields = [f for f in df.schema if f.name not in partition_by]
     fields += [df.schema[name] for name in partition_by]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    return Staged(table, version, path, spark.read.schema(schema).parquet(path).select(df.columns))
+    return Staged(table, version, path, _open(spark, path, schema).select(df.columns))
 
 
 def commit(spark: SparkSession, root: str, *staged: Staged) -> None:
@@ -103,7 +110,7 @@ def _resolve(spark: SparkSession, root: str, table: str, version: int | None) ->
 def read_version(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     """The current version of a table, or an older one."""
     path, schema = _resolve(spark, root, table, version)
-    return spark.read.schema(schema).parquet(path).select(schema.names)
+    return _open(spark, path, schema).select(schema.names)
 
 
 def expose(spark: SparkSession, root: str, tables: Mapping[str, str]) -> None:
