@@ -16,16 +16,18 @@ _MAX_UNITS = 2**50
 
 
 def units(amount: Column, decimals: int = UNIT_DECIMALS) -> Column:
-    """``amount`` as a count of 10^-decimals; NULL for NaN, infinities and huge values."""
-    scale = float(10**decimals)
-    value = amount.cast("double")
-    return F.when(F.abs(value) <= _MAX_UNITS / scale, F.rint(value * scale).cast("bigint"))
+    """``amount`` as the nearest count of 10^-decimals. Only to be used where ``is_exact`` holds:
+    NaN, infinities and huge values give some number, not an error."""
+    return F.floor(amount.cast("double") * F.lit(float(10**decimals)) + F.lit(0.5))
 
 
 def is_exact(amount: Column, decimals: int = UNIT_DECIMALS) -> Column:
-    """TRUE when the double is precisely the one nearest to its unit count."""
-    back = units(amount, decimals).cast("double") / F.lit(float(10**decimals))
-    return F.coalesce(back == amount.cast("double"), F.lit(False))
+    """TRUE when the double is precisely the one nearest to its unit count; NULL for NULL."""
+    scale = float(10**decimals)
+    value = amount.cast("double")
+    back = units(amount, decimals).cast("double") / F.lit(scale)
+    # NaN counts as greater than the bound.
+    return (F.abs(value) <= _MAX_UNITS / scale) & (back == value)
 
 
 def half_up_quotient(numerator: Column, divisor: Column) -> Column:

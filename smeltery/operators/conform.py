@@ -51,13 +51,27 @@ def convert(column: Column, source: str, target: str | None) -> Column:
         return column
     if _widens(source, target):
         return column.cast(target)
+    if target in _INTEGRAL and (source in _INTEGRAL or source in ("float", "double")):
+        # A range test, since a failing try_cast costs an exception per value.
+        return F.when(_fits(column, source, target), column.cast(target))
     if source == "string" and target in _INTEGRAL:
         # '7.9' counts as 7: the fraction of a well-formed number is cut, not rejected.
         whole = F.regexp_extract(F.trim(column), r"^([+-]?\d+)\.\d*$", 1)
-        return F.coalesce(column.try_cast(target), whole.try_cast(target))
+        return F.coalesce(column.try_cast(target), F.nullif(whole, F.lit("")).try_cast(target))
     return column.try_cast(target)
 
 
+def _fits(column: Column, source: str, target: str) -> Column:
+    """The value, cut to a whole number, lies in the range of ``target``. FALSE for NaN."""
+    high = 2 ** (8 * _INTEGRAL[target] - 1)
+    if source in _INTEGRAL:
+        return column.between(-high, high - 1)
+    value = column.cast("double")
+    # -2^63 - 1 is no double of its own.
+    above = value >= float(-high) if target == "bigint" else value > float(-high - 1)
+    return above & (value < float(high))
+
+
 def conform(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """Select, rename and cast the listed columns; a missing one fails at analysis."""
     specs = [_spec(c) for c in columns]

@@ -47,7 +47,7 @@ def _first_parts(columns: Sequence[str]) -> list[Column]:
             F.try_sum(units(c)).alias(f"_units{i}"),
             F.sum(c.cast("double")).alias(f"_sum{i}"),
             F.count(c).alias(f"_count{i}"),
-            F.count_if(c.isNotNull() & ~is_exact(c)).alias(f"_odd{i}"),
+            F.bool_and(is_exact(c)).alias(f"_exact{i}"),
         ]
     return parts
 
@@ -55,13 +55,13 @@ def _first_parts(columns: Sequence[str]) -> list[Column]:
 def _merged_parts(columns: Sequence[str]) -> list[Column]:
     parts = [F.sum("_rows").alias("_rows")]
     for i in range(len(columns)):
-        # A unit sum that overflowed is NULL and would vanish from the next sum: count it as odd.
-        overflowed = F.when(F.col(f"_units{i}").isNull(), F.col(f"_count{i}")).otherwise(0)
+        # A unit sum that overflowed is NULL and would vanish from the next sum.
+        kept = F.col(f"_units{i}").isNotNull() | (F.col(f"_count{i}") == 0)
         parts += [
             F.try_sum(f"_units{i}").alias(f"_units{i}"),
             F.sum(f"_sum{i}").alias(f"_sum{i}"),
             F.sum(f"_count{i}").alias(f"_count{i}"),
-            F.sum(F.col(f"_odd{i}") + overflowed).alias(f"_odd{i}"),
+            F.bool_and(F.col(f"_exact{i}") & kept).alias(f"_exact{i}"),
         ]
     return parts
 
@@ -78,7 +78,7 @@ def _finish(measure: Measure, columns: Sequence[str]) -> Column:
         divisor = divisor * F.greatest(count, F.lit(1))
         plain = plain / F.greatest(count, F.lit(1))
     exact = half_up_quotient(whole, divisor) / F.lit(float(10**measure.decimals))
-    rounded = F.when((F.col(f"_odd{i}") == 0) & whole.isNotNull(), exact).otherwise(
+    rounded = F.when(F.col(f"_exact{i}") & whole.isNotNull(), exact).otherwise(
         F.round(plain, measure.decimals)
     )
     return F.when(count > 0, rounded).alias(measure.name)

@@ -83,6 +83,10 @@ SELECT payment_description, count(*) AS trip_count, {_total('total_amount')} AS
        {_mean('tip_amount')} AS avg_tip
 FROM trips JOIN dim_payment USING (payment_type) GROUP BY payment_description"""
 
+_ONE_PER_KEY = """row_number() OVER (
+  PARTITION BY vendor_id, pickup_at, dropoff_at, pickup_location_id, dropoff_location_id
+  ORDER BY passenger_count, trip_distance, payment_type, fare_amount, tip_amount, total_amount) = 1"""
+
 _CLEAN_COLUMNS = """vendor_id, pickup_at, dropoff_at, passenger_count, trip_distance,
        pickup_location_id, dropoff_location_id, payment_type, fare_amount, tip_amount, total_amount"""
 
@@ -154,10 +158,7 @@ SQL = {
         ]
     ),
     "clean_trips": f"""WITH {_TRIPS}
-SELECT {_CLEAN_COLUMNS}, pickup_date, trip_duration_minutes FROM trips
-QUALIFY row_number() OVER (
-  PARTITION BY vendor_id, pickup_at, dropoff_at, pickup_location_id, dropoff_location_id
-  ORDER BY passenger_count, trip_distance, payment_type, fare_amount, tip_amount, total_amount) = 1""",
+SELECT {_CLEAN_COLUMNS}, pickup_date, trip_duration_minutes FROM trips QUALIFY {_ONE_PER_KEY}""",
     "rule_rejects": f"WITH {_RAW}\n"
     + _union(
         *[
@@ -257,5 +258,7 @@ SELECT 'fact_trips' AS table_name, 1 AS version, count(*) AS row_count FROM fact
 WHERE pickup_date < DATE '1998-01-01'
 UNION ALL SELECT 'fact_trips', 2, count(*) FROM fact""",
     "read_old_version": f"WITH {_FACT} SELECT * FROM fact WHERE pickup_date < DATE '1998-01-01'",
-    "layered_daily_revenue": f"WITH {_TRIPS} {_DAILY}",
+    # The layers de-duplicate: sf0.001 and sf0.1 each hold one repeated trip key.
+    "layered_daily_revenue": f"WITH {_TRIPS.replace('trips AS', 'valid AS')}, "
+    f"trips AS (SELECT * FROM valid QUALIFY {_ONE_PER_KEY}) {_DAILY}",
 }

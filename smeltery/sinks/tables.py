@@ -26,6 +26,9 @@ def partitioned_writer(df: DataFrame, partition_by: Sequence[str]) -> Iterator[D
     A plain repartition would hand a hot date to one task. The rebalance hint lets adaptive
     execution split such a date by size. Merging small shuffle partitions is turned off meanwhile:
     a date lands in one file either way, and merged tasks would only write them one by one.
+
+    A date that hashes to the same shuffle partition as a hot one is split with it into more files.
+    Many more shuffle partitions than dates make that rare.
     """
     spark = df.sparkSession
     if not partition_by:

@@ -99,6 +99,23 @@ def test_values_that_do_not_fit_become_null_and_are_counted(spark):
     assert losses == {"s": 1, "d": 2, "b": 1}
 
 
+def test_range_ends(spark):
+    doubles = [2147483647.9, 2147483648.0, -2147483648.9, -2147483649.0, 2.0**63, -(2.0**63), 0.0]
+    df = spark.createDataFrame([(v,) for v in doubles], "d double")
+    got = [tuple(r) for r in conform(df, [("d", "i", "int"), ("d", "b", "bigint")]).collect()]
+    assert got == [
+        (2147483647, 2147483647),
+        (None, 2147483648),
+        (-2147483648, -2147483648),
+        (None, -2147483649),
+        (None, None),
+        (None, -(2**63)),
+        (0, 0),
+    ]
+    whole = spark.createDataFrame([(v,) for v in (127, 128, -128, -129, None)], "v bigint")
+    assert [r.v for r in conform(whole, [("v", "tinyint")]).collect()] == [127, None, -128, None, None]
+
+
 def test_rename_and_keep_type(spark):
     df = conform(spark.range(2), [("id", "key", None), ("id", "small", "int")])
     assert df.dtypes == [("key", "bigint"), ("small", "int")]
