@@ -37,8 +37,16 @@ def load_bronze(
     publish(read_csv_strings(spark, zone_csv, T.ZONE_FILE_COLUMNS), store, "bronze_zones")
 
 
-def build_silver(spark: SparkSession, store: str, columns=T.REFINED_COLUMNS, rules=T.RULES) -> None:
-    bronze = read_version(spark, store, "bronze_trips")
+def build_silver(
+    spark: SparkSession,
+    store: str,
+    columns=T.REFINED_COLUMNS,
+    rules=T.RULES,
+    bronze: DataFrame | None = None,
+) -> None:
+    """From the published bronze trips, or from ``bronze`` such as an incremental ingest target."""
+    if bronze is None:
+        bronze = read_version(spark, store, "bronze_trips")
     publish(T.clean_trips(bronze, columns, rules), store, "silver_trips", ["pickup_date"])
 
 

@@ -7,9 +7,11 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Runtime settings every job wants. Master, memory and executor counts come from spark-submit.
+# Settings every job wants unless spark-submit or spark-defaults name others. Master, memory,
+# executors and shuffle partitions are theirs to name.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -25,7 +27,11 @@ _local_folders: dict[str, str] = {}
 
 def build_session(app_name: str, settings: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**DEFAULTS, **(settings or {})}.items():
+    given = SparkConf()
+    for key, value in DEFAULTS.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    for key, value in (settings or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 from functools import reduce
 from typing import NamedTuple
 
@@ -97,26 +98,41 @@ def publish(df: DataFrame, root: str, table: str, partition_by: Sequence[str] =
     return staged.frame
 
 
-def _resolve(spark: SparkSession, root: str, table: str, version: int | None) -> tuple[str, T.StructType]:
+def _resolve(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    version: int | None = None,
+    as_of: datetime | None = None,
+) -> tuple[str, T.StructType]:
     rows = _log(spark, root).where(F.col("table_name") == table)
     if version is not None:
         rows = rows.where(F.col("version") == version)
+    if as_of is not None:
+        rows = rows.where(F.col("committed_at") <= F.lit(as_of))
     row = rows.orderBy(F.desc("version")).first()
     if row is None:
-        raise ValueError(f"{table} has no version {version if version is not None else 'yet'}")
+        wanted = version if version is not None else as_of
+        raise ValueError(f"{table} has no version" + (f" {wanted}" if wanted is not None else ""))
     return row.path, T.StructType.fromJson(json.loads(row.schema_json))
 
 
-def read_version(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
-    """The current version of a table, or an older one."""
-    path, schema = _resolve(spark, root, table, version)
+def read_version(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    version: int | None = None,
+    as_of: datetime | None = None,
+) -> DataFrame:
+    """The current version of a table, a numbered one, or the one current at a moment."""
+    path, schema = _resolve(spark, root, table, version, as_of)
     return _open(spark, path, schema).select(schema.names)
 
 
 def expose(spark: SparkSession, root: str, tables: Mapping[str, str]) -> None:
     """Point catalog views (``namespace.table``) at the current versions, for ad-hoc SQL."""
     for table, view in tables.items():
-        path, schema = _resolve(spark, root, table, None)
+        path, schema = _resolve(spark, root, table)
         if "." in view:
             ensure_namespace(spark, view.rsplit(".", 1)[0])
         picked = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)

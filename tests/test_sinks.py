@@ -1,4 +1,5 @@
 import os
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,10 @@ def test_versions_are_logged_and_readable(spark, days):
     assert rows(read_version(spark, store, "t")) == rows(days)
     assert read_version(spark, store, "t").dtypes == days.dtypes
     assert rows(read_version(spark, store, "t", 1)) == rows(days.where("id < 10"))
+    assert read_version(spark, store, "t", as_of=log[0].committed_at).count() == 10
+    assert read_version(spark, store, "t", as_of=log[1].committed_at).count() == 300
+    with pytest.raises(ValueError):
+        read_version(spark, store, "t", as_of=log[0].committed_at - timedelta(seconds=1))
     with pytest.raises(ValueError):
         read_version(spark, store, "t", 3)
 
