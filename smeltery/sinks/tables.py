@@ -20,7 +20,9 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 @contextmanager
-def partitioned_writer(df: DataFrame, partition_by: Sequence[str]) -> Iterator[DataFrameWriter]:
+def partitioned_writer(
+    df: DataFrame, partition_by: Sequence[str], shuffle: bool = True
+) -> Iterator[DataFrameWriter]:
     """A parquet writer that brings the rows of a partition value together first.
 
     A plain repartition would hand a hot date to one task. The rebalance hint lets adaptive
@@ -29,13 +31,16 @@ def partitioned_writer(df: DataFrame, partition_by: Sequence[str]) -> Iterator[D
 
     A date that hashes to the same shuffle partition as a hot one is split with it into more files.
     Many more shuffle partitions than dates make that rare.
+
+    ``shuffle=False`` is for rows that lie together already, as when they are read from a table
+    partitioned alike: each task then writes the few dates it read, and nothing is exchanged.
     """
     spark = df.sparkSession
     if not partition_by:
         yield df.write.format("parquet")
         return
     with overriding(spark, {_COALESCE: "false"}), listing_folders(spark):
-        yield df.hint("rebalance", *partition_by).write.format("parquet")
+        yield (df.hint("rebalance", *partition_by) if shuffle else df).write.format("parquet")
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:

@@ -45,7 +45,8 @@ def _log(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _LOG_SCHEMA)
+        fields = T.StructType.fromDDL(_LOG_SCHEMA)
+        return spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def _open(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -59,13 +60,18 @@ def history(spark: SparkSession, root: str, table: str | None = None) -> DataFra
     return log.where(F.col("table_name") == table) if table else log
 
 
-def stage(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> Staged:
-    """Write the next version without making it current. A rerun after a failure writes over it."""
+def stage(
+    df: DataFrame, root: str, table: str, partition_by: Sequence[str] = (), shuffle: bool = True
+) -> Staged:
+    """Write the next version without making it current. A rerun after a failure writes over it.
+
+    ``shuffle=False`` keeps the layout ``df`` has, see ``partitioned_writer``.
+    """
     spark = df.sparkSession
     latest = _log(spark, root).where(F.col("table_name") == table).agg(F.max("version")).first()[0]
     version = (latest or 0) + 1
     path = f"{root.rstrip('/')}/{table}/version-{version:06d}"
-    with partitioned_writer(df, partition_by) as out:
+    with partitioned_writer(df, partition_by, shuffle) as out:
         out.partitionBy(*partition_by).mode("overwrite").save(path)
     # A relation read from files can hold NULL anywhere, and partition columns come last.
     fields = [f for f in df.schema if f.name not in partition_by]

@@ -18,6 +18,7 @@ from smeltery.sinks import (
     stage,
 )
 from smeltery.sources import count_rows, declare_sources, read_table
+from tests_support import plan_of
 
 
 @pytest.fixture
@@ -100,6 +101,19 @@ def test_hot_date_is_split_over_tasks(spark, skewed):
     assert max(hot) < sum(hot) / 3
 
 
+def test_a_table_laid_out_alike_is_copied_without_a_shuffle(spark, skewed):
+    """Few files per date and a split hot date carry over, and the write has no exchange."""
+    store = work_folder(spark, "store")
+    with overriding(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}):
+        first = publish(skewed, store, "first", ["day"])
+    files = rows_per_file(first)
+    second = stage(first.withColumn("x", F.col("x") + 0), store, "second", ["day"], shuffle=False).frame
+    copied = rows_per_file(second)
+    assert rows(second) == rows(skewed)
+    assert len(copied) <= len(files)
+    assert "Exchange" not in plan_of(first.withColumn("x", F.col("x") + 0))
+
+
 def test_dates_of_common_size_get_one_file_each(spark, skewed):
     stored = publish(skewed, work_folder(spark, "store"), "even", ["day"])
     files = rows_per_file(stored)
