@@ -20,8 +20,13 @@ def _spec(column: ColumnSpec) -> tuple[str, str, str | None]:
     return column
 
 
-def _dtype(df: DataFrame, name: str) -> str:
-    return df.select(name).schema[0].dataType.simpleString()
+def _types(df: DataFrame, names: Iterable[str]) -> dict[str, str]:
+    """Types of the named columns, resolved as Spark would; a missing one fails at analysis."""
+    known = dict(df.dtypes)
+    if all(n in known for n in names):
+        return known
+    names = list(names)
+    return dict(zip(names, (t for _, t in df.select(*names).dtypes)))
 
 
 def _widens(source: str, target: str) -> bool:
@@ -77,9 +82,8 @@ def conform(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     specs = [_spec(c) for c in columns]
     if not specs:
         raise ValueError("the column list is empty")
-    return df.select(
-        [convert(F.col(s), _dtype(df, s), t).alias(n) for s, n, t in specs]
-    )
+    types = _types(df, [s for s, _, _ in specs])
+    return df.select([convert(F.col(s), types[s], t).alias(n) for s, n, t in specs])
 
 
 def union_conformed(frames: Iterable[DataFrame]) -> DataFrame:
@@ -93,9 +97,10 @@ def union_conformed(frames: Iterable[DataFrame]) -> DataFrame:
 def cast_losses(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """Per column, how many non-null values the declared type cannot hold. One pass."""
     specs = [_spec(c) for c in columns]
+    types = _types(df, [s for s, _, _ in specs])
     counted = df.agg(
         *[
-            F.count_if(F.col(s).isNotNull() & convert(F.col(s), _dtype(df, s), t).isNull()).alias(n)
+            F.count_if(F.col(s).isNotNull() & convert(F.col(s), types[s], t).isNull()).alias(n)
             for s, n, t in specs
         ]
     )
@@ -112,18 +117,19 @@ def stamp_ingested(df: DataFrame, column: str = "_ingested_at") -> DataFrame:
 
 def early_columns(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
     """The target columns, still raw where comparing raw values is safe."""
+    specs = [_spec(c) for c in columns]
+    types = _types(df, [s for s, _, _ in specs])
     picked = []
-    for source, name, target in map(_spec, columns):
-        dtype = _dtype(df, source)
-        raw = F.col(source)
+    for source, name, target in specs:
+        raw, dtype = F.col(source), types[source]
         picked.append((raw if keeps_order(dtype, target) else convert(raw, dtype, target)).alias(name))
     return picked
 
 
 def late_columns(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
     """The target columns cast from the frame ``early_columns`` made."""
+    types = dict(df.dtypes)
     return [
-        convert(F.col(name), _dtype(df, name), target).alias(name)
-        for _, name, target in map(_spec, columns)
+        convert(F.col(name), types[name], target).alias(name) for _, name, target in map(_spec, columns)
     ]
 
