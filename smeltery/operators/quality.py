@@ -60,8 +60,9 @@ def unique(*columns: str) -> Check:
 def orphans(fact: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
     """Keys of ``fact`` without a partner in ``dim``, with their number of rows.
 
-    ``keys`` pairs fact and dim columns. The fact is counted per key first, so the anti join sees
-    each key once, whatever share of the rows one key holds.
+    ``keys`` pairs fact and dim columns. The fact is counted per key, so the anti join with a large
+    dimension sees each key once, whatever share of the rows one key holds. If the dimension is
+    small enough to broadcast, Spark drops the matching rows in the map tasks before counting.
     """
     counted = fact.groupBy(*[F.col(f).alias(f) for f, _ in keys]).agg(
         F.count(F.lit(1)).alias("orphan_rows")

@@ -15,6 +15,7 @@ from smeltery.operators import (
     references,
     unique,
 )
+from smeltery.session import overriding
 from tests_support import plan_of
 
 
@@ -83,6 +84,18 @@ def test_orphan_keys_with_counts(spark, dim):
     assert got == {None: 40, 0: 20, 3: 20}
 
 
+def test_large_dimensions_see_grouped_keys(spark):
+    """Without a broadcast the fact is counted per key before the join, and not shuffled again."""
+    fact = spark.range(7 * 143).select((F.col("id") % 7).alias("k"))
+    known = spark.range(5).select(F.col("id").alias("key"))
+    with overriding(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        result = orphans(fact, known, [("k", "key")])
+        tree = plan_of(result).split("\n\n")[0]
+        assert {tuple(r) for r in result.collect()} == {(5, 143), (6, 143)}
+    assert tree.index("SortMergeJoin") < tree.index("HashAggregate")
+    assert tree.count("Exchange") == 2
+
+
 def test_orphans_on_two_columns(spark):
     fact = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a")], "x int, y string")
     dim = spark.createDataFrame([(1, "a")], "p int, q string")
