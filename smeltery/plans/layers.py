@@ -107,5 +107,5 @@ def build_all(
 
 
 def expose_views(spark: SparkSession, store: str) -> None:
-    """Catalog views over the current gold tables and marts."""
-    expose(spark, store, VIEWS)
+    """Catalog views over the current gold tables and marts, and over the history of all tables."""
+    expose(spark, store, VIEWS, "gold.snapshots")

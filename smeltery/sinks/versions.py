@@ -135,11 +135,25 @@ def read_version(
     return _open(spark, path, schema).select(schema.names)
 
 
-def expose(spark: SparkSession, root: str, tables: Mapping[str, str]) -> None:
-    """Point catalog views (``namespace.table``) at the current versions, for ad-hoc SQL."""
+def _view_namespace(spark: SparkSession, view: str) -> None:
+    if "." in view:
+        ensure_namespace(spark, view.rsplit(".", 1)[0])
+
+
+def expose(
+    spark: SparkSession, root: str, tables: Mapping[str, str], log_view: str | None = None
+) -> None:
+    """Point catalog views (``namespace.table``) at the current versions, for ad-hoc SQL.
+
+    ``log_view`` names a view on the history of all tables, which needs no renewal. Views outlive
+    the session if the catalog does.
+    """
     for table, view in tables.items():
         path, schema = _resolve(spark, root, table)
-        if "." in view:
-            ensure_namespace(spark, view.rsplit(".", 1)[0])
+        _view_namespace(spark, view)
         picked = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {picked} FROM parquet.`{path}`")
+    if log_view:
+        _view_namespace(spark, log_view)
+        picked = ", ".join(history(spark, root).columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {log_view} AS SELECT {picked} FROM parquet.`{_log_path(root)}`")

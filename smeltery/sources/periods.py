@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +37,12 @@ def read_period(spark: SparkSession, path: str, columns: Sequence[ColumnSpec]) -
     return conform(spark.read.parquet(path), columns)
 
 
-def _needed(schema: T.StructType, names: Sequence[str], path: str) -> T.StructType:
-    found = {f.name.lower(): f for f in schema}
-    missing = [n for n in names if n.lower() not in found]
+def _needed(schema: T.StructType, names: Sequence[str], path: str, fold: Callable) -> T.StructType:
+    found = {fold(f.name): f for f in schema}
+    missing = [n for n in names if fold(n) not in found]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
-    return T.StructType([T.StructField(n, found[n.lower()].dataType) for n in names])
+    return T.StructType([T.StructField(n, found[fold(n)].dataType) for n in names])
 
 
 def read_periods(spark: SparkSession, paths: Sequence[str], columns: Sequence[ColumnSpec]) -> DataFrame:
@@ -54,10 +54,11 @@ def read_periods(spark: SparkSession, paths: Sequence[str], columns: Sequence[Co
     """
     if not paths:
         raise ValueError("nothing to read: the list of periods is empty")
-    names = [c[0] for c in columns]
+    names = list(dict.fromkeys(c[0] for c in columns))
+    fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
 
     def types_of(path: str) -> T.StructType:
-        return _needed(spark.read.parquet(path).schema, names, path)
+        return _needed(spark.read.parquet(path).schema, names, path, fold)
 
     with ThreadPoolExecutor(_FOOTER_JOBS) as pool:
         schemas = list(pool.map(types_of, paths))

@@ -10,6 +10,7 @@ from smeltery.operators import (
     stamp_ingested,
     union_conformed,
 )
+from smeltery.session import overriding
 from smeltery.sources import (
     list_periods,
     period_path,
@@ -67,6 +68,13 @@ def test_missing_column_is_an_error(spark, drifting):
         conform(spark.range(1), [("other", "int")])
 
 
+def test_case_counts_where_the_session_says_so(spark, drifting):
+    with overriding(spark, {"spark.sql.caseSensitive": "true"}):
+        assert read_periods(spark, drifting[:3], COLUMNS).count() == 30
+        with pytest.raises(ValueError, match="2023-04"):
+            read_periods(spark, drifting, COLUMNS)
+
+
 def test_no_periods_is_an_error(spark):
     for attempt in (lambda: read_periods(spark, [], COLUMNS), lambda: union_conformed([])):
         with pytest.raises(ValueError):

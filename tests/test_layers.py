@@ -45,6 +45,8 @@ def test_all_layers(spark, landed):
         GROUP BY z.borough ORDER BY trips DESC, z.borough"""
     )
     assert [tuple(r) for r in ranking.collect()] == [("Bronx", 2), ("Queens", 2)]
+    log = spark.sql("SELECT * FROM gold.snapshots WHERE table_name = 'fact_trips'").collect()
+    assert [(r.version, r.row_count) for r in log] == [(1, 4)]
     assert spark.sql("SELECT sum(trip_count) FROM analytics.payment_breakdown").first()[0] == 4
 
 
