@@ -308,7 +308,11 @@ def dq_report(spark, sf_dir):
     return combine(
         [
             audit("fact_trips", T.trip_fact(trips), checks),
-            audit("dim_zone", _zones(spark, sf_dir), [non_empty(), unique("borough", "zone"), unique("borough")]),
+            audit(
+                "dim_zone",
+                _zones(spark, sf_dir),
+                [non_empty(), unique("borough", "zone"), unique("borough")],
+            ),
             audit("customer", table(spark, sf_dir, "customer"), [non_negative("c_acctbal")]),
         ]
     )

@@ -11,13 +11,16 @@ from pyspark.sql import types as T
 
 from ..operators.conform import ColumnSpec, conform, union_conformed
 
+# Fixed value: how landed files are named.
+_LANDED_FILE = "{dataset}/{dataset}_tripdata_{period}.parquet"
+
 # Footers are read by one-task jobs; this many run at a time.
 _FOOTER_JOBS = 16
 
 
 def period_path(root: str, dataset: str, period: str) -> str:
     """Landing path of one dataset and period such as ``2023-01``."""
-    return f"{root.rstrip('/')}/{dataset}/{dataset}_tripdata_{period}.parquet"
+    return f"{root.rstrip('/')}/{_LANDED_FILE.format(dataset=dataset, period=period)}"
 
 
 def list_periods(spark: SparkSession, root: str) -> list[str]:

@@ -87,7 +87,7 @@ def main() -> int:
         except Exception as error:  # report and go on with the other queries
             found = [f"{type(error).__name__}: {str(error)[:1500]}"]
         bad += bool(found)
-        print(f"{'ok  ' if not found else 'DIFF'} {name} {time.time() - start:.2f}s", *found, sep="\n     " if found else " ")
+        print(f"{'DIFF' if found else 'ok  '} {name} {time.time() - start:.2f}s", *found, sep="\n     ")
     print(f"{bad} queries differ")
     return bad
 

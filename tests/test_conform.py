@@ -26,7 +26,8 @@ COLUMNS = [("id", "bigint"), ("n", "bigint"), ("x", "double")]
 def drifting(spark, tmp_path):
     """Five periods with four sets of physical types, one of them under other letter case."""
     frames = {
-        "2023-01": "SELECT CAST(id AS INT) AS id, id % 5 AS n, CAST(id AS DOUBLE) AS x, 'extra' AS e FROM range(10)",
+        "2023-01": "SELECT CAST(id AS INT) AS id, id % 5 AS n, CAST(id AS DOUBLE) AS x, 'e' AS e "
+        "FROM range(10)",
         "2023-02": "SELECT id, CAST(id % 5 AS DOUBLE) AS n, CAST(id AS DOUBLE) AS x FROM range(10, 20)",
         "2023-03": "SELECT CAST(id AS DOUBLE) AS x, id, CAST(id % 5 AS INT) AS n FROM range(20, 30)",
         "2023-04": "SELECT id AS ID, CAST(id % 5 AS DOUBLE) AS N, CAST(id AS DOUBLE) AS X FROM range(30, 40)",

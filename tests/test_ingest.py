@@ -15,7 +15,8 @@ def places(spark):
 
 
 def land(spark, folder, name, first, last, kind="bigint"):
-    df = spark.range(first, last, numPartitions=1).selectExpr("id", f"CAST(id % 7 AS {kind}) AS n", "'x' AS extra")
+    ids = spark.range(first, last, numPartitions=1)
+    df = ids.selectExpr("id", f"CAST(id % 7 AS {kind}) AS n", "'x' AS extra")
     df.write.parquet(f"{folder}/{name}")
 
 

@@ -26,8 +26,8 @@ def landed(spark, tmp_path):
 
 def test_all_layers(spark, landed):
     store = work_folder(spark, "store")
-    daily = layers.build_all(spark, store, *landed)
-    assert [(str(r.pickup_date), r.trip_count, r.total_revenue) for r in daily.orderBy("pickup_date").collect()] == [
+    daily = layers.build_all(spark, store, *landed).orderBy("pickup_date").collect()
+    assert [(str(r.pickup_date), r.trip_count, r.total_revenue) for r in daily] == [
         ("2023-01-01", 1, 13.0),
         ("2023-01-02", 1, 13.0),
         ("2023-01-03", 1, 13.0),
