@@ -301,13 +301,20 @@ def dq_unique(spark, sf_dir):
     return duplicates(table(spark, sf_dir, "lineitem"), LINE_KEY)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """The frame read back from the shared folder, so that several checks do not compute it anew."""
+    path = work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dq_report(spark, sf_dir):
     """The gate's checks on the gold tables, with checks that fail among them."""
-    trips = valid_trips(spark, sf_dir)
-    checks = T.fact_checks(_few_payments(spark), T.trip_date_dim(trips))
+    facts = _written(T.trip_fact(valid_trips(spark, sf_dir)), "fact")
+    checks = T.fact_checks(_few_payments(spark), T.trip_date_dim(facts))
     return combine(
         [
-            audit("fact_trips", T.trip_fact(trips), checks),
+            audit("fact_trips", facts, checks),
             audit(
                 "dim_zone",
                 _zones(spark, sf_dir),
@@ -319,13 +326,16 @@ def dq_report(spark, sf_dir):
 
 
 def mart_tests(spark, sf_dir):
-    trips = valid_trips(spark, sf_dir)
+    """The column tests of the three marts."""
+    facts = _written(T.trip_fact(valid_trips(spark, sf_dir)), "fact")
     marts = {
-        "daily_revenue": T.daily_revenue(trips),
-        "top_pickup_zones": T.top_pickup_zones(trips, _zones(spark, sf_dir)),
-        "payment_breakdown": T.payment_breakdown(trips, T.payment_dim(spark)),
+        "daily_revenue": T.daily_revenue(facts),
+        "top_pickup_zones": T.top_pickup_zones(facts, _zones(spark, sf_dir)),
+        "payment_breakdown": T.payment_breakdown(facts, T.payment_dim(spark)),
     }
-    return combine([audit(name, mart, T.MART_CHECKS[name]) for name, mart in marts.items()])
+    return combine(
+        [audit(name, _written(mart, name), T.MART_CHECKS[name]) for name, mart in marts.items()]
+    )
 
 
 def csv_dim_roundtrip(spark, sf_dir):
