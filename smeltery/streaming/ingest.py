@@ -20,12 +20,14 @@ def ingest_new_files(
     columns: Sequence[ColumnSpec],
     max_files_per_batch: int = 1000,
     stamp: bool = True,
+    uniform_folders: bool = False,
 ) -> None:
     """Conform the files that landed below ``source`` since the last run and add them to ``target``.
 
     The stream carries file names only, so files of differing types can share a run; each batch is
     read with the period reader. The checkpoint remembers the files, and a batch owns the folder it
-    writes, so a batch that is run again replaces its own output.
+    writes, so a batch that is run again replaces its own output. For a backlog of very many files
+    raise ``max_files_per_batch`` and, where it holds, set ``uniform_folders`` (see ``read_periods``).
     """
     landed = (
         spark.readStream.format("binaryFile")
@@ -44,7 +46,7 @@ def ingest_new_files(
         paths = sorted(row.path for row in batch.collect())
         if not paths:
             return
-        rows = read_periods(batch.sparkSession, paths, columns)
+        rows = read_periods(batch.sparkSession, paths, columns, uniform_folders)
         rows = stamp_ingested(rows) if stamp else rows
         rows.write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
 

@@ -48,6 +48,19 @@ def test_small_batches_take_everything(spark, places):
     assert ids(spark, target) == list(range(70))
 
 
+def test_one_footer_per_folder(spark, places):
+    """Files of a folder share a schema, folders differ."""
+    landing, target, offsets = places
+    for i, kind in enumerate(["bigint", "double", "int"]):
+        wide = spark.range(i * 40, i * 40 + 40, numPartitions=4)
+        wide.selectExpr("id", f"CAST(id % 7 AS {kind}) AS n").write.parquet(f"{landing}/{kind}")
+    ingest_new_files(
+        spark, landing, target, offsets, COLUMNS, max_files_per_batch=5, uniform_folders=True
+    )
+    got = sorted((r.id, r.n) for r in read_ingested(spark, target).collect())
+    assert got == [(i, i % 7) for i in range(120)]
+
+
 def test_late_files_with_an_old_date_count(spark, places):
     landing, target, offsets = places
     land(spark, landing, "new", 0, 3)
