@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import codec, packing, quality_rules, token_counts
+from . import codec, packing, quality_rules, simhash, token_counts
 
 QUERIES = {
     "op2_bpe_codec": codec.op2_bpe_codec,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_simhash": simhash.op7_simhash,
 }
 
 SQL = {

@@ -42,7 +42,8 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", rows: int = TABLE_R
         .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
         .agg(F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("sketch"))
     )
-    merged = sketches.agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
+    # Grouped by a constant: merging without groups fails on a task that gets no sketch.
+    merged = sketches.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {rows})")).alias("entry"))
     return [r[0] for r in top.select("entry.item").collect()]
 
