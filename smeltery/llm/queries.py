@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import codec, packing, quality_rules, simhash, token_counts
+from . import codec, licenses, packing, quality_rules, simhash, token_counts
 
 QUERIES = {
     "op2_bpe_codec": codec.op2_bpe_codec,
@@ -10,8 +10,10 @@ QUERIES = {
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_simhash": simhash.op7_simhash,
+    "op9_license_scan": licenses.op9_license_scan,
 }
 
 SQL = {
     "op6_quality_rules": quality_rules.OP6_SQL,
+    "op9_license_scan": licenses.OP9_SQL,
 }
