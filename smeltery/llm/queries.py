@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import codec, licenses, packing, quality_rules, simhash, token_counts
+from . import codec, licenses, packing, pii, quality_rules, simhash, token_counts
 
 QUERIES = {
     "op2_bpe_codec": codec.op2_bpe_codec,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_simhash": simhash.op7_simhash,
     "op9_license_scan": licenses.op9_license_scan,
+    "op10_personal_data": pii.op10_personal_data,
 }
 
 SQL = {
