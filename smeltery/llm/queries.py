@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import codec, licenses, packing, pii, quality_rules, simhash, token_counts
+from . import codec, licenses, packing, pii, quality_rules, simhash, suffix_dedup, token_counts
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_bpe_codec": codec.op2_bpe_codec,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
