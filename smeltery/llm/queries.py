@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import codec, licenses, packing, pii, quality_rules, simhash, suffix_dedup, token_counts
+from . import codec, licenses, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, weighted_fingerprints
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_simhash": simhash.op7_simhash,
+    "op8_fingerprints": weighted_fingerprints.op8_fingerprints,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_personal_data": pii.op10_personal_data,
 }
