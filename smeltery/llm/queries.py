@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import codec, licenses, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, weighted_fingerprints
+from . import codec, licenses, lm_scoring, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, weighted_fingerprints
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_bpe_codec": codec.op2_bpe_codec,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_lm_scoring": lm_scoring.op5_lm_scoring,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_simhash": simhash.op7_simhash,
     "op8_fingerprints": weighted_fingerprints.op8_fingerprints,
