@@ -1,5 +1,5 @@
 from .dates import date_key, epoch_seconds, minutes_between
-from .money import half_up_quotient, is_exact, units
+from .money import half_up_quotient, in_units, is_exact, rest_of_unit, units
 from .predicates import all_hold, any_null, negative, rule_columns
 
 __all__ = [
@@ -8,9 +8,11 @@ __all__ = [
     "date_key",
     "epoch_seconds",
     "half_up_quotient",
+    "in_units",
     "is_exact",
     "minutes_between",
     "negative",
+    "rest_of_unit",
     "rule_columns",
     "units",
 ]

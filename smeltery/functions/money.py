@@ -1,8 +1,9 @@
 """Exact sums over amounts stored as doubles.
 
 Adding doubles depends on the order of the rows, so a retried task or another partitioning can move
-a sum across a half cent. Amounts carry few decimals, so they are counted in whole units of
-10^-UNIT_DECIMALS instead: bigint sums are exact, independent of order and stay in generated code.
+a sum across a half cent. Every row is therefore taken apart into whole numbers, whose sums are exact
+and independent of order: a count of 10^-UNIT_DECIMALS, and for a value between two counts the rest in
+2^-REST_BITS of a unit. Counts are added in two limbs, so that no number of rows overflows a bigint.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 UNIT_DECIMALS = 4
 # Above 2^50 units a double no longer separates neighbouring units safely.
 _MAX_UNITS = 2**50
+REST_BITS = 24
+LIMB_BITS = 25
 
 
 def units(amount: Column, decimals: int = UNIT_DECIMALS) -> Column:
@@ -30,6 +33,17 @@ def is_exact(amount: Column, decimals: int = UNIT_DECIMALS) -> Column:
     return (F.abs(value) <= _MAX_UNITS / scale) & (back == value)
 
 
+def in_units(amount: Column, decimals: int = UNIT_DECIMALS) -> Column:
+    """TRUE for values of a size that units can count; FALSE for NaN, infinities and larger ones."""
+    return F.abs(amount.cast("double")) <= _MAX_UNITS / float(10**decimals)
+
+
+def rest_of_unit(amount: Column, decimals: int = UNIT_DECIMALS) -> Column:
+    """What ``units`` leaves over, in 2^-REST_BITS of a unit; for values between two counts."""
+    over = amount.cast("double") * F.lit(float(10**decimals)) - units(amount, decimals).cast("double")
+    return F.floor(over * F.lit(float(2**REST_BITS)) + F.lit(0.5))
+
+
 def half_up_quotient(numerator: Column, divisor: Column) -> Column:
     """Integer division rounded half away from zero; ``divisor`` must be positive."""
     size = F.abs(numerator)

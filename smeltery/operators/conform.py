@@ -60,9 +60,10 @@ def convert(column: Column, source: str, target: str | None) -> Column:
         # A range test, since a failing try_cast costs an exception per value.
         return F.when(_fits(column, source, target), column.cast(target))
     if source == "string" and target in _INTEGRAL:
-        # '7.9' counts as 7: the fraction of a well-formed number is cut, not rejected.
+        # '7.9' counts as 7 and '.5' as 0: the fraction of a well-formed number is cut, not rejected.
         whole = F.regexp_extract(F.trim(column), r"^([+-]?\d+)\.\d*$", 1)
-        return F.coalesce(column.try_cast(target), F.nullif(whole, F.lit("")).try_cast(target))
+        fraction = F.when(F.trim(column).rlike(r"^[+-]?\.\d+$"), F.lit(0).cast(target))
+        return F.coalesce(column.try_cast(target), F.nullif(whole, F.lit("")).try_cast(target), fraction)
     return column.try_cast(target)
 
 

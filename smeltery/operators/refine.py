@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import all_hold, minutes_between, rule_columns
 from ..functions.predicates import Rules
@@ -73,15 +74,28 @@ def add_duration(
 def dedup(df: DataFrame, keys: Sequence[str], prefer: Sequence = ()) -> DataFrame:
     """One row per key; NULL keys equal each other.
 
-    The survivor is the first row in the order of ``prefer``, then of all other columns, so it is
-    the same row on every run. Spark turns the rank filter into a group limit that runs before the
-    shuffle as well: each map task sends at most one row per key, however often a key repeats.
+    The survivor is the first row in the order of ``prefer``, then of all other columns that have an
+    order, so it is the same row on every run. Maps and variants have none: among rows that differ
+    in those alone, any may survive. Spark turns the rank filter into a group limit that runs before
+    the shuffle as well: each map task sends at most one row per key, however often a key repeats.
     """
     if not keys:
         raise ValueError("at least one key column is needed")
     named = [p for p in prefer if isinstance(p, str)]
-    order = [*prefer, *[c for c in df.columns if c not in keys and c not in named]]
+    rest = [f.name for f in df.schema if f.name not in keys and f.name not in named and _has_order(f.dataType)]
+    order = [*prefer, *[F.col(f"`{name}`") for name in rest]]
     if not order:
         return df.dropDuplicates(list(keys))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    rank = "rank"
+    while rank in {c.lower() for c in df.columns}:
+        rank += "_"
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(rank, number).where(F.col(rank) == 1).drop(rank)
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))

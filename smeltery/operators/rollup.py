@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import UNIT_DECIMALS, half_up_quotient, is_exact, units
+from ..functions.money import (
+    LIMB_BITS,
+    REST_BITS,
+    UNIT_DECIMALS,
+    half_up_quotient,
+    in_units,
+    is_exact,
+    rest_of_unit,
+    units,
+)
 
 
 class Measure(NamedTuple):
@@ -19,12 +28,16 @@ class Measure(NamedTuple):
 
 
 class Dim(NamedTuple):
-    """Inner join ``frame`` on ``fact_key = dim_key`` and group by ``attributes``."""
+    """Inner join ``frame`` on ``fact_key = dim_key`` and group by ``attributes``.
+
+    An attribute is a column, or a pair of a column and the name it gets in the result, for two
+    dimensions that share a column name.
+    """
 
     frame: DataFrame
     fact_key: str
     dim_key: str
-    attributes: Sequence[str]
+    attributes: Sequence[str | tuple[str, str]]
 
 
 def row_count(name: str) -> Measure:
@@ -39,49 +52,99 @@ def mean(name: str, column: str, decimals: int = 2) -> Measure:
     return Measure(name, "mean", column, decimals)
 
 
-def _first_parts(columns: Sequence[str]) -> list[Column]:
-    parts = [F.count(F.lit(1)).alias("_rows")]
-    for i, name in enumerate(columns):
+# Finite values too large for units add up as decimals, up to this size; beyond it as doubles.
+_LARGE = "decimal(38,6)"
+_LARGE_LIMIT = 1e31
+_WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
+def _is_double(dtype: str) -> bool:
+    return dtype not in _WHOLE and not dtype.startswith("decimal")
+
+
+def _taken_apart(fact: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """The whole numbers of each double, computed once per row, before the sums."""
+    parts = []
+    for i, (name, dtype) in enumerate(columns.items()):
         c = F.col(name)
+        if not _is_double(dtype):
+            parts.append(c.alias(f"_value{i}"))
+            continue
+        c = c.cast("double")
+        fits = in_units(c)
         parts += [
-            F.try_sum(units(c)).alias(f"_units{i}"),
-            F.sum(c.cast("double")).alias(f"_sum{i}"),
-            F.count(c).alias(f"_count{i}"),
-            F.bool_and(is_exact(c)).alias(f"_exact{i}"),
+            F.when(fits, units(c)).alias(f"_units{i}"),
+            F.when(fits & ~is_exact(c), rest_of_unit(c)).alias(f"_rest{i}"),
+            F.when(~fits, c).alias(f"_odd{i}"),
         ]
-    return parts
+    return fact.select("*", *parts)
 
 
-def _merged_parts(columns: Sequence[str]) -> list[Column]:
-    parts = [F.sum("_rows").alias("_rows")]
-    for i in range(len(columns)):
-        # A unit sum that overflowed is NULL and would vanish from the next sum.
-        kept = F.col(f"_units{i}").isNotNull() | (F.col(f"_count{i}") == 0)
+def _first_parts(columns: Mapping[str, str]) -> list[Column]:
+    parts = [F.count(F.lit(1)).alias("_rows")]
+    for i, (name, dtype) in enumerate(columns.items()):
+        parts.append(F.count(name).alias(f"_count{i}"))
+        if not _is_double(dtype):
+            value = F.col(f"_value{i}")
+            parts.append(F.sum(value.cast("decimal(20,0)") if dtype in _WHOLE else value).alias(f"_sum{i}"))
+            continue
+        counted, odd = F.col(f"_units{i}"), F.col(f"_odd{i}")
+        large = F.abs(odd) < _LARGE_LIMIT
         parts += [
-            F.try_sum(f"_units{i}").alias(f"_units{i}"),
-            F.sum(f"_sum{i}").alias(f"_sum{i}"),
-            F.sum(f"_count{i}").alias(f"_count{i}"),
-            F.bool_and(F.col(f"_exact{i}") & kept).alias(f"_exact{i}"),
+            F.sum(F.shiftright(counted, LIMB_BITS)).alias(f"_high{i}"),
+            F.sum(counted.bitwiseAND(F.lit((1 << LIMB_BITS) - 1))).alias(f"_low{i}"),
+            F.sum(f"_rest{i}").alias(f"_rest{i}"),
+            F.sum(F.when(large, odd.cast(_LARGE))).alias(f"_large{i}"),
+            F.sum(F.when(~large, odd)).alias(f"_odd{i}"),
         ]
     return parts
 
 
-def _finish(measure: Measure, columns: Sequence[str]) -> Column:
+def _merged_parts(columns: Mapping[str, str]) -> list[Column]:
+    # No groups at all make one row of nothing, which counts zero rows.
+    parts = [F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows")]
+    for i, dtype in enumerate(columns.values()):
+        names = [f"_high{i}", f"_low{i}", f"_rest{i}", f"_large{i}", f"_odd{i}"]
+        parts.append(F.coalesce(F.sum(f"_count{i}"), F.lit(0)).alias(f"_count{i}"))
+        parts += [F.sum(n).alias(n) for n in (names if _is_double(dtype) else [f"_sum{i}"])]
+    return parts
+
+
+def _from_doubles(i: int, divisor: Column, decimals: int) -> Column:
+    """The sum over a divisor, rounded half away from zero."""
+    zero = F.lit(0).cast("decimal(20,0)")
+
+    def part(name: str) -> Column:
+        return F.coalesce(F.col(f"{name}{i}").cast("decimal(20,0)"), zero)
+
+    counted = (part("_high") * F.lit(1 << LIMB_BITS) + part("_low")).cast("decimal(28,0)")
+    whole = (counted * F.lit(1 << REST_BITS) + part("_rest")).cast("decimal(38,0)")
+    scale = 10 ** (UNIT_DECIMALS - decimals) << REST_BITS
+    exact = half_up_quotient(whole, (F.lit(scale).cast("decimal(18,0)") * divisor).cast("decimal(38,0)"))
+    exact = exact / F.lit(float(10**decimals))
+    size = whole.cast("double") / F.lit(float(10**UNIT_DECIMALS << REST_BITS))
+    large, odd = F.col(f"_large{i}"), F.col(f"_odd{i}")
+    plain = (F.coalesce(odd, F.lit(0.0)) + F.coalesce(large.cast("double"), F.lit(0.0)) + size) / divisor
+    return F.when(odd.isNull() & large.isNull(), exact).otherwise(F.round(plain, decimals))
+
+
+def _finish(measure: Measure, columns: Mapping[str, str]) -> Column:
     if measure.kind == "rows":
         return F.col("_rows").alias(measure.name)
     if not 0 <= measure.decimals <= UNIT_DECIMALS:
         raise ValueError(f"decimals must lie between 0 and {UNIT_DECIMALS}")
-    i = columns.index(measure.column)
-    whole, plain, count = F.col(f"_units{i}"), F.col(f"_sum{i}"), F.col(f"_count{i}")
-    divisor = F.lit(10 ** (UNIT_DECIMALS - measure.decimals)).cast("bigint")
-    if measure.kind == "mean":
-        divisor = divisor * F.greatest(count, F.lit(1))
-        plain = plain / F.greatest(count, F.lit(1))
-    exact = half_up_quotient(whole, divisor) / F.lit(float(10**measure.decimals))
-    rounded = F.when(F.col(f"_exact{i}") & whole.isNotNull(), exact).otherwise(
-        F.round(plain, measure.decimals)
-    )
-    return F.when(count > 0, rounded).alias(measure.name)
+    i = list(columns).index(measure.column)
+    count, dtype = F.col(f"_count{i}"), columns[measure.column]
+    divisor = F.greatest(count, F.lit(1)) if measure.kind == "mean" else F.lit(1)
+    if _is_double(dtype):
+        result = _from_doubles(i, divisor.cast("decimal(20,0)"), measure.decimals)
+    elif measure.kind == "mean":
+        result = F.round(F.col(f"_sum{i}") / divisor, measure.decimals)
+    elif dtype in _WHOLE:
+        result = F.col(f"_sum{i}").cast("bigint")
+    else:
+        result = F.round(f"_sum{i}", measure.decimals)
+    return F.when(count > 0, result).alias(measure.name)
 
 
 def rollup(
@@ -93,29 +156,32 @@ def rollup(
 ) -> DataFrame:
     """Group ``fact`` by its own ``keys`` and the attributes of joined ``dims``.
 
-    Sums and averages round half away from zero. They are exact as long as the amounts in a group
-    have at most four decimals; other groups (NaN, infinities, finer fractions, overflow) fall back
-    to adding doubles. Nothing is dropped.
+    Sums and averages round half away from zero, and do not depend on the order of rows. Doubles are
+    added as whole numbers, row by row, whatever else a group holds; values beyond 10^11 as decimals.
+    Only NaN, infinities and values beyond 10^31 are added as doubles. Decimals and whole numbers are added
+    as they are: totals of decimals stay decimals, totals of whole numbers are bigint.
 
     With dimensions the fact is grouped by its foreign keys *before* the join. Counts and sums add
     up again afterwards, so the result is the same, but the join sees one row per key instead of
     the fact: a hot key collapses in the map tasks, and no dimension has to fit a broadcast.
     """
-    columns = list(dict.fromkeys(m.column for m in measures if m.column))
+    types = dict(fact.dtypes)
+    columns = {m.column: types[m.column] for m in measures if m.column}
     key_names = list(dict.fromkeys([*keys, *[d.fact_key for d in dims]]))
     inner = {key: f"_key{i}" for i, key in enumerate(key_names)}
     # A NULL foreign key cannot match: drop it before grouping rather than in the join.
     for d in dims:
         fact = fact.where(F.col(d.fact_key).isNotNull())
-    grouped = fact.groupBy(*[F.col(k).alias(v) for k, v in inner.items()]).agg(
+    grouped = _taken_apart(fact, columns).groupBy(*[F.col(k).alias(v) for k, v in inner.items()]).agg(
         *_first_parts(columns)
     )
     for n, d in enumerate(dims):
-        side = d.frame.select(F.col(d.dim_key).alias(f"_dim{n}"), *d.attributes)
+        named = [F.col(a).alias(a) if isinstance(a, str) else F.col(a[0]).alias(a[1]) for a in d.attributes]
+        side = d.frame.select(F.col(d.dim_key).alias(f"_dim{n}"), *named)
         grouped = grouped.join(side, F.col(inner[d.fact_key]) == F.col(f"_dim{n}"))
     out_keys = [F.col(inner[k]).alias(k) for k in keys]
     if dims:
-        attributes = [a for d in dims for a in d.attributes]
+        attributes = [a if isinstance(a, str) else a[1] for d in dims for a in d.attributes]
         grouped = grouped.groupBy(*out_keys, *attributes).agg(*_merged_parts(columns))
         out_keys = [F.col(k) for k in [*keys, *attributes]]
     result = grouped.select(*out_keys, *[_finish(m, columns) for m in measures])

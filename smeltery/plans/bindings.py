@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import units
 from ..operators import (
     add_duration,
+    Dim,
     attribute_dim,
     audit,
     cast_losses,
@@ -20,8 +21,12 @@ from ..operators import (
     non_empty,
     non_negative,
     orphans,
+    mean,
     references,
+    rollup,
+    row_count,
     rule_rejects,
+    total,
     unique,
 )
 from ..session import work_folder
@@ -225,6 +230,27 @@ def trips_by_borough(spark, sf_dir):
     return T.trips_by_borough(valid_trips(spark, sf_dir), _zones(spark, sf_dir))
 
 
+def trips_between_boroughs(spark, sf_dir):
+    """Two dimensions of one kind: the borough of pickup by the borough of dropoff."""
+    zones = _zones(spark, sf_dir)
+    return rollup(
+        valid_trips(spark, sf_dir),
+        [row_count("trips"), total("total_revenue", "total_amount")],
+        dims=[
+            Dim(zones, "pickup_location_id", "location_id", [("borough", "pickup_borough")]),
+            Dim(zones, "dropoff_location_id", "location_id", [("borough", "dropoff_borough")]),
+        ],
+        order_by=["pickup_borough", "dropoff_borough"],
+    )
+
+
+def uneven_amounts(spark, sf_dir):
+    """Sums of doubles of which hardly one is a whole number of any small unit."""
+    third = table(spark, sf_dir, "events").withColumn("third", F.col("value") / 3)
+    measures = [row_count("n"), total("total_third", "third"), mean("mean_third", "third", 3)]
+    return rollup(third, measures, keys=["event_type"])
+
+
 SOURCE_MODEL = """
 WITH t AS (SELECT pickup_location_id, total_amount FROM fact_trips),
      z AS (SELECT location_id, borough FROM dim_zone)
@@ -428,6 +454,8 @@ QUERIES = {
     "top_pickup_zones": top_pickup_zones,
     "payment_breakdown": payment_breakdown,
     "trips_by_borough": trips_by_borough,
+    "trips_between_boroughs": trips_between_boroughs,
+    "uneven_amounts": uneven_amounts,
     "sql_model": sql_model,
     "dq_non_empty": dq_non_empty,
     "dq_no_nulls": dq_no_nulls,

@@ -189,6 +189,16 @@ SELECT * FROM lineitem QUALIFY row_number() OVER (
     "trips_by_borough": f"""WITH {_TRIPS}{_DIMS}
 SELECT borough, count(*) AS trips FROM trips JOIN dim_zone ON pickup_location_id = location_id
 GROUP BY borough ORDER BY trips DESC, borough""",
+    "trips_between_boroughs": f"""WITH {_TRIPS}{_DIMS}
+SELECT p.borough AS pickup_borough, d.borough AS dropoff_borough, count(*) AS trips,
+       {_total('total_amount')} AS total_revenue
+FROM trips JOIN dim_zone p ON pickup_location_id = p.location_id
+JOIN dim_zone d ON dropoff_location_id = d.location_id GROUP BY 1, 2""",
+    "uneven_amounts": """
+SELECT event_type, count(*) AS n,
+       CAST(round(sum(CAST(value / 3 AS DECIMAL(28,16))), 2) AS DOUBLE) AS total_third,
+       CAST(round(sum(CAST(value / 3 AS DECIMAL(28,16))) / count(value), 3) AS DOUBLE) AS mean_third
+FROM events GROUP BY event_type""",
     "sql_model": f"""WITH {_TRIPS}{_DIMS}
 SELECT borough, count(*) AS trip_count, {_total('total_amount')} AS total_revenue
 FROM trips JOIN dim_zone ON pickup_location_id = location_id GROUP BY borough""",

@@ -94,6 +94,7 @@ def test_values_that_do_not_fit_become_null_and_are_counted(spark):
         ('7.9', 7.9D, 4294967296L),
         ('abc', CAST('Infinity' AS DOUBLE), -1L),
         (' -3. ', -7.9D, NULL),
+        ('.5', 0.5D, 0L),
         (NULL, NULL, 2147483647L) AS t(s, d, b)"""
     )
     spec = [("s", "int"), ("d", "bigint"), ("b", "int")]
@@ -102,6 +103,7 @@ def test_values_that_do_not_fit_become_null_and_are_counted(spark):
         (7, 7, None),
         (None, None, -1),
         (-3, -7, None),
+        (0, 0, 0),
         (None, None, 2147483647),
     ]
     losses = {r.column_name: r.lost_values for r in cast_losses(df, spec).collect()}

@@ -66,3 +66,9 @@ def test_checks(spark, data, known):
     keys = [r[:2] for r in data if None not in r[:2]]
     repeated = {(r.a, r.b): r.key_rows for r in duplicates(df, ["a", "b"]).collect()}
     assert repeated == {k: keys.count(k) for k in set(keys) if keys.count(k) > 1}
+
+
+def test_dedup_keeps_columns_whatever_they_are_called(spark):
+    df = spark.sql("SELECT 1 AS k, 5 AS rank, 6 AS rank_, map('a', 1) AS m UNION ALL SELECT 1, 4, 6, map('b', 2)")
+    (row,) = dedup(df, ["k"]).collect()
+    assert (row["rank"], row["rank_"], row["m"]) == (4, 6, {"b": 2})

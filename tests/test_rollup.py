@@ -82,6 +82,54 @@ def test_overflowing_unit_sums_fall_back(spark):
     assert rollup(many, MEASURES, dims=[Dim(wide, "k", "k", ["name"])]).first().sum_x == 1.1e15
 
 
+def test_totals_do_not_depend_on_the_order_of_rows(spark):
+    """Noisy doubles, amounts beyond what units count, and unit sums beyond a bigint, in one group."""
+    rng = random.Random(11)
+    noisy = [(k % 40, rng.randrange(10**6) / 1000 + 0.005) for k in range(20_000)]
+    noisy += [(k, 0.1 + 0.2) for k in range(40)] + [(1, 3.3e15), (1, -1e15 / 3), (2, 1.1e11)] + [(3, 1.1e11)] * 9000
+    df = spark.createDataFrame(noisy, "k int, x double")
+    dim = spark.range(40).select(F.col("id").cast("int").alias("key"), (F.col("id") % 2).alias("side"))
+    seen = set()
+    for parts in (1, 7, 31):
+        mixed = df.repartition(parts, F.rand(parts))
+        by_key = sorted(map(tuple, rollup(mixed, MEASURES, ["k"]).collect()))
+        by_side = sorted(map(tuple, rollup(mixed, MEASURES, dims=[Dim(dim, "k", "key", ["side"])]).collect()))
+        seen.add((tuple(by_key), tuple(by_side)))
+    assert len(seen) == 1
+    for k, n, sum_x, _ in next(iter(seen))[0]:
+        exact = sum(Decimal(x) for key, x in noisy if key == k)
+        assert abs(Decimal(sum_x) - exact) <= max(Decimal("0.0051"), abs(exact) / 10**15)
+
+
+def test_decimals_and_whole_numbers_add_up_as_they_are(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (CAST('12345678901234567.91' AS DECIMAL(20,2)), 9007199254740993L), "
+        "(CAST('0.08' AS DECIMAL(20,2)), 2L) AS t(d, b)"
+    )
+    row = rollup(df, [total("d", "d"), total("b", "b"), mean("m", "b", 1)]).first()
+    assert (str(row.d), row.b) == ("12345678901234567.99", 9007199254740995)
+    assert row.m == Decimal("4503599627370497.5")
+
+
+def test_nothing_matched_counts_zero(spark):
+    fact = spark.range(3).select(F.col("id").alias("k"), F.lit(1.0).alias("x"))
+    dim = spark.range(10, 12).select(F.col("id").alias("key"))
+    row = rollup(fact, MEASURES, dims=[Dim(dim, "k", "key", [])]).first()
+    assert (row.n, row.sum_x, row.avg_x) == (0, None, None)
+
+
+def test_two_dimensions_with_one_attribute_name(spark):
+    fact = spark.sql("SELECT * FROM VALUES (1, 2, 5.0D), (2, 2, 7.0D) AS t(a, b, x)")
+    dim = spark.sql("SELECT * FROM VALUES (1, 'p'), (2, 'q') AS t(key, name)")
+    got = rollup(
+        fact,
+        [total("s", "x")],
+        dims=[Dim(dim, "a", "key", [("name", "from_name")]), Dim(dim, "b", "key", [("name", "to_name")])],
+        order_by=["from_name"],
+    )
+    assert [tuple(r) for r in got.collect()] == [("p", "q", 5.0), ("q", "q", 7.0)]
+
+
 def test_grouping_before_the_join_changes_nothing(spark):
     """Against join first, group later, with NULL keys, unmatched keys and repeated dimension keys."""
     rng = random.Random(3)
