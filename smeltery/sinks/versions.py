@@ -24,6 +24,8 @@ _LOG_SCHEMA = (
     "table_name string, version int, committed_at timestamp, row_count bigint, "
     "path string, schema_json string"
 )
+_PARTITION = "smeltery.partition"
+_VIEWS_SCHEMA = "table_name string, view string"
 
 
 class Staged(NamedTuple):
@@ -33,6 +35,7 @@ class Staged(NamedTuple):
     version: int
     path: str
     frame: DataFrame
+    partition_by: Sequence[str] = ()
 
 
 def _log_path(root: str) -> str:
@@ -72,12 +75,20 @@ def stage(
     version = (latest or 0) + 1
     path = f"{root.rstrip('/')}/{table}/version-{version:06d}"
     with partitioned_writer(df, partition_by, shuffle) as out:
-        out.partitionBy(*partition_by).mode("overwrite").save(path)
+        # Whatever the session says: a rerun must not keep partitions that a failed run left.
+        out.option("partitionOverwriteMode", "static").partitionBy(*partition_by).mode("overwrite").save(path)
     # A relation read from files can hold NULL anywhere, and partition columns come last.
     fields = [f for f in df.schema if f.name not in partition_by]
     fields += [df.schema[name] for name in partition_by]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    return Staged(table, version, path, _open(spark, path, schema).select(df.columns))
+    return Staged(table, version, path, _open(spark, path, schema).select(df.columns), tuple(partition_by))
+
+
+def _logged_schema(staged: Staged) -> str:
+    """The schema, partition columns marked with their place."""
+    place = {name: {_PARTITION: i} for i, name in enumerate(staged.partition_by)}
+    fields = [T.StructField(f.name, f.dataType, True, place.get(f.name)) for f in staged.frame.schema]
+    return T.StructType(fields).json()
 
 
 def commit(spark: SparkSession, root: str, *staged: Staged) -> None:
@@ -89,12 +100,13 @@ def commit(spark: SparkSession, root: str, *staged: Staged) -> None:
             F.current_timestamp().alias("committed_at"),
             "row_count",
             F.lit(s.path).alias("path"),
-            F.lit(s.frame.schema.json()).alias("schema_json"),
+            F.lit(_logged_schema(s)).alias("schema_json"),
         )
         for s in staged
     ]
     # A single file, so the versions become visible together.
     reduce(DataFrame.unionByName, rows).coalesce(1).write.mode("append").parquet(_log_path(root))
+    renew_views(spark, root, [s.table for s in staged])
 
 
 def publish(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -140,20 +152,62 @@ def _view_namespace(spark: SparkSession, view: str) -> None:
         ensure_namespace(spark, view.rsplit(".", 1)[0])
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _show(spark: SparkSession, root: str, table: str, view: str) -> None:
+    """Point a view at the current version, through a table with the types of the log.
+
+    A scan of files would guess the types of partition columns from their folder names.
+    """
+    path, schema = _resolve(spark, root, table)
+    version = path.rsplit("-", 1)[1]
+    under = f"{view}_v{version}"
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    marked = sorted((f.metadata[_PARTITION], f.name) for f in schema if _PARTITION in f.metadata)
+    by = f" PARTITIONED BY ({', '.join(f'`{name}`' for _, name in marked)})" if marked else ""
+    spark.sql(f"DROP TABLE IF EXISTS {under}")  # its name, not its files
+    spark.sql(f"CREATE TABLE {under} ({kinds}) USING parquet{by} LOCATION '{_quoted(path)}'")
+    if marked:
+        with listing_folders(spark):
+            spark.sql(f"MSCK REPAIR TABLE {under}")
+    picked = ", ".join(f"`{f.name}`" for f in schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {picked} FROM {under}")
+
+
+def _views_path(root: str) -> str:
+    return f"{root.rstrip('/')}/views"
+
+
 def expose(
     spark: SparkSession, root: str, tables: Mapping[str, str], log_view: str | None = None
 ) -> None:
-    """Point catalog views (``namespace.table``) at the current versions, for ad-hoc SQL.
+    """Catalog views (``namespace.table``) on the current versions, for ad-hoc SQL.
 
-    ``log_view`` names a view on the history of all tables, which needs no renewal. Views outlive
+    The store remembers its views, and a commit in a session whose catalog has them moves them along: a
+    name shows the current version. ``log_view`` names a view on the history of all tables. Views outlive
     the session if the catalog does.
     """
     for table, view in tables.items():
-        path, schema = _resolve(spark, root, table)
         _view_namespace(spark, view)
-        picked = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
-        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {picked} FROM parquet.`{path}`")
+        _show(spark, root, table, view)
+    known = spark.createDataFrame(list(tables.items()), _VIEWS_SCHEMA)
+    known.coalesce(1).write.mode("append").parquet(_views_path(root))
     if log_view:
         _view_namespace(spark, log_view)
         picked = ", ".join(history(spark, root).columns)
         spark.sql(f"CREATE OR REPLACE VIEW {log_view} AS SELECT {picked} FROM parquet.`{_log_path(root)}`")
+
+
+def renew_views(spark: SparkSession, root: str, tables: Sequence[str]) -> None:
+    """Point the store's views on these tables at the current versions, if this catalog has them."""
+    try:
+        views = spark.read.schema(_VIEWS_SCHEMA).parquet(_views_path(root)).distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return
+    for row in views.where(F.col("table_name").isin(*tables)).collect():
+        if spark.catalog.tableExists(row["view"]):
+            _show(spark, root, row["table_name"], row["view"])

@@ -172,6 +172,31 @@ def test_string_partition_values_keep_their_type(spark):
     assert stored.dtypes == df.dtypes
 
 
+def test_string_partitions_keep_their_type_in_views(spark):
+    store = work_folder(spark, "store")
+    df = spark.sql("SELECT * FROM VALUES ('007', 1, 'x'), ('7', 2, 'x'), (NULL, 3, '01') AS t(code, v, b)")
+    view = f"{store.rsplit('/', 1)[1].replace('-', '_')}.codes"
+    publish(df, store, "codes", ["b", "code"])
+    expose(spark, store, {"codes": view})
+    shown = spark.table(view)
+    assert shown.dtypes == df.dtypes
+    assert sorted(map(tuple, shown.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    publish(df.where("v = 0"), store, "codes", ["b", "code"])
+    assert spark.table(view).count() == 0
+
+
+def test_a_rerun_leaves_nothing_of_a_failed_run(spark, days):
+    store = work_folder(spark, "store")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        stage(days, store, "t", ["d"])
+        again = stage(days.where("id < 10"), store, "t", ["d"])
+        commit(spark, store, again)
+        assert read_version(spark, store, "t").count() == 10
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_views_follow_the_current_version(spark, days):
     store = work_folder(spark, "store")
     view = f"{store.rsplit('/', 1)[1].replace('-', '_')}.days"
@@ -179,7 +204,6 @@ def test_views_follow_the_current_version(spark, days):
     expose(spark, store, {"t": view})
     assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == 10
     publish(days, store, "t", ["d"])
-    expose(spark, store, {"t": view})
     assert spark.sql(f"SELECT count(*) FROM {view} WHERE d = DATE'2023-01-01'").first()[0] == 100
 
 
