@@ -22,13 +22,14 @@ import regex
 
 #: Stands for the end of a word in vocabularies that mark it; no byte does.
 WORD_END = chr(256)
-_SYMBOLS = 257
 NEVER = np.int64(1 << 40)
 #: Pieces of text a worker remembers before it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
 _SLOTS = 1 << 18
 #: Begins the key of a text's first chunk. No text holds half a surrogate pair.
 _FIRST = "\ud800"
+#: A word and one of these are two pre-tokens.
+_MARKS = ",.;:!?"
 _BLANKS = regex.compile(r"\p{White_Space}+")
 #: str.split() takes these for blanks, the libraries do not.
 _NOT_BLANK = "\x1c\x1d\x1e\x1f"
@@ -57,24 +58,34 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
-def _reversed_automaton(spellings: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Next state by state and symbol, and by state the longest token that the symbols read so far end in."""
+def _reversed_automaton(spellings: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The column of each symbol, next state by state and column, and the longest token that ends what a state has read.
+
+    Symbols that only stand alone as tokens go back to the start, in one column; their tokens are put in by the caller.
+    """
+    used = sorted({ord(c) for s in spellings if len(s) > 1 for c in s})
+    column = np.zeros(ord(WORD_END) + 1, dtype=np.int64)
+    column[used] = np.arange(1, len(used) + 1)
+    width = len(used) + 1
     children: dict[int, int] = {}
     parent, symbol, depth, token = [0], [0], [0], [-1]
     for number, spelling in enumerate(spellings):
         node = 0
-        for c in reversed(spelling):
-            key = node * _SYMBOLS + ord(c)
+        columns = column[[ord(c) for c in reversed(spelling)]].tolist()
+        if columns == [0]:
+            continue
+        for c in columns:
+            key = node * width + c
             if key not in children:
                 children[key] = len(parent)
                 parent.append(node)
-                symbol.append(ord(c))
+                symbol.append(c)
                 depth.append(depth[node] + 1)
                 token.append(-1)
             node = children[key]
         token[node] = number
     parents, symbols, depths, tokens = map(np.array, (parent, symbol, depth, token))
-    step = np.zeros((len(parents), _SYMBOLS), dtype=np.int32)
+    step = np.zeros((len(parents), width), dtype=np.int32)
     fall = np.zeros(len(parents), dtype=np.int64)
     levels = [np.flatnonzero(depths == d) for d in range(depths.max() + 1)]
     for d, nodes in enumerate(levels):
@@ -85,16 +96,28 @@ def _reversed_automaton(spellings: Sequence[str]) -> tuple[np.ndarray, np.ndarra
         if d + 1 < len(levels):
             below = levels[d + 1]
             step[parents[below], symbols[below]] = below
-    return step, tokens
+    return column, step, tokens
+
+
+def stored_vocabulary(path: str) -> tuple[dict, dict[str, int]]:
+    """The model as its file has it, and the ids of special strings."""
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    return stored["model"], {t["content"]: t["id"] for t in stored["added_tokens"]}
+
+
+def token_bytes(path: str) -> dict[bytes, int]:
+    """The ids of a byte-level vocabulary by the bytes they stand for, without special strings."""
+    model, _ = stored_vocabulary(path)
+    letters = byte_letters()
+    return {bytes(letters[c] for c in token): i for token, i in model["vocab"].items()}
 
 
 class Vocabulary:
     """Tokens and merges of a vocabulary file, numbered by the age of their merge."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            stored = json.load(file)
-        model = stored["model"]
+        model, self.specials = stored_vocabulary(path)
         letters = byte_letters()
         suffix = model.get("end_of_word_suffix") or ""
         self.marks_word_ends = bool(suffix)
@@ -119,12 +142,15 @@ class Vocabulary:
         self.right = np.arange(n)
         self.left[self.n_base :] = [number[a] for a, _ in merges]
         self.right[self.n_base :] = [number[b] for _, b in merges]
-        self.specials = {t["content"]: t["id"] for t in stored["added_tokens"]}
 
         by_pair = (self.left[self.n_base :] << 20) | self.right[self.n_base :]
         order = np.argsort(by_pair)
         self._pairs, self._merged = by_pair[order], order + self.n_base
-        self._step, self._longest = _reversed_automaton(self.spellings)
+        self._column, self._step, self._longest = _reversed_automaton(self.spellings)
+        self._alone = np.full(ord(WORD_END) + 1, -1)  # the token of a symbol by itself
+        for i, spelling in enumerate(self.spellings):
+            if len(spelling) == 1:
+                self._alone[ord(spelling)] = i
         of = {spelling: i for i, spelling in enumerate(self.spellings)}
         self.shorter = np.array(
             [next((of[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in of), -1) for s in self.spellings]
@@ -176,8 +202,10 @@ class Vocabulary:
         for read in range(int(sizes.max(initial=0))):
             n = len(order) - int(np.searchsorted(ascending, read, side="right"))  # those with symbols left
             state, place = state[:n], place[:n] - 1
-            state = self._step[state, flat[place]]
-            longest[place] = self._longest[state]
+            read_now = flat[place]
+            state = self._step[state, self._column[read_now]]
+            found = self._longest[state]
+            longest[place] = np.where(found < 0, self._alone[read_now], found)
         return longest
 
     def encode_pieces(self, pieces: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -252,22 +280,10 @@ class Encoder:
 
     def pre_tokens(self, chunk: str) -> list[str]:
         """Pre-tokens and special strings, in order."""
-        if self._byte_level:
-            if chunk[0] == _FIRST:
-                chunk = chunk[1:]
-            elif chunk.isalpha():  # nearly all chunks are a word, or a word and a mark
-                return [" " + chunk]
-            elif chunk[:-1].isalpha() and chunk[-1] in ",.;:!?":
-                return [" " + chunk[:-1], chunk[-1]]
-            else:
-                chunk = " " + chunk
-        elif chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
-        elif chunk.isascii() and chunk[:-1].isalpha() and chunk[-1] in ",.;:!?":
-            return [chunk[:-1].lower(), chunk[-1]]
+        if self._byte_level and chunk:
+            chunk = chunk[1:] if chunk[0] == _FIRST else " " + chunk
         found, at = [], 0
-        specials = self._special.finditer(chunk) if "<" in chunk else ()
-        for match in specials:
+        for match in self._special.finditer(chunk) if "<" in chunk else ():
             found += [*self._plain(chunk[at : match.start()]), match.group()]
             at = match.end()
         return found + self._plain(chunk[at:])
@@ -277,21 +293,35 @@ class Encoder:
             part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
         return self._pattern.findall(part)
 
+    def split_chunks(self, chunks: Iterable[str]) -> list[list[str]]:
+        """Pre-tokens of each chunk. Most chunks are a word, or a word and a mark, and need no pattern."""
+        out = []
+        for c in chunks:
+            if self._byte_level or c.isascii():
+                if c.isalpha():
+                    out.append([" " + c if self._byte_level else c.lower()])
+                    continue
+                if c and c[-1] in _MARKS and c[:-1].isalpha():
+                    out.append([" " + c[:-1] if self._byte_level else c[:-1].lower(), c[-1]])
+                    continue
+            out.append(self.pre_tokens(c))
+        return out
+
     def learn(self, chunks: set[str]) -> None:
         """Encode the chunks that are not remembered; if too many are, forget those not asked for now."""
         known = self._known
-        if len(known) + len(chunks) > self.remembered:
+        new = chunks.difference(known)
+        if len(known) + len(new) > self.remembered:
             known = self._known = {c: known[c] for c in chunks if c in known}
-        new = [c for c in chunks if c not in known]
-        split = [self.pre_tokens(c) if c else [] for c in new]
+        split = self.split_chunks(new)
         specials = self.vocabulary.specials
         pieces = list(set(chain.from_iterable(split)).difference(specials))
-        of = {name: number.to_bytes(4, "little") for name, number in specials.items()}
-        if pieces:
-            tokens, counts = self.vocabulary.encode_pieces(pieces)
-            raw = self.vocabulary.ids[tokens].astype("<u4").tobytes()
-            stops = np.cumsum(counts * 4)
-            of.update((p, raw[a:b]) for p, a, b in zip(pieces, (stops - counts * 4).tolist(), stops.tolist()))
+        tokens, counts = self.vocabulary.encode_pieces(pieces)
+        raw = self.vocabulary.ids[tokens].astype("<u4").tobytes()
+        stops = np.cumsum(counts * 4)
+        spans = map(slice, (stops - counts * 4).tolist(), stops.tolist())
+        of = dict(zip(pieces, map(raw.__getitem__, spans)))
+        of |= {name: number.to_bytes(4, "little") for name, number in specials.items()}
         for chunk, parts in zip(new, split):
             known[chunk] = of[parts[0]] if len(parts) == 1 else b"".join([of[p] for p in parts])
 
@@ -305,24 +335,33 @@ class Encoder:
         return [b"".join([known[c] for c in parts]) for parts in split]
 
 
-class Decoder:
-    """Gathers the bytes of ids from one array, by offsets."""
+class OffsetTable:
+    """The bytes that stand for each number, in one array."""
 
-    def __init__(self, path: str):
-        vocabulary = Vocabulary(path)
-        spelled = {int(i): s.replace(WORD_END, " ").encode("latin-1") for i, s in zip(vocabulary.ids, vocabulary.spellings)}
-        spelled |= {i: name.encode() for name, i in vocabulary.specials.items()}
-        parts = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+    def __init__(self, parts: Sequence[bytes]):
         self._bytes = np.frombuffer(b"".join(parts), dtype=np.uint8)
         self._sizes = np.array([len(p) for p in parts], dtype=np.int64)
         self._offsets = np.cumsum(self._sizes) - self._sizes
 
+    def joined(self, numbers: np.ndarray) -> bytes:
+        sizes = self._sizes[numbers]
+        first = np.repeat(self._offsets[numbers] - (np.cumsum(sizes) - sizes), sizes)
+        first += np.arange(len(first))
+        return self._bytes[first].tobytes()
+
+
+class Decoder:
+    """Texts of a byte-level vocabulary's ids."""
+
+    def __init__(self, path: str):
+        spelled = {i: token for token, i in token_bytes(path).items()}
+        spelled |= {i: name.encode() for name, i in stored_vocabulary(path)[1].items()}
+        self.size = max(spelled) + 1
+        self._table = OffsetTable([spelled.get(i, b"") for i in range(self.size)])
+
     def decode(self, ids: np.ndarray) -> str:
         """The text; bytes that are not UTF-8 become replacement characters."""
-        sizes = self._sizes[ids]
-        total = int(sizes.sum())
-        first = np.repeat(self._offsets[ids] - (np.cumsum(sizes) - sizes), sizes)
-        return self._bytes[first + np.arange(total)].tobytes().decode("utf-8", "replace")
+        return self._table.joined(ids).decode("utf-8", "replace")
 
 
 _encoders: dict[str, Encoder] = {}
