@@ -60,15 +60,14 @@ class TokenCounter:
     def count(self, texts: Sequence[str]) -> list[int]:
         split = [self._encoder.chunks(t) for t in texts]
         asked = set().union(*split)
-        if len(self._known) + len(asked) > self._remembered:
+        new = asked.difference(self._known)
+        if len(self._known) + len(new) > self._remembered:
             self._known = self._table | {c: self._known[c] for c in asked if c in self._known}
         known = self._known
-        new = [c for c in asked if c not in known]
-        parts = [self._encoder.pre_tokens(c) for c in new]
-        of = dict.fromkeys(self._encoder.vocabulary.specials, 1)
-        rest = [p for p in set(chain.from_iterable(parts)) if p not in self._table and p not in of]
+        parts = self._encoder.split_chunks(new)
+        of = self._table | dict.fromkeys(self._encoder.vocabulary.specials, 1)
+        rest = list(set(chain.from_iterable(parts)).difference(of))
         of.update(zip(rest, self._encoder.vocabulary.encode_pieces(rest)[1].tolist()))
-        of.update((p, self._table[p]) for p in set(chain.from_iterable(parts)) if p in self._table)
         known.update((c, sum([of[p] for p in ps])) for c, ps in zip(new, parts))
         return [sum([known[c] for c in cs]) for cs in split]
 
@@ -99,7 +98,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(path, table.value)
-        for batch in steps(batches, "_text"):
+        for batch in steps(batches):
             counts = pa.array(counter.count(batch.column("_text").to_pylist()), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts], [*batch.schema.names[:-1], "n_tokens"])
 
