@@ -17,13 +17,15 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encoder
+from .bpe import encoder, stored_vocabulary, token_bytes
 from .codec import VOCABULARY, steps
 from .common import documents, text_or_empty, written
 
@@ -83,6 +85,27 @@ def cut(n_tokens: int, capacity: int) -> Iterator[tuple[int, int]]:
         yield start, capacity
 
 
+_libraries: dict[str, tiktoken.Encoding] = {}
+
+
+def token_ids(path: str, text: str) -> np.ndarray:
+    """Ids of a text by a byte-level vocabulary, through the library that encodes by rank: ids are the ranks here.
+
+    Its pattern engine gives up on very long runs of blanks; the encoder in ``bpe`` gives the same ids.
+    """
+    if path not in _libraries:
+        _libraries[path] = tiktoken.Encoding(
+            path,
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks=token_bytes(path),
+            special_tokens=stored_vocabulary(path)[1],
+        )
+    try:
+        return _libraries[path].encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.frombuffer(encoder(path).encode([text])[0], dtype="<u4")
+
+
 PIECES = pa.schema(
     [
         ("piece", pa.int32()),
@@ -103,22 +126,21 @@ def _placed_pieces(docs: DataFrame, path: str, id: str, text: str, capacity: int
     id_type = taken.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder(path)
         bins = OpenBins(capacity, open_bins, TaskContext.get().partitionId() << 40)
         kind = pa.int64()
-        for batch in steps(batches, "_text"):
+        for batch in steps(batches):
             kind = batch.column(0).type
             rows, pieces = [], []
-            for row, raw in enumerate(made.encode(batch.column("_text").to_pylist())):
-                raw += END_ID.to_bytes(4, "little")
-                for number, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
-                    crc = zlib.crc32(raw[4 * start : 4 * (start + length)])
+            for row, text in enumerate(batch.column("_text").to_pylist()):
+                ids = np.append(token_ids(path, text), END_ID).astype("<u4")
+                for number, (start, length) in enumerate(cut(len(ids), capacity)):
+                    crc = zlib.crc32(ids[start : start + length])
                     rows.append(row)
                     pieces.append((number, start, length, crc, *bins.place(length), None))
             columns = [pa.array(c, f.type) for c, f in zip(zip(*pieces), PIECES)] if pieces else None
             if columns:
-                ids = batch.column(0).take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", *PIECES.names])
+                names = batch.column(0).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([names, *columns], ["doc_id", *PIECES.names])
         left = list(bins.still_open())
         if left:
             nothing = {"doc_id": pa.nulls(len(left), kind)} | {f.name: pa.nulls(len(left), f.type) for f in PIECES}
