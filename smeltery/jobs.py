@@ -27,9 +27,11 @@ def _arguments() -> argparse.ArgumentParser:
     ingest = steps.add_parser("ingest", help="take files that landed since the last run")
     for name in ("raw", "target", "checkpoint"):
         ingest.add_argument(f"--{name}", required=True)
+    ingest.add_argument("--dataset", default="yellow", help="the folder below --raw to watch")
 
     commands = {
         "bronze": "conform the listed periods and the zone file",
+        "zones": "load the zone file alone, beside an incremental ingest",
         "silver": "filter, derive, de-duplicate",
         "gold": "fact and dimensions, checked before they become current",
         "marts": "daily revenue, pickup zones, payment breakdown",
@@ -43,6 +45,7 @@ def _arguments() -> argparse.ArgumentParser:
             command.add_argument("--raw", required=True)
             command.add_argument("--dataset", default="yellow")
             command.add_argument("--periods", required=True, help="comma-separated, e.g. 2023-01")
+        if step in ("bronze", "zones", "all"):
             command.add_argument("--zones", required=True)
         if step == "silver":
             command.add_argument("--ingested", help="target of the ingest step, instead of bronze")
@@ -57,7 +60,9 @@ def _periods(args: argparse.Namespace) -> list[str]:
 
 
 def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    bronze: DataFrame | None = read_ingested(spark, args.ingested) if args.ingested else None
+    bronze: DataFrame | None = (
+        read_ingested(spark, args.ingested, RAW_COLUMNS) if args.ingested else None
+    )
     layers.build_silver(spark, args.store, bronze=bronze)
 
 
@@ -67,9 +72,13 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = build_session(f"smeltery-{args.step}")
     try:
         if args.step == "ingest":
-            ingest_new_files(spark, args.raw, args.target, args.checkpoint, RAW_COLUMNS)
+            ingest_new_files(
+                spark, args.raw, args.target, args.checkpoint, RAW_COLUMNS, dataset=args.dataset
+            )
         elif args.step == "bronze":
             layers.load_bronze(spark, args.store, _periods(args), args.zones)
+        elif args.step == "zones":
+            layers.load_zones(spark, args.store, args.zones)
         elif args.step == "silver":
             _silver(spark, args)
         elif args.step == "gold":

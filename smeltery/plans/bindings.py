@@ -32,8 +32,10 @@ from ..operators import (
 from ..session import work_folder
 from ..sinks import (
     ensure_namespace,
+    expose,
     history,
     materialise,
+    partitioned_writer,
     publish,
     read_version,
     replace_partitions,
@@ -152,7 +154,7 @@ ORDER_COLUMNS = [
 
 
 def _land_drifting_months(df: DataFrame, folder: str) -> None:
-    """Months as folders; the years 1996 and 1997 come with other types and one more column."""
+    """Files of one flat folder; the years 1996 and 1997 come with other types and one more column."""
     year = F.substring("month", 1, 4)
     drifted = {
         "1996": df.withColumns({"passengers": F.col("passengers").cast("double"), "note": F.lit("x")}),
@@ -160,7 +162,7 @@ def _land_drifting_months(df: DataFrame, folder: str) -> None:
     }
     rest = df.where(~year.isin(*drifted))
     for part in [rest, *[frame.where(year == y) for y, frame in drifted.items()]]:
-        part.write.mode("append").partitionBy("month").parquet(folder)
+        part.drop("month").write.mode("append").parquet(folder)
 
 
 def conform_union(spark, sf_dir):
@@ -182,6 +184,10 @@ def lost_values(spark, sf_dir):
     )
 
 
+def silver_report(spark, sf_dir):
+    return T.silver_report(raw_trips(spark, sf_dir), REFINED_COLUMNS)
+
+
 def enrich_duration(spark, sf_dir):
     """First and last event of a user and day, sub-second times."""
     spans = (
@@ -380,22 +386,20 @@ def _namespace(spark):
 def publish_roundtrip(spark, sf_dir):
     """The fact as a catalog table, written twice."""
     name = f"{_namespace(spark)}.fact_trips"
-    facts = T.trip_fact(valid_trips(spark, sf_dir))
+    facts = _written(T.trip_fact(valid_trips(spark, sf_dir)), "fact")
     replace_table(facts.where("payment_type = 1"), name)
     replace_table(facts, name)
     return read_table(spark, name)
 
 
 def partitioned_publish(spark, sf_dir):
-    """The fact partitioned by date, one month replaced by shorter trips, one year read back."""
+    """The fact partitioned by date, one month replaced by shorter trips, read back whole."""
     name = f"{_namespace(spark)}.fact_trips"
-    facts = T.trip_fact(valid_trips(spark, sf_dir))
+    facts = _written(T.trip_fact(valid_trips(spark, sf_dir)), "fact")
     replace_table(facts, name, ["pickup_date"])
     month = facts.where("pickup_date BETWEEN DATE'1996-01-01' AND DATE'1996-01-31'")
     replace_partitions(month.where("trip_distance <= 25"), name)
-    return read_table(spark, name).where(
-        "pickup_date BETWEEN DATE'1996-01-01' AND DATE'1996-12-31'"
-    )
+    return read_table(spark, name).select(facts.columns)
 
 
 def incremental_ingest(spark, sf_dir):
@@ -411,7 +415,7 @@ def incremental_ingest(spark, sf_dir):
 
 def _two_versions(spark, sf_dir):
     store = work_folder(spark, "store")
-    facts = T.trip_fact(valid_trips(spark, sf_dir))
+    facts = _written(T.trip_fact(valid_trips(spark, sf_dir)), "fact")
     publish(facts.where("pickup_date < DATE'1998-01-01'"), store, "fact_trips")
     publish(facts, store, "fact_trips")
     return store
@@ -426,12 +430,24 @@ def read_old_version(spark, sf_dir):
     return read_version(spark, _two_versions(spark, sf_dir), "fact_trips", 1)
 
 
+def view_after_publish(spark, sf_dir):
+    """A name that was made for the first version, read after the second."""
+    store = work_folder(spark, "store")
+    facts = _written(T.trip_fact(valid_trips(spark, sf_dir)).withColumn("paid", F.col("payment_type").cast("string")), "fact")
+    publish(facts.where("payment_type = 1"), store, "fact_trips", ["paid"])
+    view = f"{_namespace(spark)}.trips"
+    expose(spark, store, {"fact_trips": view})
+    publish(facts, store, "fact_trips", ["paid"])
+    return spark.table(view)
+
+
 def layered_daily_revenue(spark, sf_dir):
     """From landed files through every published layer to the daily mart."""
     landing, zone_csv, store = (work_folder(spark, n) for n in ("landing", "zones-csv", "store"))
     month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
     trips = raw_trips(spark, sf_dir).withColumn("month", month)
-    trips.write.partitionBy("month").parquet(landing)
+    with partitioned_writer(trips, ["month"]) as out:
+        out.partitionBy("month").save(landing)
     zone_lookup(spark, sf_dir).write.option("header", True).csv(zone_csv)
     return layers.build_all(
         spark, store, list_periods(spark, landing), zone_csv, RAW_COLUMNS, REFINED_COLUMNS
@@ -444,6 +460,7 @@ QUERIES = {
     "cast_losses": lost_values,
     "clean_trips": clean_trips,
     "rule_rejects": rejects,
+    "silver_report": silver_report,
     "enrich_duration": enrich_duration,
     "dedup_by_key": dedup_by_key,
     "dim_date": dim_date,
@@ -471,5 +488,6 @@ QUERIES = {
     "incremental_ingest": incremental_ingest,
     "snapshot_log": snapshot_log,
     "read_old_version": read_old_version,
+    "view_after_publish": view_after_publish,
     "layered_daily_revenue": layered_daily_revenue,
 }

@@ -34,6 +34,11 @@ def load_bronze(
     columns=T.RAW_COLUMNS,
 ) -> None:
     publish(stamp_ingested(read_periods(spark, period_paths, columns)), store, "bronze_trips")
+    load_zones(spark, store, zone_csv)
+
+
+def load_zones(spark: SparkSession, store: str, zone_csv: str) -> None:
+    """The zone file alone, as it is."""
     publish(read_csv_strings(spark, zone_csv, T.ZONE_FILE_COLUMNS), store, "bronze_zones")
 
 
@@ -44,9 +49,13 @@ def build_silver(
     rules=T.RULES,
     bronze: DataFrame | None = None,
 ) -> None:
-    """From the published bronze trips, or from ``bronze`` such as an incremental ingest target."""
+    """From the published bronze trips, or from ``bronze`` such as an incremental ingest target.
+
+    What the casts and the rules leave out is published beside it, and refuses nothing.
+    """
     if bronze is None:
         bronze = read_version(spark, store, "bronze_trips")
+    publish(T.silver_report(bronze, columns, rules).coalesce(1), store, "silver_report")
     publish(T.clean_trips(bronze, columns, rules), store, "silver_trips", ["pickup_date"])
 
 
@@ -65,6 +74,8 @@ def build_gold(spark: SparkSession, store: str) -> None:
             audit("gold.dim_zone", zones.frame, [non_empty()]),
         ]
     )
+    # Trips of unknown zones stay in the fact and are told here, but no mart over zones has them.
+    publish(audit("gold.fact_trips", fact.frame, T.zone_notes(zones.frame)).coalesce(1), store, "gold_notes")
     # Stored before it is judged: the report runs once and survives a refusal.
     gate(publish(report.coalesce(1), store, "gold_report"))
     commit(spark, store, payments, zones, dates, fact)

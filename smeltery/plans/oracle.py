@@ -147,6 +147,20 @@ _LOSSES = {
     "o_orderkey": "o_orderkey",
 }
 
+_REFINED = {
+    "vendor_id": "BIGINT",
+    "pickup_at": "TIMESTAMP",
+    "dropoff_at": "TIMESTAMP",
+    "passenger_count": "INTEGER",
+    "trip_distance": "DOUBLE",
+    "pickup_location_id": "INTEGER",
+    "dropoff_location_id": "INTEGER",
+    "payment_type": "INTEGER",
+    "fare_amount": "DOUBLE",
+    "tip_amount": "DOUBLE",
+    "total_amount": "DOUBLE",
+}
+
 SQL = {
     "normalize": f"WITH {_RAW} SELECT {_CLEAN_COLUMNS} FROM raw",
     "conform_union": _MONTHLY,
@@ -167,6 +181,18 @@ SELECT {_CLEAN_COLUMNS}, pickup_date, trip_duration_minutes FROM trips QUALIFY {
             for name, rule in _RULES.items()
         ]
     ),
+    "silver_report": f"WITH {_RAW}\n"
+    + _union(
+        *[
+            f"SELECT 'bronze_trips' AS table_name, 'cast_loss' AS check_name, '{name}' AS column_name, "
+            f"CAST(count(*) FILTER (WHERE {name} IS NOT NULL AND TRY_CAST({name} AS {kind}) IS NULL) AS BIGINT) "
+            f"AS violations, count(*) FILTER (WHERE {name} IS NOT NULL AND TRY_CAST({name} AS {kind}) IS NULL) = 0 "
+            f"AS passed FROM raw"
+            for name, kind in _REFINED.items()
+        ],
+        *[_check("bronze_trips", "rule_reject", name,
+                 f"count(*) FILTER (WHERE NOT coalesce({rule}, false))", "raw") for name, rule in _RULES.items()],
+    ),
     "enrich_duration": """
 SELECT user_id, CAST(first_at AS DATE) AS event_date, first_at, last_at,
        (CAST(floor(epoch(last_at)) AS BIGINT) - CAST(floor(epoch(first_at)) AS BIGINT)) / 60.0
@@ -259,14 +285,14 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "csv_dim_roundtrip": f"WITH one AS (SELECT 1){_DIMS} SELECT * FROM dim_zone",
     "publish_roundtrip": f"WITH {_FACT} SELECT * FROM fact",
     "partitioned_publish": f"""WITH {_FACT} SELECT * FROM fact
-WHERE pickup_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
-  AND (pickup_date > DATE '1996-01-31' OR trip_distance <= 25
+WHERE (pickup_date NOT BETWEEN DATE '1996-01-01' AND DATE '1996-01-31' OR trip_distance <= 25
        OR pickup_date NOT IN (SELECT pickup_date FROM fact WHERE trip_distance <= 25))""",
     "incremental_ingest": _MONTHLY,
     "snapshot_log": f"""WITH {_FACT}
 SELECT 'fact_trips' AS table_name, 1 AS version, count(*) AS row_count FROM fact
 WHERE pickup_date < DATE '1998-01-01'
 UNION ALL SELECT 'fact_trips', 2, count(*) FROM fact""",
+    "view_after_publish": f"WITH {_FACT} SELECT *, CAST(payment_type AS VARCHAR) AS paid FROM fact",
     "read_old_version": f"WITH {_FACT} SELECT * FROM fact WHERE pickup_date < DATE '1998-01-01'",
     # The layers de-duplicate: sf0.001 and sf0.1 each hold one repeated trip key.
     "layered_daily_revenue": f"WITH {_TRIPS.replace('trips AS', 'valid AS')}, "

@@ -9,6 +9,9 @@ from ..operators import (
     Dim,
     add_duration,
     attribute_dim,
+    cast_losses,
+    combine,
+    conform,
     conform_and_filter,
     date_dim,
     dedup,
@@ -20,6 +23,7 @@ from ..operators import (
     references,
     rollup,
     row_count,
+    rule_rejects,
     static_dim,
     total,
     unique,
@@ -192,6 +196,31 @@ def fact_checks(payments: DataFrame, dates: DataFrame) -> list:
     ]
 
 
+def zone_notes(zones: DataFrame) -> list:
+    """Told, but no reason to refuse: marts over zones leave such trips out."""
+    return [
+        references("pickup_location_id", zones, "location_id"),
+        references("dropoff_location_id", zones, "location_id"),
+    ]
+
+
+def silver_report(raw: DataFrame, columns=REFINED_COLUMNS, rules=RULES) -> DataFrame:
+    """What the way to silver leaves out: values lost to casts by column, rows rejected by rule."""
+
+    def rows(counts: DataFrame, check: str, unit: str, number: str) -> DataFrame:
+        return counts.select(
+            F.lit("bronze_trips").alias("table_name"),
+            F.lit(check).alias("check_name"),
+            F.col(unit).alias("column_name"),
+            F.col(number).alias("violations"),
+            (F.col(number) == 0).alias("passed"),
+        )
+
+    losses = rows(cast_losses(raw, columns), "cast_loss", "column_name", "lost_values")
+    rejects = rule_rejects(conform(raw, columns), rules)
+    return combine([losses, rows(rejects, "rule_reject", "rule_name", "rejected_rows")])
+
+
 # Column tests of the marts.
 MART_CHECKS = {
     "daily_revenue": [

@@ -1,4 +1,4 @@
-from .tables import ensure_namespace, materialise, replace_partitions, replace_table
+from .tables import ensure_namespace, materialise, partitioned_writer, replace_partitions, replace_table
 from .versions import commit, expose, history, publish, read_version, stage
 
 __all__ = [
@@ -7,6 +7,7 @@ __all__ = [
     "expose",
     "history",
     "materialise",
+    "partitioned_writer",
     "publish",
     "read_version",
     "replace_partitions",

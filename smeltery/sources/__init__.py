@@ -1,10 +1,12 @@
-from .periods import list_periods, period_path, read_period, read_periods
+from .periods import exact, list_files, list_periods, period_path, read_period, read_periods
 from .reference_csv import read_csv_strings
 from .tables import count_rows, declare_sources, read_table
 
 __all__ = [
     "count_rows",
     "declare_sources",
+    "exact",
+    "list_files",
     "list_periods",
     "period_path",
     "read_csv_strings",

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +18,9 @@ from ..operators.conform import ColumnSpec, conform, union_conformed
 # Fixed value: how landed files are named.
 _LANDED_FILE = "{dataset}/{dataset}_tripdata_{period}.parquet"
 
-# Footers are read by one-task jobs; this many run at a time.
-_FOOTER_JOBS = 16
+# Footers one task reads, about, and columns of what it tells.
+_FOOTERS_PER_TASK = 200
+_FOOTERS = "path string, columns string"
 
 
 def period_path(root: str, dataset: str, period: str) -> str:
@@ -23,21 +28,52 @@ def period_path(root: str, dataset: str, period: str) -> str:
     return f"{root.rstrip('/')}/{_LANDED_FILE.format(dataset=dataset, period=period)}"
 
 
-def list_periods(spark: SparkSession, root: str) -> list[str]:
-    """Folders below ``root`` that hold parquet files. Lists names only, file contents stay unread."""
+def exact(path: str) -> str:
+    """The path with its glob characters escaped: Spark reads paths as patterns."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def list_files(spark: SparkSession, paths: Sequence[str], name_pattern: str = "*.parquet") -> list[str]:
+    """The parquet files at or below the paths. Lists names only, file contents stay unread."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
+        .option("pathGlobFilter", name_pattern)
+        .load([exact(p) for p in paths])
     )
-    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
-    return [r.folder for r in files.select(folder.alias("folder")).distinct().orderBy("folder").collect()]
+    return sorted(r.path for r in files.select("path").collect())
+
+
+def list_periods(spark: SparkSession, root: str, dataset: str | None = None) -> list[str]:
+    """The landed files below ``root``; with ``dataset``, only those in its folder. Each is a period of its own."""
+    return list_files(spark, [root if dataset is None else f"{root.rstrip('/')}/{dataset}"])
 
 
 def read_period(spark: SparkSession, path: str, columns: Sequence[ColumnSpec]) -> DataFrame:
     """One period, conformed."""
-    return conform(spark.read.parquet(path), columns)
+    return conform(spark.read.parquet(exact(path)), columns)
+
+
+def _footers(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, str | None]]:
+    """For each file its columns and their stored types, from one job; None where only Spark can open it."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            found = []
+            for path in paths:
+                try:
+                    uri = quote(path if ":" in path else f"file://{path}", safe="/:")
+                    store, place = fs.FileSystem.from_uri(uri)
+                    with store.open_input_file(place) as file:
+                        found.append(pq.read_schema(file).remove_metadata().to_string(show_field_metadata=False))
+                except (OSError, ValueError, NotImplementedError):
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "columns"])
+
+    tasks = max(1, min(len(files) // _FOOTERS_PER_TASK, 4 * spark.sparkContext.defaultParallelism))
+    named = spark.createDataFrame([(f,) for f in files], "path string").repartition(tasks)
+    return [tuple(r) for r in named.mapInArrow(read, _FOOTERS).collect()]
 
 
 def _needed(schema: T.StructType, names: Sequence[str], path: str, fold: Callable) -> T.StructType:
@@ -48,38 +84,31 @@ def _needed(schema: T.StructType, names: Sequence[str], path: str, fold: Callabl
     return T.StructType([T.StructField(n, found[fold(n)].dataType) for n in names])
 
 
-def read_periods(
-    spark: SparkSession,
-    paths: Sequence[str],
-    columns: Sequence[ColumnSpec],
-    uniform_folders: bool = False,
-) -> DataFrame:
-    """All periods, conformed and put together.
+def read_periods(spark: SparkSession, paths: Sequence[str], columns: Sequence[ColumnSpec]) -> DataFrame:
+    """All periods, conformed and put together. Paths are exact, files or folders.
 
     One scan cannot span files whose types differ, and one scan per period makes a plan as wide as
-    the list is long. Periods are grouped by the types of the needed columns: one scan per distinct
-    set of types, usually a handful. The files of one period must share one schema.
-
-    The driver spends about ten milliseconds per footer. Long lists of files can do with one footer
-    per folder, if ``uniform_folders`` vouches that the files of a folder share one schema.
+    the list is long. So the footer of every file is read, all in one job, and files are grouped by
+    what they store: one scan per distinct set of types, usually a handful. A file that lacks a column is
+    an error that names it.
     """
     if not paths:
         raise ValueError("nothing to read: the list of periods is empty")
     names = list(dict.fromkeys(c[0] for c in columns))
     fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
-
-    def types_of(path: str) -> T.StructType:
-        return _needed(spark.read.parquet(path).schema, names, path, fold)
-
+    files = list_files(spark, paths)
+    if not files:
+        raise ValueError(f"no parquet files in {list(paths)[:3]}")
     alike: dict[str, list[str]] = {}
-    for path in paths:
-        alike.setdefault(path.rsplit("/", 1)[0] if uniform_folders else path, []).append(path)
-    with ThreadPoolExecutor(_FOOTER_JOBS) as pool:
-        schemas = list(pool.map(types_of, [members[0] for members in alike.values()]))
+    for path, stored in _footers(spark, files):
+        # A file only Spark can open makes a group of its own, and Spark reads its footer.
+        alike.setdefault(stored or path, []).append(path)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for members, schema in zip(alike.values(), schemas):
+    for members in alike.values():
+        first = min(members)
+        schema = _needed(spark.read.parquet(exact(first)).schema, names, first, fold)
         groups.setdefault(schema.simpleString(), (schema, []))[1].extend(members)
     return union_conformed(
-        conform(spark.read.schema(schema).parquet(*members), columns)
+        conform(spark.read.schema(schema).parquet(*[exact(m) for m in sorted(members)]), columns)
         for schema, members in groups.values()
     )

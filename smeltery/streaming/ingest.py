@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.conform import ColumnSpec, stamp_ingested
-from ..sources.periods import read_periods
+from ..sources.periods import exact, read_periods
 
 _BATCH = "ingest_batch"
 
@@ -20,15 +21,18 @@ def ingest_new_files(
     columns: Sequence[ColumnSpec],
     max_files_per_batch: int = 1000,
     stamp: bool = True,
-    uniform_folders: bool = False,
+    dataset: str | None = None,
 ) -> None:
     """Conform the files that landed below ``source`` since the last run and add them to ``target``.
 
+    With ``dataset`` only files in its folder below ``source`` count; others stay where they are.
+
     The stream carries file names only, so files of differing types can share a run; each batch is
-    read with the period reader. The checkpoint remembers the files, and a batch owns the folder it
-    writes, so a batch that is run again replaces its own output. For a backlog of very many files
-    raise ``max_files_per_batch`` and, where it holds, set ``uniform_folders`` (see ``read_periods``).
+    read with the period reader, by exact path. The checkpoint remembers the files, and a batch owns the
+    folder it writes, so a batch that is run again replaces its own output. A batch with a file that lacks
+    a column fails, naming it, and nothing of the batch is taken until the file is mended or moved.
     """
+    folder = source if dataset is None else f"{source.rstrip('/')}/{dataset}"
     landed = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -37,7 +41,7 @@ def ingest_new_files(
         .option("maxFilesPerTrigger", max_files_per_batch)
         # By default a file a week older than the newest one would be passed over.
         .option("maxFileAge", "36500d")
-        .load(source)
+        .load(exact(folder))
         .select("path")
     )
 
@@ -46,7 +50,7 @@ def ingest_new_files(
         paths = sorted(row.path for row in batch.collect())
         if not paths:
             return
-        rows = read_periods(batch.sparkSession, paths, columns, uniform_folders)
+        rows = read_periods(batch.sparkSession, paths, columns)
         rows = stamp_ingested(rows) if stamp else rows
         rows.write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
 
@@ -59,6 +63,14 @@ def ingest_new_files(
     query.awaitTermination()
 
 
-def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    """Everything ingested so far."""
-    return spark.read.parquet(target).drop(_BATCH)
+def read_ingested(
+    spark: SparkSession, target: str, columns: Sequence[ColumnSpec] | None = None
+) -> DataFrame:
+    """Everything ingested so far. Before the first batch nothing says what columns there are: give them."""
+    try:
+        return spark.read.parquet(exact(target)).drop(_BATCH)
+    except AnalysisException as error:
+        if columns is None or error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        fields = ", ".join(f"`{c[-2]}` {c[-1]}" for c in columns)
+        return spark.createDataFrame([], fields)

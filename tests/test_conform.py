@@ -56,9 +56,12 @@ def test_one_period(spark, drifting):
     assert read_period(spark, drifting[1], COLUMNS).agg(F.sum("n")).first()[0] == 20
 
 
-def test_period_list_from_folders(spark, drifting, tmp_path):
-    assert [p.rsplit("/", 1)[1] for p in list_periods(spark, str(tmp_path))] == [
-        p.rsplit("/", 1)[1] for p in drifting
+def test_periods_are_listed_by_file(spark, drifting, tmp_path):
+    listed = list_periods(spark, str(tmp_path), "yellow")
+    assert sorted({p.rsplit("/", 2)[1] for p in listed}) == [p.rsplit("/", 1)[1] for p in drifting]
+    assert all(p.endswith(".parquet") and "/part-" in p for p in listed)
+    assert sorted(map(tuple, read_periods(spark, listed, COLUMNS).collect())) == [
+        (i, i % 5, float(i)) for i in range(50)
     ]
 
 

@@ -7,15 +7,15 @@ from smeltery.sinks import history, read_version
 from smeltery.sources import period_path
 from trip_rows import at, frame, trip
 
-ZONES = "LocationID,Borough,Zone,service_zone\n100,Queens,Astoria,Boro\n200,Bronx,Belmont,Boro\n"
+ZONES = "LocationID,Borough,Zone,service_zone\n41,Queens,Astoria,Boro\n74,Bronx,Belmont,Boro\n"
 
 
 @pytest.fixture
 def landed(spark, tmp_path):
     """Two overlapping months, the second with a drifted type; one invalid trip."""
-    first = [trip(at(8, day=d), at(9, day=d), PULocationID=100 * (1 + d % 2)) for d in (1, 2, 3)]
-    second = [first[2], trip(at(8, month=2), at(9, month=2)), trip(at(9, month=2), at(8, month=2))]
-    paths = [period_path(str(tmp_path), "yellow", f"2023-0{m}") for m in (1, 2)]
+    first = [trip(at(8, day=d), at(9, day=d), PULocationID=(41, 74)[d % 2]) for d in (1, 2, 3)]
+    second = [first[2], trip(at(8, day=1, month=10), at(9, day=1, month=10)), trip(at(9, month=10), at(8, month=10))]
+    paths = [period_path(str(tmp_path), "yellow", f"2021-{m:02d}") for m in (9, 10)]
     frame(spark, first).write.parquet(paths[0])
     drifted = frame(spark, second)
     drifted.withColumn("passenger_count", drifted.passenger_count.cast("double")).write.parquet(paths[1])
@@ -28,16 +28,20 @@ def test_all_layers(spark, landed):
     store = work_folder(spark, "store")
     daily = layers.build_all(spark, store, *landed).orderBy("pickup_date").collect()
     assert [(str(r.pickup_date), r.trip_count, r.total_revenue) for r in daily] == [
-        ("2023-01-01", 1, 13.0),
-        ("2023-01-02", 1, 13.0),
-        ("2023-01-03", 1, 13.0),
-        ("2023-02-01", 1, 13.0),
+        ("2021-09-01", 1, 26.0),
+        ("2021-09-02", 1, 26.0),
+        ("2021-09-03", 1, 26.0),
+        ("2021-10-01", 1, 26.0),
     ]
     zones = read_version(spark, store, "top_pickup_zones").collect()
     assert {(r.zone, r.trip_count) for r in zones} == {("Astoria", 2), ("Belmont", 2)}
     assert read_version(spark, store, "bronze_trips").columns[-1] == "_ingested_at"
     assert read_version(spark, store, "bronze_trips").count() == 6
     assert read_version(spark, store, "gold_report").where("NOT passed").count() == 0
+    notes = {r.column_name: r.violations for r in read_version(spark, store, "gold_notes").collect()}
+    assert notes == {"pickup_location_id": 0, "dropoff_location_id": 0}
+    silver = {(r.check_name, r.column_name): r.violations for r in read_version(spark, store, "silver_report").collect()}
+    assert silver["rule_reject", "pickup_before_dropoff"] == 1 and silver["cast_loss", "passenger_count"] == 0
     layers.expose_views(spark, store)
     ranking = spark.sql(
         """SELECT z.borough, count(*) AS trips FROM gold.fact_trips f
@@ -64,8 +68,8 @@ def test_a_bad_load_never_reaches_gold(spark, landed, tmp_path):
     store = work_folder(spark, "store")
     paths, zones = landed
     layers.build_all(spark, store, paths, zones)
-    bad = period_path(str(tmp_path), "yellow", "2023-03")
-    frame(spark, [trip(at(8, month=3), at(9, month=3), payment_type=9)]).write.parquet(bad)
+    bad = period_path(str(tmp_path), "yellow", "2021-11")
+    frame(spark, [trip(at(8, month=11), at(9, month=11), payment_type=9)]).write.parquet(bad)
     with pytest.raises(QualityGateError) as error:
         layers.build_all(spark, store, [*paths, bad], zones)
     assert error.value.failures == ["gold.fact_trips references(payment_type): 1 violations"]

@@ -7,31 +7,51 @@ from tests_support import plan_of
 from trip_rows import at, frame, trip
 
 
-def test_invalid_trips_are_dropped(spark):
-    rows = [
-        trip(at(8), at(8, 20)),
-        trip(at(9), at(9, 10), distance=0.0, fare=5.0),
-        trip(at(10), at(9), distance=2.0, fare=5.0),
-        trip(at(11), at(11, 30), distance=4.0, fare=-1.0),
-    ]
-    clean = T.clean_trips(frame(spark, rows))
-    assert clean.count() == 1
-    assert {"pickup_date", "trip_duration_minutes"} <= set(clean.columns)
+@pytest.mark.parametrize(
+    ("changes", "kept"),
+    [
+        ({"tpep_dropoff_datetime": at(23, 15, 1)}, True),
+        ({"tpep_dropoff_datetime": at(23, 15)}, False),
+        ({"tpep_dropoff_datetime": at(23, 14, 59)}, False),
+        ({"trip_distance": 1e-9}, True),
+        ({"trip_distance": 0.0}, False),
+        ({"trip_distance": -2.5}, False),
+        ({"fare_amount": 0.0}, True),
+        ({"fare_amount": -0.01}, False),
+        ({"total_amount": 0.0}, True),
+        ({"total_amount": -31.0}, False),
+        ({"passenger_count": 1}, True),
+        ({"passenger_count": 0}, False),
+        ({"passenger_count": -4}, False),
+    ],
+)
+def test_each_rule_at_and_beside_its_bound(spark, changes, kept):
+    rows = [trip(at(23, 15), at(23, 58), **changes)]
+    assert T.clean_trips(frame(spark, rows)).count() == kept
 
 
-def test_equal_trips_become_one(spark):
-    assert T.clean_trips(frame(spark, [trip(at(8), at(8, 20))] * 2)).count() == 1
+def test_copies_and_near_copies_by_key(spark):
+    one = trip(at(6), at(6, 40))
+    other_key = [trip(at(6), at(6, 40), **{name: 8}) for name in ("VendorID", "PULocationID", "DOLocationID")]
+    later = [trip(at(6, 0, 1), at(6, 40)), trip(at(6), at(6, 40, 1))]
+    same_key = [trip(at(6), at(6, 40), payment_type=4), trip(at(6), at(6, 40), distance=1.0)]
+    cleaned = T.clean_trips(frame(spark, [one, one, one, *other_key, *later, *same_key]))
+    assert cleaned.count() == 6
 
 
-def test_duration_in_minutes(spark):
-    clean = T.clean_trips(frame(spark, [trip(at(8), at(8, 30))]))
-    assert clean.first().trip_duration_minutes == 30.0
+@pytest.mark.parametrize(
+    ("dropoff", "minutes"),
+    [(at(13, 7, 45), 7.75), (at(13, 0, 3), 0.05), (at(2, day=18), 780.0), (at(13, month=10), 43200.0)],
+)
+def test_minutes_and_date_of_a_trip(spark, dropoff, minutes):
+    row = T.clean_trips(frame(spark, [trip(at(13), dropoff)])).first()
+    assert (row.trip_duration_minutes, row.pickup_date.isoformat()) == (minutes, "2021-09-17")
 
 
-def test_payment_dimension(spark):
+def test_payment_descriptions(spark):
     dim = T.payment_dim(spark)
-    assert {r.payment_type for r in dim.collect()} == {1, 2, 3, 4, 5, 6}
-    assert dim.dtypes == [("payment_type", "bigint"), ("payment_description", "string")]
+    assert dim.dtypes == T.PAYMENT_COLUMNS
+    assert sorted(map(tuple, dim.collect())) == T.PAYMENT_TYPES
 
 
 def test_payment_dimension_has_a_known_size(spark):
@@ -42,7 +62,7 @@ def test_payment_dimension_has_a_known_size(spark):
 def test_fact_key_and_columns(spark):
     fact = T.trip_fact(T.clean_trips(frame(spark, [trip(at(8), at(8, 20))])))
     assert fact.columns == ["date_key", *T.FACT_COLUMNS]
-    assert fact.first().date_key == 20230101
+    assert fact.first().date_key == 20210917
     types = dict(fact.dtypes)
     assert (types["date_key"], types["payment_type"], types["pickup_date"]) == ("int", "int", "date")
 
@@ -128,8 +148,8 @@ def test_date_dimension(spark):
     rows = [trip(at(8, day=d), at(9, day=d)) for d in (1, 1, 2)]
     dim = T.trip_date_dim(T.clean_trips(frame(spark, rows))).orderBy("date_key").collect()
     assert [(r.date_key, r.year, r.month, r.day, r.day_of_week) for r in dim] == [
-        (20230101, 2023, 1, 1, 1),
-        (20230102, 2023, 1, 2, 2),
+        (20210901, 2021, 9, 1, 4),
+        (20210902, 2021, 9, 2, 5),
     ]
 
 
@@ -164,15 +184,15 @@ def test_mart_order_and_numbers(spark):
     trips = T.clean_trips(frame(spark, rows))
     daily = [tuple(r) for r in T.daily_revenue(trips).collect()]
     assert [(str(r[0]), *r[1:]) for r in daily] == [
-        ("2023-01-01", 2, 32.0, 0.75, 16.0, 1.5),
-        ("2023-01-02", 1, 2.0, 1.0, 2.0, 4.0),
+        ("2021-09-01", 2, 39.5, 0.75, 19.75, 1.5),
+        ("2021-09-02", 1, 5.75, 3.5, 5.75, 4.0),
     ]
     zones = spark.createDataFrame(
-        [(100, "B", "Z", "s"), (8, "C", "Y", "s")],
+        [(41, "B", "Z", "s"), (8, "C", "Y", "s")],
         "location_id int, borough string, zone string, service_zone string",
     )
-    assert [tuple(r) for r in T.top_pickup_zones(trips, zones).collect()] == [("B", "Z", 2, 32.0)]
+    assert [tuple(r) for r in T.top_pickup_zones(trips, zones).collect()] == [("B", "Z", 2, 39.5)]
     # The unknown code 9 has no description, and an inner join leaves it out.
     assert [tuple(r) for r in T.payment_breakdown(trips, T.payment_dim(spark)).collect()] == [
-        ("Credit card", 2, 32.0, 0.38)
+        ("Cash", 2, 39.5, 0.38)
     ]
