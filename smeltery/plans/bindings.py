@@ -269,12 +269,9 @@ GROUP BY z.borough
 
 def sql_model(spark, sf_dir):
     """A mart given as SQL text over declared sources, stored as a catalog table."""
-    declare_sources(
-        spark,
-        {"fact_trips": T.trip_fact(valid_trips(spark, sf_dir)), "dim_zone": _zones(spark, sf_dir)},
-    )
-    namespace = _namespace(spark)
-    stored = materialise(spark, SOURCE_MODEL, f"{namespace}.revenue_by_borough")
+    sources = {"fact_trips": T.trip_fact(valid_trips(spark, sf_dir)), "dim_zone": _zones(spark, sf_dir)}
+    with declare_sources(spark, sources):
+        stored = materialise(spark, SOURCE_MODEL, f"{_namespace(spark)}.revenue_by_borough")
     return stored.withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 

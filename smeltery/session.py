@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Settings every job wants unless spark-submit or spark-defaults name others. Master, memory,
-# executors and shuffle partitions are theirs to name.
+# Settings every job wants unless spark-submit, spark-defaults or the session name others. Master,
+# memory, executors and shuffle partitions are theirs to name.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,21 +21,26 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.ui.enabled": "false",
 }
 
 _local_folders: dict[str, str] = {}
 
 
 def build_session(app_name: str, settings: dict[str, str] | None = None) -> SparkSession:
+    """A session with the settings; defaults fill in only what nobody has set.
+
+    What spark-defaults names is known once the JVM runs, so defaults are looked at after that.
+    """
     builder = SparkSession.builder.appName(app_name)
-    given = SparkConf()
-    for key, value in DEFAULTS.items():
-        if not given.contains(key):
-            builder = builder.config(key, value)
     for key, value in (settings or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    named = spark.conf.getAll
+    for key, value in DEFAULTS.items():
+        if not given.contains(key) and key not in named:
+            spark.conf.set(key, value)
+    return spark
 
 
 @contextmanager
@@ -67,10 +74,11 @@ def work_folder(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         app = context.applicationId
         if app not in _local_folders:
             _local_folders[app] = tempfile.mkdtemp(prefix="smeltery-")
+            atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
         base = _local_folders[app]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"

@@ -44,9 +44,36 @@ def partitioned_writer(
 
 
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-    """Create the table or replace it whole; running it again gives the same table."""
+    """Create the table or replace it whole; running it again gives the same table.
+
+    A table that exists stays until its successor is written, and then they change names. A job that dies
+    while it writes leaves the table as it was; one that dies between the two renames leaves both
+    tables, and the next run puts things right.
+    """
+    spark = df.sparkSession
+    new, old = f"{name}__new", f"{name}__old"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(old):
+        _rename(spark, old, name)
+    if not spark.catalog.tableExists(name):
+        with partitioned_writer(df, partition_by) as out:
+            out.partitionBy(*partition_by).mode("overwrite").saveAsTable(name)
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {new}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     with partitioned_writer(df, partition_by) as out:
-        out.partitionBy(*partition_by).mode("overwrite").saveAsTable(name)
+        out.partitionBy(*partition_by).mode("overwrite").saveAsTable(new)
+    _rename(spark, name, old)
+    _rename(spark, new, name)
+    spark.sql(f"DROP TABLE {old}")
+
+
+def _rename(spark: SparkSession, name: str, to: str) -> None:
+    partitioned = any(c.isPartition for c in spark.catalog.listColumns(name))
+    spark.sql(f"ALTER TABLE {name} RENAME TO {to}")
+    if partitioned:  # a catalog may still know the partitions by their old folders
+        with listing_folders(spark):
+            spark.sql(f"MSCK REPAIR TABLE {to} DROP PARTITIONS")
+            spark.sql(f"MSCK REPAIR TABLE {to} ADD PARTITIONS")
 
 
 def replace_partitions(df: DataFrame, name: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -71,7 +72,7 @@ def main() -> int:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.warehouse.dir", "/tmp/smeltery-warehouse")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="smeltery-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

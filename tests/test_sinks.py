@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 from datetime import timedelta
 
 import pytest
@@ -121,10 +123,10 @@ def test_dates_of_common_size_get_one_file_each(spark, skewed):
 
 
 def test_sql_model_over_declared_sources(spark, namespace, days):
-    declare_sources(spark, {"declared_days": days})
-    model = "WITH s AS (SELECT d FROM declared_days) SELECT d, count(*) AS n FROM s GROUP BY d"
-    assert [r.n for r in materialise(spark, model, f"{namespace}.m").collect()] == [100] * 3
-    assert materialise(spark, days, f"{namespace}.n", ["d"]).count() == 300
+    with declare_sources(spark, {"declared_days": days}):
+        model = "WITH s AS (SELECT d FROM declared_days) SELECT d, count(*) AS n FROM s GROUP BY d"
+        assert [r.n for r in materialise(spark, model, f"{namespace}.m").collect()] == [100] * 3
+        assert materialise(spark, days, f"{namespace}.n", ["d"]).count() == 300
 
 
 def test_versions_are_logged_and_readable(spark, days):
@@ -211,3 +213,47 @@ def test_work_folder_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = work_folder(spark, "x"), work_folder(spark, "x")
     assert one != two and os.path.dirname(one) == base
+
+
+def test_a_table_stays_until_its_successor_is_written(spark, days):
+    space = work_folder(spark, "space")
+    name = space.rsplit("/", 1)[1].replace("-", "_")
+    ensure_namespace(spark, name, space)
+    for by in ([], ["d"]):
+        table = f"{name}.t{len(by)}"
+        replace_table(days, table, by)
+        with pytest.raises(Exception, match="stop"):
+            replace_table(days.withColumn("x", F.raise_error(F.lit("stop"))), table, by)
+        assert spark.table(table).count() == 300
+        replace_table(days.where("id < 20"), table, by)
+        assert spark.table(table).count() == 20
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old")  # as a job leaves it that dies between renames
+        replace_table(days.where("id < 30"), table, by)
+        assert sorted(r.id for r in spark.table(table).collect()) == list(range(30))
+        assert not spark.catalog.tableExists(f"{table}__old")
+
+
+def test_defaults_fill_in_what_spark_defaults_leaves_open(tmp_path):
+    (tmp_path / "spark-defaults.conf").write_text(
+        "spark.sql.session.timeZone America/New_York\nspark.sql.adaptive.advisoryPartitionSizeInBytes 32m\n"
+        "spark.ui.enabled false\nspark.master local[1]\n"
+    )
+    code = (
+        "from smeltery.session import build_session; s = build_session('t'); "
+        "print('GOT', s.conf.get('spark.sql.session.timeZone'), "
+        "s.conf.get('spark.sql.adaptive.advisoryPartitionSizeInBytes'), "
+        "s.conf.get('spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled'))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": root}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert "GOT America/New_York 32m true" in out.stdout
+
+
+def test_declared_sources_leave_no_views(spark):
+    with declare_sources(spark, {"one_source": spark.range(3)}):
+        assert spark.sql("SELECT count(*) FROM one_source").first()[0] == 3
+        with pytest.raises(Exception, match="one_source"):
+            with declare_sources(spark, {"one_source": spark.range(1)}):
+                pass
+    assert not spark.catalog.tableExists("one_source")
