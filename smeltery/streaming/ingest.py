@@ -22,6 +22,7 @@ def ingest_new_files(
     max_files_per_batch: int = 1000,
     stamp: bool = True,
     dataset: str | None = None,
+    max_file_age: str = "36500d",
 ) -> None:
     """Conform the files that landed below ``source`` since the last run and add them to ``target``.
 
@@ -31,6 +32,10 @@ def ingest_new_files(
     read with the period reader, by exact path. The checkpoint remembers the files, and a batch owns the
     folder it writes, so a batch that is run again replaces its own output. A batch with a file that lacks
     a column fails, naming it, and nothing of the batch is taken until the file is mended or moved.
+
+    The stream keeps the names of files younger than ``max_file_age``, counted back from the newest, in the
+    driver's memory. By default that is every file ever taken, so that none is passed over however late it
+    lands; a folder that gets millions of files needs a bound on how late a file may be.
     """
     folder = source if dataset is None else f"{source.rstrip('/')}/{dataset}"
     landed = (
@@ -39,8 +44,7 @@ def ingest_new_files(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", max_files_per_batch)
-        # By default a file a week older than the newest one would be passed over.
-        .option("maxFileAge", "36500d")
+        .option("maxFileAge", max_file_age)
         .load(exact(folder))
         .select("path")
     )
