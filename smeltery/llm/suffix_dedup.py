@@ -46,11 +46,14 @@ ANCHOR = 12
 CHUNK_BYTES = 8 << 20
 #: Bytes looked at in one go for anchors.
 SLICE_BYTES = 1 << 20
-#: Raw text per shard.
-SHARD_BYTES = 8 << 20
+#: Raw text per shard; with more text than so many shards hold, shards grow, and are dealt into parts on disk.
+SHARD_BYTES = 4 << 20
+MAX_SHARDS = 2048
 #: Different items a shard sorts in memory; beyond, it is dealt into parts on disk.
-MAX_ITEMS = 2_000_000
-PARTS = 16
+MAX_ITEMS = 600_000
+PARTS = 32
+#: How often parts are made by anchors before single windows are dealt.
+BY_ANCHOR = 2
 SPOOL_BYTES = 48 << 20
 LEVEL = 6
 NO_ID = np.iinfo(np.int64).max
@@ -156,10 +159,19 @@ def _items(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         spot = anchor[first]
         found.append((begin[first], count, spot - first, hashes[spot]))
     if not found:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+        nothing = np.zeros(0, dtype=np.int64)
+        return nothing, nothing, nothing, nothing.astype(np.uint64)
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
+def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Mixed anew: hashes of anchors are the least of many, so their first bits are alike."""
+    mixed = hashes * np.uint64(0xD6E8FEB86659FD93)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
 class Frame:
     """Items of one chunk in one shard."""
 
@@ -192,7 +204,7 @@ def _framed(chunks: DataFrame, shards: int) -> DataFrame:
                 ids = np.cumsum(_spread(row["ids"], np.int64))
                 begin, count, left, hashes = _items(np.frombuffer(raw, dtype=np.uint8), ends)
                 owner = ids[np.searchsorted(ends, begin, side="right")] if len(begin) else begin
-                shard = ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+                shard = _shard(hashes, shards)
                 order = np.argsort(shard, kind="stable")  # by place within a shard
                 bounds = np.searchsorted(shard[order], np.arange(shards + 1)).tolist()
                 stop = begin + count + WINDOW - 1
@@ -235,14 +247,18 @@ class Spool:
 
 def induced_minima(contents: list[bytes], left: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows (item, number of the window in it) that an item with a smaller owner also holds."""
+    if not contents:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     sizes = np.fromiter(map(len, contents), dtype=np.int64, count=len(contents))
     flat = np.frombuffer(b"".join(contents), dtype=np.uint8)
     spot = np.cumsum(sizes) - sizes + left
     behind = sizes - left  # bytes from the anchor on
     # Anchors no other item has are done.
-    padded = np.concatenate([flat, np.zeros(WINDOW + 14, dtype=np.uint8)])
-    words = _eight(padded)
-    low, high = words[spot], words[spot + ANCHOR - 8]
+    padded = np.concatenate([flat, np.zeros(WINDOW, dtype=np.uint8)])
+    low, high = (
+        sum(padded[spot + begin + k].astype(np.uint64) << np.uint64(8 * k) for k in range(8))
+        for begin in (0, ANCHOR - 8)
+    )
     order = np.lexsort((high, low))
     same = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
     items = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
@@ -250,9 +266,9 @@ def induced_minima(contents: list[bytes], left: np.ndarray, owner: np.ndarray) -
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     # Sort the suffixes at anchors, and measure what neighbours have in common.
     width = -(-WINDOW // 8) * 8
-    reach = np.arange(width)
-    suffixes = padded[spot[items, None] + reach]
-    suffixes[reach >= behind[items, None]] = 0
+    suffixes = np.zeros((len(items), width), dtype=np.uint8)
+    for reach in range(WINDOW):
+        suffixes[:, reach] = np.where(reach < behind[items], padded[spot[items] + reach], 0)
     columns = suffixes.view(">u8").astype(np.uint64)
     order = np.lexsort(columns.T[::-1])
     items, suffixes = items[order], suffixes[order]
@@ -298,17 +314,15 @@ def induced_minima(contents: list[bytes], left: np.ndarray, owner: np.ndarray) -
 
 
 def _part(content: bytes, left: int, depth: int) -> int:
-    whole = content if depth else content[left : left + ANCHOR]
-    return (xxhash.xxh32_intdigest(whole, depth)) % PARTS
+    told = content if depth >= BY_ANCHOR else content[left : left + ANCHOR]
+    return xxhash.xxh32_intdigest(told, depth) % PARTS
 
 
 def _dealt(frame: Frame, depth: int) -> Iterator[tuple[int, Frame]]:
-    """The frame's items by part; from the second time on as single windows."""
+    """The frame's items by part; in the end as single windows."""
     rows = zip(frame.ids.tolist(), frame.places.tolist(), frame.left.tolist(), frame.contents)
-    if depth == 1:
-        rows = (
-            (i, p + k, 0, c[k : k + WINDOW]) for i, p, _, c in rows for k in range(len(c) - WINDOW + 1)
-        )
+    if depth == BY_ANCHOR:
+        rows = ((i, p + k, 0, c[k : k + WINDOW]) for i, p, _, c in rows for k in range(len(c) - WINDOW + 1))
     parts: list[list] = [[] for _ in range(PARTS)]
     for row in rows:
         parts[_part(row[3], row[2], depth)].append(row)
@@ -323,7 +337,7 @@ def removed_ranges(spool: Spool, max_items: int = MAX_ITEMS, depth: int = 0) ->
     numbers: dict[bytes, int] = {}
     left: list[np.ndarray] = []
     owner = np.zeros(0, dtype=np.int64)
-    whole = depth >= 2  # single windows: the bytes tell all
+    whole = depth > BY_ANCHOR  # single windows: the bytes tell all
     too_many = False
     for frame in spool:
         before = len(numbers)
@@ -340,7 +354,7 @@ def removed_ranges(spool: Spool, max_items: int = MAX_ITEMS, depth: int = 0) ->
             break
     if too_many:
         del numbers, left, owner
-        parts = [Spool() for _ in range(PARTS)]
+        parts = [Spool(SPOOL_BYTES // PARTS) for _ in range(PARTS)]
         for frame in spool:
             for number, part in _dealt(frame, depth):
                 parts[number].add(part.packed())
@@ -462,7 +476,7 @@ def remove_repeats(
     """Per row: ``doc_id``, ``text_hash``, ``n_bytes``, ``n_removed``, ``n_spans``, and the bytes ``kept``."""
     total = docs.select(F.sum(F.octet_length(text_or_empty(text))).alias("n")).first()["n"] or 0
     chunks = written(chunked(docs, id, text, chunk_bytes), "chunks")
-    framed = _framed(chunks, max(1, -(-total // shard_bytes)))
+    framed = _framed(chunks, min(MAX_SHARDS, max(1, -(-total // shard_bytes))))
     return _applied(chunks, written(_solved(framed, max_items), "ranges"), whole_characters)
 
 
@@ -492,3 +506,29 @@ def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", **l
 def op1_suffix_dedup(spark, sf_dir):
     found = remove_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Bytes are pairs of hexadecimal digits here, so that strings of them can be cut anywhere.
+OP1_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (
+  SELECT doc_id, 256 * k AS base, substr(h, 512 * k + 1, 512 + {2 * WINDOW - 2}) AS h
+  FROM (SELECT doc_id, h, unnest(range((length(h) + 511) // 512)) AS k FROM d)),
+w AS (
+  SELECT doc_id, base + k AS p, substr(h, 2 * k + 1, 2) AS one,
+    CASE WHEN 2 * k + {2 * WINDOW} <= length(h) THEN substr(h, 2 * k + 1, {2 * WINDOW}) END AS win
+  FROM (SELECT doc_id, base, h, unnest(range(least(256, length(h) // 2))) AS k FROM parts)),
+firsts AS (SELECT win, min(doc_id) AS first_id FROM w WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1),
+f AS (SELECT doc_id, p, one, coalesce(first_id < doc_id, false) AS again FROM w LEFT JOIN firsts USING (win)),
+c AS (
+  SELECT doc_id, p, one, max(again::INT) OVER (
+    PARTITION BY doc_id ORDER BY p ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) = 1 AS covered FROM f),
+s AS (
+  SELECT *, covered AND NOT coalesce(lag(covered) OVER (PARTITION BY doc_id ORDER BY p), false) AS begins FROM c),
+t AS (
+  SELECT doc_id, count(*) FILTER (WHERE covered) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+    string_agg(one, '' ORDER BY p) FILTER (WHERE NOT covered) AS kept FROM s GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
