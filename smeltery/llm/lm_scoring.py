@@ -36,7 +36,7 @@ FOLDS, HELD_OUT = 7, 2
 MODEL_WORDS = 2048
 CLASS_WORDS = 64
 #: Words of the broadcast table of counts.
-TABLE_WORDS = 1 << 18
+TABLE_WORDS = 1 << 17
 CONTEXT = 3
 WIDTH = 16
 NOISE = 16
@@ -80,6 +80,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("count"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> pa.Table:
+    """The most frequent words, at most so many, in order of their counts.
+
+    Words are counted by steps of the logarithm of their count, a few thousand steps at most, and the
+    table takes whole steps from the top: no task sends more than its share of the table.
+    """
+    step = F.floor(F.log2("count") * 64).cast("int")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()
+    least, held = None, 0
+    for row in sorted(sizes, reverse=True):
+        held += row["n"]
+        if held > most:
+            break
+        least = row["step"]
+    taken = counts.where(step >= least) if least is not None else counts.where("false")
+    return taken.toArrow().sort_by([("count", "descending"), ("word", "ascending")])
+
+
 class Statistics:
     """Counts of the frequent words, and totals over all."""
 
@@ -145,8 +163,7 @@ class Model:
         classes = np.minimum(target // CLASS_WORDS, self.n_classes - 1)
         classes[target >= self.n_words] = self.n_classes - 1
         out = _normalised(vectors @ self.classes.T + self.class_bias, classes)
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(self.n_classes))
+        order, bounds = _by_class(classes, self.n_classes)
         for c, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if a < b:
                 rows = order[a:b]
@@ -156,6 +173,13 @@ class Model:
         return out / math.log(10)
 
 
+def _by_class(classes: np.ndarray, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of their class, and where each class but the last begins and ends."""
+    small = classes.astype(np.int16)
+    order = np.argsort(small, kind="stable")
+    return order, np.searchsorted(small[order], np.arange(n_classes))
+
+
 def _normalised(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Natural logarithms of the shares of the chosen columns; scores stay far from what floats can hold."""
     own = scores[np.arange(len(scores)), chosen].astype(np.float64)
@@ -215,8 +239,7 @@ class Trainer:
         back, parts["classes"][:], parts["class_bias"][:] = self._contrast(
             vectors, m.classes, m.class_bias, self.class_noise, classes
         )
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(m.n_classes))
+        order, bounds = _by_class(classes, m.n_classes)
         for c, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if a < b:
                 rows = order[a:b]
@@ -227,10 +250,14 @@ class Trainer:
                 back[rows] += to_vectors
         for j in range(CONTEXT):
             words = context[:, j]
-            to_seen = back * m.place[j]
-            for k in range(WIDTH):
-                parts["seen"][:, k] += np.bincount(words, to_seen[:, k], len(m.seen))
-            parts["place"][j] = (back * m.seen[words]).sum(axis=0)
+            order = np.argsort(words, kind="stable")
+            sorted_words = words[order]
+            first = np.flatnonzero(np.append(True, sorted_words[1:] != sorted_words[:-1]))
+            of_word = np.add.reduceat(back[order], first, axis=0)
+            some = sorted_words[first]
+            parts["seen"][some] += of_word * m.place[j]
+            # Rows of one word share its vector.
+            parts["place"][j] = np.einsum("ij,ij->j", of_word, m.seen[some])
         gradient /= len(target)
         self.squares += gradient * gradient
         m.parameters += RATE * gradient / np.sqrt(self.squares)
@@ -238,11 +265,11 @@ class Trainer:
 
 
 class Reader:
-    """Numbers of words, and contexts, from texts."""
+    """Numbers of words, and contexts, from texts. Training needs no words but those of the model."""
 
-    def __init__(self, statistics: Statistics):
-        self.number = {w: i for i, w in enumerate(statistics.words)}
+    def __init__(self, statistics: Statistics, whole_table: bool):
         self.n_words = statistics.model_words
+        self.number = {w: i for i, w in enumerate(statistics.words if whole_table else statistics.words[: self.n_words])}
 
     def read(self, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens; numbers of all tokens, -1 outside the table; their model words; contexts; where texts end."""
@@ -251,21 +278,21 @@ class Reader:
         flat = np.fromiter(map(self.number.get, chain.from_iterable(split), repeat(-1)), np.int64, int(ends[-1]))
         words = np.where((flat < 0) | (flat >= self.n_words), self.n_words, flat)
         place = np.arange(len(flat)) - np.repeat(np.append(0, ends[:-1]), np.diff(ends, prepend=0))
-        context = np.full((len(flat), CONTEXT), self.n_words + 1)
+        context = np.full((len(flat), CONTEXT), self.n_words + 1, dtype=np.int16)
         for j in range(CONTEXT):
             context[j + 1 :, j] = words[: len(words) - j - 1]
             context[place <= j, j] = self.n_words + 1
         return split, flat, words, context, ends
 
 
-_readers: dict[int, tuple[object, Reader]] = {}
+_readers: dict[bool, tuple[Statistics, Reader]] = {}
 
 
-def _reader(statistics: Statistics) -> Reader:
+def _reader(statistics: Statistics, whole_table: bool) -> Reader:
     """The worker's reader for the statistics it got."""
-    if 0 not in _readers or _readers[0][0] is not statistics:
-        _readers[0] = statistics, Reader(statistics)
-    return _readers[0][1]
+    if whole_table not in _readers or _readers[whole_table][0] is not statistics:
+        _readers[whole_table] = statistics, Reader(statistics, whole_table)
+    return _readers[whole_table][1]
 
 
 def trained_parameters(texts: DataFrame, statistics) -> tuple[np.ndarray, int] | None:
@@ -275,7 +302,7 @@ def trained_parameters(texts: DataFrame, statistics) -> tuple[np.ndarray, int] |
         known = statistics.value
         model = Model(known)
         trainer = Trainer(model, TaskContext.get().partitionId())
-        reader = _reader(known)
+        reader = _reader(known, whole_table=False)
         for batch in steps(batches):
             if not batch.num_rows:
                 continue
@@ -323,7 +350,7 @@ def _scored(taken: DataFrame, known, parameters) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         statistics = known.value
-        reader, model = _reader(statistics), Model(statistics)
+        reader, model = _reader(statistics, whole_table=True), Model(statistics)
         if parameters.value is not None:
             model.parameters[:] = parameters.value
         base_of = np.append(statistics.base(statistics.counts), 0.0)
@@ -375,9 +402,13 @@ def score_texts(
     training = taken.where("NOT held_out").select("_text")
     counts = written(word_counts(training), "words")
     totals = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.orderBy(F.desc("count"), "word").limit(table_words).collect()
+    top = frequent_words(counts, table_words)
     statistics = Statistics(
-        [r["word"].encode() for r in top], [r["count"] for r in top], totals["n"] or 0, totals["v"], model_words
+        [w.encode() for w in top["word"].to_pylist()],
+        top["count"].to_pylist(),
+        totals["n"] or 0,
+        totals["v"],
+        model_words,
     )
     known = spark.sparkContext.broadcast(statistics)
     parameters = spark.sparkContext.broadcast(trained_parameters(training, known))
