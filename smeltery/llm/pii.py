@@ -283,3 +283,103 @@ def op10_personal_data(spark, sf_dir):
         F.sha2(listed(F.filter("spans", lambda s: s["kind"] < term)), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+#: The same patterns as a user of another engine writes them.
+_PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _found(source: str, keys: str, text: str) -> str:
+    """Matches of every kind, and the texts between them."""
+    return "\n  UNION ALL ".join(
+        f"SELECT {keys}, {n} AS kind, regexp_extract_all({text}, '{p}') AS hits, "
+        f"string_split_regex({text}, '{p}') AS gaps FROM {source} WHERE regexp_matches({text}, '{p}')"
+        for n, p in enumerate(_PLAIN.values())
+    )
+
+
+_DIGITS = "regexp_replace(v, '[^0-9]', '', 'g')"
+_VALID = f"""CASE kind WHEN 0 THEN true
+    WHEN 1 THEN list_max(list_transform(string_split(v, '.'), lambda x: CASE
+      WHEN length(ltrim(x, '0')) > 3 THEN 999 WHEN ltrim(x, '0') = '' THEN 0 ELSE ltrim(x, '0')::INT END)) <= 255
+    WHEN 2 THEN length({_DIGITS}) BETWEEN 13 AND 19 AND list_sum(list_transform(
+      range(length({_DIGITS})), lambda i: CASE WHEN i % 2 = 0 THEN reverse({_DIGITS})[i + 1]::INT
+        ELSE 2 * reverse({_DIGITS})[i + 1]::INT - CASE WHEN reverse({_DIGITS})[i + 1]::INT > 4 THEN 9 ELSE 0 END
+      END)) % 10 = 0
+    ELSE length({_DIGITS}) BETWEEN 9 AND 15 END"""
+_NAME = f"kind || ':' || CASE kind WHEN 0 THEN lower(v) WHEN 1 THEN v ELSE {_DIGITS} END"
+
+
+def _lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _listed(kinds: str) -> str:
+    items = f"list_transform({kinds}, lambda x: {KINDS}[x.kind + 1] || ':' || x.a || ':' || x.e)"
+    return f"array_to_string({items}, ',')"
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({_found("d", "doc_id", "text")}),
+each AS (
+  SELECT doc_id, kind, unnest(hits) AS v, unnest(gaps[1:len(hits)]) AS g, unnest(range(len(hits))) AS n FROM m),
+placed AS (
+  SELECT doc_id, kind, v,
+    (sum(length(g) + length(v)) OVER (PARTITION BY doc_id, kind ORDER BY n))::BIGINT AS e FROM each),
+base AS (SELECT doc_id, kind, v, e - length(v) AS a, e, {_NAME} AS entity FROM placed WHERE {_VALID}),
+l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS number
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM d)),
+lm AS ({_found("l", "doc_id, number, line", "line")}),
+mention AS (
+  SELECT doc_id, number, line, kind, unnest(hits) AS v, unnest(gaps[1:len(hits)]) AS before,
+    unnest(gaps[2:len(hits) + 1]) AS after FROM lm),
+near AS (
+  SELECT doc_id, number, line, {_NAME} AS entity,
+    list_filter(string_split_regex({_lower(
+        "array_to_string(list_concat(regexp_extract_all(before, '[^\\x20\\x09-\\x0D]+')[-10:], "
+        "regexp_extract_all(after, '[^\\x20\\x09-\\x0D]+')[1:10]), ' ')"
+    )}, '[^\p{{L}}]+'), lambda t: t <> '') AS terms
+  FROM mention WHERE {_VALID}),
+entities AS (
+  SELECT entity, count(DISTINCT (doc_id, number)) AS lines FROM near
+  GROUP BY entity HAVING count(DISTINCT line) >= {SUPPORT}),
+pairs AS (
+  SELECT entity, term, count(DISTINCT (doc_id, number)) AS both_lines
+  FROM (SELECT doc_id, number, line, entity, unnest(terms) AS term FROM near) JOIN entities USING (entity)
+  GROUP BY entity, term HAVING count(DISTINCT line) >= {SUPPORT}),
+words AS (
+  SELECT term, count(*) AS lines
+  FROM (SELECT unnest(list_distinct(string_split_regex({_lower("line")}, '[^\p{{L}}]+'))) AS term FROM l)
+  WHERE term IN (SELECT term FROM pairs) GROUP BY term),
+total AS (SELECT count(*)::DOUBLE AS n FROM l),
+telling AS (
+  SELECT p.entity, p.term FROM pairs p JOIN words w USING (term) JOIN entities x USING (entity), total
+  WHERE log2(both_lines * n / (w.lines * x.lines)) >= {DISCLOSURE} * log2(n / x.lines)),
+told AS (SELECT DISTINCT doc_id, term FROM base JOIN telling USING (entity)),
+runs AS (
+  SELECT doc_id, regexp_extract_all(text, '\p{{L}}+') AS hits, string_split_regex(text, '\p{{L}}+') AS gaps
+  FROM d WHERE doc_id IN (SELECT doc_id FROM told)),
+run AS (
+  SELECT doc_id, unnest(hits) AS v, unnest(gaps[1:len(hits)]) AS g, unnest(range(len(hits))) AS n FROM runs),
+run_placed AS (
+  SELECT doc_id, v, (sum(length(g) + length(v)) OVER (PARTITION BY doc_id ORDER BY n))::BIGINT AS e FROM run),
+terms AS (
+  SELECT r.doc_id, 4 AS kind, e - length(v) AS a, e
+  FROM run_placed r JOIN told ON told.doc_id = r.doc_id AND told.term = {_lower("v")}
+  WHERE NOT EXISTS (
+    SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.a < r.e AND r.e - length(r.v) < b.e)),
+spans AS (
+  SELECT doc_id, list({{'kind': kind, 'a': a, 'e': e}} ORDER BY kind, a, e) AS s
+  FROM (SELECT doc_id, kind, a, e FROM base UNION ALL SELECT * FROM terms) GROUP BY doc_id),
+filled AS (SELECT doc_id, coalesce(s, []) AS s FROM d LEFT JOIN spans USING (doc_id))
+SELECT doc_id, {", ".join(f"len(list_filter(s, lambda x: x.kind = {n}))::BIGINT AS n_{k}" for n, k in enumerate(_PLAIN))},
+  sha256({_listed("list_filter(s, lambda x: x.kind < 4)")}) AS base_sha256, {_listed("s")} AS spans
+FROM filled
+"""

@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_suffix_dedup": suffix_dedup.OP1_SQL,
     "op6_quality_rules": quality_rules.OP6_SQL,
     "op9_license_scan": licenses.OP9_SQL,
+    "op10_personal_data": pii.OP10_SQL,
 }

@@ -97,67 +97,84 @@ def linked_sets(bits: np.ndarray, ids: np.ndarray, max_distance: int) -> Iterato
             bits, ids = bits[~near], ids[~near]
 
 
+#: Either a link of two nodes, or a row of a chunk of a group that was too large.
+_TOLD = pa.schema(
+    [
+        ("a", pa.int64()),
+        ("b", pa.int64()),
+        ("mask", pa.int32()),
+        ("key", pa.int64()),
+        ("part", pa.int32()),
+        ("bits", pa.int64()),
+        ("node", pa.int64()),
+    ]
+)
+_TOLD_DDL = "a long, b long, mask int, key long, part int, bits long, node long"
+
+
+def _told(**known: np.ndarray) -> pa.RecordBatch:
+    n = len(next(iter(known.values())))
+    columns = [pa.array(known[f.name], f.type) if f.name in known else pa.nulls(n, f.type) for f in _TOLD]
+    return pa.RecordBatch.from_arrays(columns, schema=_TOLD)
+
+
+def _links_in_groups(rows: np.ndarray, max_distance: int) -> Iterator[pa.RecordBatch]:
+    """Links within each group of rows: columns that name the group, then bits and node."""
+    edges = np.flatnonzero(np.any(rows[1:, :-2] != rows[:-1, :-2], axis=1)) + 1
+    bounds = np.array([0, *edges.tolist(), len(rows)])
+    sizes = np.diff(bounds)
+    first = bounds[:-1][sizes == 2]
+    near = first[distance(rows[first, -2], rows[first + 1, -2]) <= max_distance]
+    links = list(zip(rows[near, -1].tolist(), rows[near + 1, -1].tolist()))
+    for begin, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        group = rows[begin : begin + size]
+        links += linked_sets(group[:, -2], group[:, -1], max_distance)
+    if links:
+        ends = np.array(links)
+        yield _told(a=ends[:, 0], b=ends[:, 1])
+
+
+def _chunk(rows: np.ndarray, part: int) -> pa.RecordBatch:
+    """Rows of one large group, to be compared with its other chunks later."""
+    mask, key, bits, node = rows.T
+    return _told(mask=mask.astype(np.int32), key=key, part=np.full(len(rows), part, np.int32), bits=bits, node=node)
+
+
 def _links(groups: DataFrame, by: list[str], max_distance: int, chunk: int | None) -> DataFrame:
-    """Links within groups of rows (``bits``, ``node``). With ``chunk``, larger groups come back in chunks instead."""
+    """Links within groups of rows (``bits``, ``node``). With ``chunk``, larger groups come back in chunks instead.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(links: list, part: int = 0, key: tuple = (None, None), hot: list | None = None) -> pa.RecordBatch:
-            rows = hot or links
-            n = len(rows)
-            a, b = zip(*rows)
-            columns = [a, b] if hot is None else [[None] * n, [None] * n]
-            columns += [[key[0]] * n, [key[1]] * n, [part if hot else None] * n]
-            columns += [[None] * n, [None] * n] if hot is None else [a, b]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "mask", "key", "part", "bits", "node"]
-            )
-
-        held: list[np.ndarray] = []  # rows of the last group seen, which may go on in the next batch
-        parts = 0
-
-        def closed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            """Results of rows that make whole groups, in order."""
-            edges = np.flatnonzero(np.any(rows[1:, :-2] != rows[:-1, :-2], axis=1)) + 1
-            bounds = np.array([0, *edges.tolist(), len(rows)])
-            sizes = np.diff(bounds)
-            links: list[tuple[int, int]] = []
-            pairs = bounds[:-1][sizes == 2]
-            near = distance(rows[pairs, -2], rows[pairs + 1, -2]) <= max_distance
-            links += zip(rows[pairs[near], -1].tolist(), rows[pairs[near] + 1, -1].tolist())
-            for begin, size in zip(bounds[:-1][sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                links += linked_sets(rows[begin : begin + size, -2], rows[begin : begin + size, -1], max_distance)
-            if links:
-                yield told(links)
+    Groups are read in order, so a task holds the rows of one batch and of the group at its end.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: np.ndarray | None = None  # rows of the last group seen, which may go on in the next batch
+        parts = 0  # chunks of that group that are out already
         for batch in batches:
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(batch.num_columns)], axis=1)
-            rows = np.concatenate([*held, rows]) if held else rows
+            columns = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            rows = np.stack(columns, axis=1)
+            rows = rows if held is None else np.concatenate([held, rows])
             if not len(rows):
                 continue
-            same = np.all(rows[:, :-2] == rows[-1, :-2], axis=1)
-            begin = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0
+            last = np.all(rows[:, :-2] == rows[-1, :-2], axis=1)
+            begin = 0 if last.all() else len(rows) - int(np.argmin(last[::-1]))
             if begin:
-                whole, rest = rows[:begin], rows[begin:]
-                if parts:  # the first group is one that was too large: its last rows
+                whole, rows = rows[:begin], rows[begin:]
+                if parts:  # the rest of a group that was too large comes first
                     first = np.all(whole[:, :-2] == whole[0, :-2], axis=1)
-                    stop = int(np.argmin(first)) if not first.all() else len(whole)
-                    yield told([], parts, tuple(whole[0, :2].tolist()), list(zip(*whole[:stop, -2:].T.tolist())))
+                    stop = len(whole) if first.all() else int(np.argmin(first))
+                    yield _chunk(whole[:stop], parts)
                     whole, parts = whole[stop:], 0
                 if len(whole):
-                    yield from closed(whole)
-                rows = rest
+                    yield from _links_in_groups(whole, max_distance)
             while chunk and len(rows) > chunk:
-                yield told([], parts, tuple(rows[0, :2].tolist()), list(zip(*rows[:chunk, -2:].T.tolist())))
+                yield _chunk(rows[:chunk], parts)
                 rows, parts = rows[chunk:], parts + 1
-            held = [rows]
-        if held and parts:
-            yield told([], parts, tuple(held[0][0, :2].tolist()), list(zip(*held[0][:, -2:].T.tolist())))
-        elif held:
-            yield from closed(held[0])
+            held = rows
+        if held is not None:
+            yield from [_chunk(held, parts)] if parts else _links_in_groups(held, max_distance)
 
     ordered = groups.repartition(*by).sortWithinPartitions(*by).select(*by, "bits", "node")
-    return ordered.mapInArrow(run, "a long, b long, mask int, key long, part int, bits long, node long")
+    return ordered.mapInArrow(run, _TOLD_DDL)
 
 
 def near_links(nodes: DataFrame, max_distance: int = MAX_DISTANCE, chunk: int = CHUNK) -> DataFrame:

@@ -1,0 +1,613 @@
+"""Each corpus operator against SQL or a plain version, on the smallest tables and on awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import os
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from corpus_cases import (
+    EXTRA,
+    LOWER,
+    PROSE,
+    WORD,
+    awkward_rows,
+    by_id,
+    components,
+    covered_bytes,
+    fingerprint,
+    jaccard,
+    personal_spans,
+    spans,
+    table,
+)
+from oracle_check import differences, duck
+from tokenizers import Tokenizer
+
+from smeltery.llm import (
+    bpe,
+    codec,
+    licenses,
+    lm_scoring,
+    packing,
+    pii,
+    quality_rules,
+    queries,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    weighted_fingerprints,
+)
+
+SF_DIR = "/root/testdata/sf0.001"
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return table(spark, awkward_rows())
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return table(spark, [])
+
+
+def sha(text):
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_matches_sql(spark, name):
+    assert differences(duck(SF_DIR), queries.SQL[name], queries.QUERIES[name](spark, SF_DIR)) == []
+
+
+def test_queries_return_the_agreed_columns(spark):
+    agreed = {
+        1: "doc_id n_bytes n_removed n_spans kept_sha256",
+        2: "doc_id n_tokens ids_sha256 decoded_sha256",
+        3: "doc_id n_bytes n_tokens over_limit",
+        4: "doc_id piece start length ids_crc32 sequence_id offset",
+        5: "doc_id held_out n_tokens n_known train_tokens base_score score",
+        6: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+        7: "doc_id fingerprint component_id",
+        8: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+        9: "doc_id n_words n_base first_word last_word base_labels labels score",
+        10: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    }
+    for number, names in agreed.items():
+        (query,) = [q for n, q in queries.QUERIES.items() if n.startswith(f"op{number}_")]
+        kinds = dict(query(spark, SF_DIR).dtypes)
+        assert set(names.split()) <= set(kinds)
+        assert all(kinds[n] == "bigint" for n in names.split() if n.startswith(("n_", "doc_id")))
+
+
+# 1: repeated strings
+
+
+def check_repeats(rows, found, **_):
+    masks = covered_bytes(rows)
+    want = Counter(
+        (i, len(m), int(m.sum()), spans(m), sha(np.frombuffer((t or "").encode(), dtype=np.uint8)[~m].tobytes()))
+        for (i, t), m in zip(rows, masks)
+    )
+    got = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], sha(r["kept"])) for r in found)
+    assert got == want
+
+
+@pytest.mark.parametrize(
+    "limits",
+    [
+        {},
+        {"chunk_bytes": 60_000, "shard_bytes": 100_000},
+        {"chunk_bytes": 200_000, "shard_bytes": 10_000_000, "max_items": 6000},
+        {"chunk_bytes": 200_000, "shard_bytes": 300_000, "max_items": 900},
+    ],
+)
+def test_repeats_match_brute_force(docs, texts, limits):
+    check_repeats(list(texts.items()), suffix_dedup.remove_repeats(docs, **limits).collect())
+
+
+def test_repeats_in_awkward_rows(awkward):
+    rows = [(i, t) for i, t, _ in awkward_rows()]
+    check_repeats(rows, suffix_dedup.remove_repeats(awkward).collect())
+
+
+def test_repeats_of_few_letters(spark):
+    """Runs and periods share anchors in many ways."""
+    draw = random.Random(3)
+    rows = [(i, "".join(draw.choice("ab") for _ in range(4)) * draw.randint(1, 60), "s") for i in range(60)]
+    rows += [(60 + i, "ab" * draw.randint(20, 90) + draw.choice("ab") * draw.randint(0, 70), "s") for i in range(60)]
+    for limits in ({}, {"max_items": 20, "chunk_bytes": 3000}):
+        found = suffix_dedup.remove_repeats(table(spark, rows), **limits).collect()
+        check_repeats([(i, t) for i, t, _ in rows], found)
+
+
+def test_texts_without_repeats_keep_rows_and_columns(awkward):
+    out = suffix_dedup.without_repeats(awkward)
+    assert out.columns == awkward.columns
+    kept = by_id(out.collect())
+    assert sum(map(len, kept.values())) == len(awkward_rows())
+    assert kept[1][0]["text"] == PROSE and kept[2][0]["text"] == "" and kept[2][0]["n_chars"] == 0
+    assert kept[4][0]["text"] is None and kept[1][0]["bits"] == "own bits"
+
+
+def test_a_cut_character_goes_as_a_whole(spark):
+    shared = "日本語の文章がここにあります、とても長い。"
+    data = shared.encode()
+    rows = [(1, shared, "s"), (2, "本" + shared, "s")]
+    (one,) = [r for r in suffix_dedup.without_repeats(table(spark, rows)).collect() if r["doc_id"] == 2]
+    assert len(data) >= 50 and one["text"] in ("本", "")
+
+
+# 2 and 3: tokens
+
+
+def fuzz(n):
+    draw = random.Random(5)
+    parts = "'s| |  |\n|\t|<|endoftext|>|<|startoftext|>|a|B|Σ|é|é|日本|🙂|123|#$%|\x1c|\xa0|ing|the|İ|\x00|<||don't|\r\n"
+    alphabet = [*parts.split("|"), "<|endoftext|>", "<|startoftext|>", "|"]
+    return ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 30))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("path", [BYTE, WORDS])
+def test_encoder_matches_the_library(path, texts):
+    samples = [*fuzz(1500), "a" * 3000, "ab" * 900, " " * 400, "", *list(texts.values())[:40]]
+    wanted = [e.ids for e in Tokenizer.from_file(path).encode_batch(samples, add_special_tokens=False)]
+    made = bpe.Encoder(path, remembered=500)  # so small that it forgets
+    got = [i for a in range(0, len(samples), 100) for i in made.encode(samples[a : a + 100])]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == wanted
+
+
+def test_codec_round_trip_and_digests(spark, docs, texts):
+    library = Tokenizer.from_file(BYTE)
+    rows = {r["doc_id"]: r for r in codec.op2_bpe_codec(spark, SF_DIR).collect()}
+    for i, text in texts.items():
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert rows[i]["n_tokens"] == len(ids)
+        assert rows[i]["ids_sha256"] == sha(",".join(map(str, ids)))
+        assert rows[i]["decoded_sha256"] == sha(library.decode(ids, skip_special_tokens=False))
+    decoded = codec.decode(codec.encode(docs, BYTE), BYTE).collect()
+    assert {r["doc_id"]: r["decoded"] for r in decoded} == texts
+
+
+def test_codec_on_awkward_rows(spark, awkward, nothing):
+    decoded = codec.decode(codec.encode(awkward, BYTE), BYTE).collect()
+    want = Counter((i, t or "") for i, t, _ in awkward_rows())
+    assert Counter((r["doc_id"], r["decoded"]) for r in decoded) == want
+    assert codec.encode(nothing, BYTE).collect() == []
+    loose = spark.createDataFrame([(1, [50, 7000]), (2, None), (3, [187])], "doc_id long, ids array<int>")
+    library = Tokenizer.from_file(BYTE)
+    assert [r["decoded"] for r in codec.decode(loose, BYTE).collect()] == [
+        library.decode(ids, skip_special_tokens=False) for ids in ([50, 7000], [], [187])
+    ]
+
+
+def test_token_counts(spark, awkward, nothing, texts):
+    library = Tokenizer.from_file(WORDS)
+
+    def count(text):
+        return len(library.encode(text or "", add_special_tokens=False).ids)
+
+    rows = {r["doc_id"]: r for r in token_counts.op3_token_counts(spark, SF_DIR).collect()}
+    assert {i: r["n_tokens"] for i, r in rows.items()} == {i: count(t) for i, t in texts.items()}
+    assert all(r["over_limit"] == (r["n_tokens"] > 2048) for r in rows.values())
+    got = token_counts.token_counts(awkward, WORDS).collect()
+    want = Counter((i, len((t or "").encode()), count(t)) for i, t, _ in awkward_rows())
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got) == want
+    assert token_counts.token_counts(nothing, WORDS).collect() == []
+
+
+def test_counter_forgets_without_changing_counts(texts):
+    made = bpe.encoder(WORDS)
+    small = token_counts.TokenCounter(made, {"the": 1}, remembered=50)
+    large = token_counts.TokenCounter(made, {})
+    some = list(texts.values())[:30]
+    assert [small.count([t])[0] for t in some] == large.count(some)
+
+
+# 4: packing
+
+
+def check_packing(rows, texts, capacity=1024):
+    library = Tokenizer.from_file(BYTE)
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        pieces[r["doc_id"]].append(r)
+    for i, text in texts.items():
+        ids, at = [*library.encode(text, add_special_tokens=False).ids, 2], 0
+        for number, r in enumerate(sorted(pieces[i], key=lambda r: r["piece"])):
+            assert (r["piece"], r["start"]) == (number, at)
+            assert number == 0 or r["length"] == capacity
+            assert r["ids_crc32"] == zlib.crc32(np.array(ids[at : at + r["length"]], "<u4").tobytes())
+            at += r["length"]
+        assert at == len(ids) and len(pieces[i]) == -(-len(ids) // capacity)
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_packing(spark, texts):
+    rows = packing.op4_best_fit_packing(spark, SF_DIR).collect()
+    n = check_packing(rows, texts)
+    assert n <= 1.01 * math.ceil(sum(r["length"] for r in rows) / 1024)
+
+
+def test_packing_in_few_open_bins(docs, texts):
+    rows = packing.pack(docs.repartition(5), BYTE, open_bins=3, waiting=5, group_bins=4).collect()
+    assert check_packing(rows, texts) <= 1.3 * math.ceil(sum(r["length"] for r in rows) / 1024)
+
+
+def test_packing_awkward_rows(awkward, nothing):
+    rows = packing.pack(awkward, BYTE).collect()
+    whole = Counter()
+    for r in rows:
+        whole[r["doc_id"]] += r["length"]
+    library = Tokenizer.from_file(BYTE)
+    want = Counter()
+    for i, t, _ in awkward_rows():
+        want[i] += len(library.encode(t or "", add_special_tokens=False).ids) + 1
+    assert whole == want
+    assert packing.pack(nothing, BYTE).collect() == []
+
+
+def test_ids_of_very_long_blanks(monkeypatch):
+    text = " " * 600_000 + "x"
+    ids = packing.token_ids(BYTE, text)
+    assert ids.tolist() == Tokenizer.from_file(BYTE).encode(text, add_special_tokens=False).ids
+
+
+def test_rank_library_gives_the_same_ids():
+    library = Tokenizer.from_file(BYTE)
+    for text in fuzz(800):
+        assert packing.token_ids(BYTE, text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_open_bins_close_the_fullest():
+    bins = packing.OpenBins(10, 2)
+    assert [bins.place(n) for n in (6, 5, 4, 7)] == [(0, 0), (1, 0), (0, 6), (2, 0)]
+    assert bins.place(9) == (3, 0)  # closes bin 2, which has 7
+    assert sorted(bins.still_open()) == [(1, 5), (3, 9)]
+
+
+# 5: language model
+
+
+def check_scores(rows, given, n_train):
+    held = {i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for i, _ in given}
+    split = [(i, lm_scoring.tokens((t or "").encode())) for i, t in given]
+    counts = Counter(w for i, words in split if not held[i] for w in words)
+    total, distinct = sum(counts.values()), len(counts)
+    assert n_train in (None, total)
+    want = sorted(
+        (
+            str(i),
+            len(words),
+            sum(counts[w] > 0 for w in words),
+            round(sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words), 6),
+            held[i],
+        )
+        for i, words in split
+    )
+    got = sorted(
+        (str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 6), r["held_out"]) for r in rows
+    )
+    assert [w[:3] + w[4:] for w in want] == [g[:3] + g[4:] for g in got]
+    assert all(math.isclose(w[3], g[3], rel_tol=1e-9, abs_tol=1e-5) for w, g in zip(want, got))
+    assert all(r["train_tokens"] == total for r in rows)
+
+
+@pytest.mark.parametrize("limits", [{}, {"model_words": 100, "table_words": 200}])
+def test_base_scores(docs, texts, limits):
+    check_scores(lm_scoring.score_texts(docs, **limits).collect(), list(texts.items()), None)
+
+
+def test_scores_of_awkward_rows(awkward, nothing):
+    rows = lm_scoring.score_texts(awkward).collect()
+    check_scores(rows, [(i, t) for i, t, _ in awkward_rows()], None)
+    assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in rows)
+    assert lm_scoring.score_texts(nothing).collect() == []
+
+
+def test_model_learns_and_is_normalised():
+    draw = random.Random(1)
+    follow = {w: draw.sample([f"w{k}" for k in range(120)], 3) for w in [f"w{k}" for k in range(120)]}
+    lines = []
+    for _ in range(600):
+        words = ["w0"]
+        for _ in range(30):
+            words.append(draw.choice(follow[words[-1]]))
+        lines.append(" ".join(words).encode())
+    train, held = lines[:500], lines[500:]
+    counts = Counter(w for t in train for w in lm_scoring.tokens(t)).most_common()
+    known = lm_scoring.Statistics(
+        [w for w, _ in counts], [n for _, n in counts], sum(n for _, n in counts), len(counts), 100
+    )
+    reader, model = lm_scoring.Reader(known, True), lm_scoring.Model(known)
+
+    def score(texts):
+        _, _, words, context, _ = reader.read(texts)
+        return model.log10_probabilities(context, words).mean()
+
+    before = score(held)
+    trainer = lm_scoring.Trainer(model, 0)
+    for _ in range(15):
+        _, _, words, context, _ = reader.read(train)
+        for at in range(0, len(words), 1024):
+            trainer.step(context[at : at + 1024], words[at : at + 1024])
+    assert score(held) > before + 0.2
+    context = np.array([[3, 5, 7]] * 101)
+    shares = 10 ** model.log10_probabilities(context, np.arange(101))
+    assert math.isclose(shares.sum(), 1, rel_tol=1e-3)
+
+
+# 6: quality rules
+
+
+def test_quality_rules_on_awkward_rows(awkward, nothing):
+    rows = quality_rules.quality_rules(awkward).collect()
+    assert len(rows) == len(awkward_rows())
+    found = by_id(rows)
+    for i, text, _ in awkward_rows():
+        words = WORD.findall(text or "")
+        sizes = Counter(zip(words, words[1:], words[2:]))
+        inside = {k + d for k in range(len(words) - 2) if sizes[tuple(words[k : k + 3])] > 1 for d in range(3)}
+        stated = {(r["n_words"], r["n_repeat_words"], r["word_chars"]) for r in found[i]}
+        assert (len(words), len(inside), sum(map(len, words))) in stated
+    assert quality_rules.quality_rules(nothing).collect() == []
+
+
+def test_frequent_lines_go_and_the_first_document_keeps_them(spark):
+    body = [" ".join(f"{'ab' * (i + 1)}w{'c' * k}" for k in range(60)) for i in range(40)]
+    rows = [(i, f"A Common  Line {i % 10}\n{body[i]}", "h") for i in range(30)]
+    rows += [(30 + i, f"a common line 7\n{body[30 + i]}", "other") for i in range(5)]
+    copies = [(100 + i, f"{body[39]}\nextra line number {'x' * i}", "h") for i in range(12)]
+    out = {r["doc_id"]: r for r in quality_rules.apply_quality_rules(table(spark, rows + copies)).collect()}
+    assert out[0]["text"] == rows[0][1]
+    assert all(out[i]["text"] == body[i] for i in range(1, 30))
+    assert all(out[30 + i]["text"] == rows[30 + i][1] for i in range(5))  # too few on that host
+    assert 100 in out and not any(100 + i in out for i in range(1, 12))  # depleted but for the first
+    assert out[5]["n_chars"] == len(body[5]) and out[5]["kept"] == "own kept"
+
+
+# 7: near duplicates
+
+
+@pytest.mark.parametrize("chunk", [simhash.CHUNK, 2])
+def test_near_duplicates_match_brute_force(docs, texts, chunk):
+    rows = simhash.near_duplicates(docs, chunk=chunk).collect()
+    want = components({i: fingerprint(t) for i, t in texts.items()})
+    assert {r["doc_id"]: r["component_id"] for r in rows} == want
+    assert all(r["bits"] & (1 << 64) - 1 == fingerprint(texts[r["doc_id"]]) for r in rows)
+
+
+def test_chains_and_crowds_of_fingerprints(spark):
+    draw = random.Random(2)
+    chain = [0]
+    for _ in range(80):  # each is four bits from the last, so that a component grows wide
+        bits = chain[-1]
+        for b in draw.sample(range(64), 4):
+            bits ^= 1 << b
+        chain.append(bits)
+    centre = draw.getrandbits(64)
+    crowd = {centre ^ (1 << a) ^ (1 << b) for a in range(24) for b in range(a)}
+    prints = {n: v for n, v in enumerate(dict.fromkeys([*chain, *crowd, *(draw.getrandbits(64) for _ in range(200))]))}
+    signed = [(v - (1 << 64) if v >> 63 else v, n) for n, v in prints.items()]
+    nodes = spark.createDataFrame(signed, "bits long, node long")
+    for chunk in (7, 4096):
+        found = simhash.connected_components(simhash.near_links(nodes, chunk=chunk)).collect()
+        got = {r["node"]: r["component"] for r in found}
+        assert {n: got.get(n, n) for n in prints} == components(prints)
+
+
+def test_near_duplicates_of_awkward_rows(awkward, nothing):
+    rows = by_id(simhash.near_duplicates(awkward).collect())
+    assert {r["component_id"] for i in (1, 2, 12) for r in rows[i]} == {1}
+    assert {rows[i][0]["component_id"] for i in (4, 5, 6, 14)} == {4}
+    assert all(r["component_id"] is None for r in rows[None])
+    kept = simhash.one_of_each(awkward)
+    assert kept.columns == awkward.columns
+    names = [r["doc_id"] for r in kept.collect()]
+    assert names.count(1) == 1 and 2 not in names and 12 not in names and names.count(None) == 2
+    assert simhash.near_duplicates(nothing).collect() == []
+
+
+@pytest.mark.parametrize("distinct", [1, 10**3, 10**6, 10**9])
+def test_every_near_pair_shares_a_key(distinct):
+    masks = simhash.key_masks(distinct)
+    draw = random.Random(distinct)
+    for _ in range(300):
+        differing = sum(1 << b for b in draw.sample(range(64), 4))
+        assert any(m & differing == 0 for m in masks)
+
+
+# 8: weighted fingerprints
+
+
+def test_fingerprints_and_edited_texts(spark, texts):
+    rows = {r["doc_id"]: r for r in weighted_fingerprints.op8_fingerprints(spark, SF_DIR).collect()}
+    order = sorted(texts, reverse=True)
+    errors, of_text = [], {}
+    for k, i in enumerate(order):
+        text, following, r = texts[i], texts[order[(k + 1) % len(order)]], rows[i]
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == sha(edited)
+        assert of_text.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+        errors += [r["near_edited"] - jaccard(text, edited), r["near_next"] - jaccard(text, following)]
+    assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.15
+
+
+def test_fingerprints_of_awkward_rows(awkward, nothing):
+    rows = weighted_fingerprints.edited_likeness(awkward).collect()
+    distinct = {(i, t or "") for i, t, _ in awkward_rows()}
+    assert len(rows) == len(distinct)
+    of = by_id(rows)
+    assert of[1][0]["signature"] == of[2][0]["signature"] == of[12][0]["signature"]
+    assert set(of[4][0]["signature"]) == {0}
+    # By descending id; of one id by hash; a null id is last, and the first follows it.
+    assert of[2][0]["edited_sha256"] == sha(PROSE[: len(PROSE) - len(PROSE) // 2] + PROSE[: len(PROSE) // 2])
+    assert of[5][0]["edited_sha256"] == sha("")
+    assert weighted_fingerprints.edited_likeness(nothing).collect() == []
+
+
+def test_the_next_document_is_found_across_ranges(spark):
+    draw = random.Random(4)
+    ids = sorted({draw.randint(-(2**62), 2**62) for _ in range(300)} | {*range(65530, 65545), -1, 0, 2**48})
+    rows = spark.createDataFrame([(i, 0) for i in ids], "id long, hash long")
+    got = {r["id"]: r["next"]["id"] for r in weighted_fingerprints.next_documents(rows).collect()}
+    down = ids[::-1]
+    assert got == dict(zip(down, down[1:] + down[:1]))
+
+
+# 9: licenses
+
+
+def test_license_labels(spark):
+    grant = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        "its associated documents"
+    )
+    rows = [
+        (1, "x y. Released under the MIT License.", "a"),
+        (2, f"{PROSE} {grant} {PROSE}", "a"),
+        (3, "the MIT-license, the Apache   License! cc-by", "a"),
+        (4, "permission " * 30, "a"),
+        (5, None, "a"),
+    ]
+    found = {r["doc_id"]: r for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert found[1]["base_labels"] == ["mit"] and [b["label"] for b in found[1]["blocks"]] == ["mit-release"]
+    assert found[2]["n_base"] == 0 and [b["label"] for b in found[2]["blocks"]] == ["mit-grant"]
+    assert found[3]["n_base"] == 3 and (found[3]["first_word"], found[3]["last_word"]) == (1, 6)
+    assert found[4]["blocks"] == [] and found[5]["n_words"] == 0 and found[5]["first_word"] is None
+
+
+def test_license_join_finds_every_block(spark, awkward, nothing):
+    draw = random.Random(6)
+    template = {"alpha beta gamma delta epsilon zeta eta theta iota kappa": "greek"}
+    words = [*next(iter(template)).split(), "x", "y", "z"]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(draw.randint(0, 60))), "a") for i in range(150)]
+    for threshold in (0.5, 0.7, 0.8, 1.0):
+        found = licenses.license_scan(table(spark, rows), templates=template, threshold=threshold).collect()
+        got = {r["doc_id"]: max([b["containment"] for b in r["blocks"]], default=0) for r in found}
+        for i, text, _ in rows:
+            split, size = text.split(), 15
+            blocks = [set(split[k : k + size]) for k in range(max(1, len(split) - size + 1))]
+            best = max(len(b & set(words[:10])) / 10 for b in blocks)
+            assert got[i] == (best if best >= threshold else 0)
+    assert len(licenses.license_scan(awkward).collect()) == len(awkward_rows())
+    assert licenses.license_scan(nothing).collect() == []
+
+
+# 10: personal data
+
+
+def listed(found):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+
+
+def test_personal_data_matches_brute_force(spark, texts):
+    rows = {r["doc_id"]: r for r in pii.op10_personal_data(spark, SF_DIR).collect()}
+    for i, text in texts.items():
+        want = personal_spans(text)
+        assert rows[i]["base_sha256"] == sha(listed(want))
+        assert rows[i]["spans"].startswith(listed(want))
+        for kind in ("email", "ip", "card", "phone"):
+            assert rows[i][f"n_{kind}"] == sum(s[0] == kind for s in want)
+
+
+def test_patterns_on_odd_texts(spark):
+    draw = random.Random(7)
+    alphabet = [*"0123456789", "12", "255", "256", ".", "-", " ", "@", "+", "(", ")", "a", "b.c", "\n", "🙂", "é", "%"]
+    odd = ["".join(draw.choice(alphabet) for _ in range(draw.randint(0, 50))) for _ in range(600)]
+    odd += ["a@b.c+x@y.z", "1.2.3.4.5.6.7.8.9", "4111111111111111" * 3, "+1" + "-" * 500 + "2", "a" * 30_000 + "@b"]
+    odd += ["1 " * 20_000, "a@b" + ".c" * 20_000, "+" * 2000, "0000000001.2.3.4", "+12345678901234567"]
+    rows = [(i, t, "a") for i, t in enumerate(odd)]
+    found = pii.pattern_spans(table(spark, rows)).collect()
+    got = defaultdict(list)
+    for r in sorted(found, key=lambda r: (r["kind"], r["start"])):
+        got[r["id"]].append((pii.KINDS[r["kind"]], r["start"], r["end"]))
+    assert {i: got[i] for i, _, _ in rows} == {i: personal_spans(t) for i, t, _ in rows}
+
+
+def test_terms_that_disclose_are_removed(spark):
+    fill = ["amber", "basil", "cedar", "dune", "ember", "fjord", "grove", "heath", "islet", "jetty"]
+    draw = random.Random(8)
+
+    def prose(n):
+        return " ".join(draw.choice(fill) for _ in range(n))
+
+    rows = [(i, f"{prose(30)}\n{prose(20)}", "a") for i in range(200)]
+    rows += [(200 + i, f"{prose(5)} Zorblatt wrote to zb@mail.example.com {prose(5)}\n{prose(9)}", "a") for i in range(4)]
+    # Seen with an entity, but in one line that was copied.
+    rows += [(300 + i, "unique quagmire call +1 (212) 555-0188 today", "a") for i in range(6)]
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, rows)).collect()}
+    assert all("[TERM] " in out[200 + i] and "[EMAIL]" in out[200 + i] for i in range(4))
+    assert not any(f in out[200].replace("[TERM]", "") for f in ("Zorblatt", "@"))
+    assert out[300] == "unique quagmire call [PHONE] today"
+    assert all(out[i] == t for i, t, _ in rows[:200])
+    assert all(any(f in out[200 + i] for f in fill) for i in range(4))
+
+
+def test_disclosing_terms_match_sql(spark, tmp_path):
+    """Entities named in several lines, among words of very different frequency."""
+    draw = random.Random(9)
+    words = [f"w{'abcdefghij'[k % 10]}{'xyz' * (k // 10)}" for k in range(300)]
+    people = [(f"p{i}@mail.example.com", [f"rare{'qrstuv'[i]}", f"odd{'qrstuv'[i]}"]) for i in range(6)]
+    rows = []
+    for i in range(160):
+        lines = [" ".join(draw.choices(words, k=draw.randint(1, 30))) for _ in range(draw.randint(1, 6))]
+        for mail, own in draw.sample(people, draw.choice([0, 0, 0, 1, 2])):
+            around = [*draw.choices(words, k=8), *draw.sample(own, draw.randint(0, 2))]
+            draw.shuffle(around)
+            at = draw.randint(0, len(around))
+            lines.append(" ".join([*around[:at], mail, *around[at:], "10.1.2.3"][: draw.randint(6, 12)]))
+        rows.append((i, "\n".join(lines), "a"))
+    sf_dir = tmp_path / "tables"
+    table(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").coalesce(1).write.parquet(
+        str(sf_dir / "documents.parquet")
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet/*.parquet'")
+    found = pii.op10_personal_data(spark, str(sf_dir))
+    assert sum("term:" in r["spans"] for r in found.collect()) > 20
+    assert differences(con, pii.OP10_SQL, found) == []
+
+
+def test_personal_data_in_awkward_rows(awkward, nothing):
+    out = pii.sanitise(awkward)
+    assert out.columns == awkward.columns
+    rows = by_id(out.collect())
+    assert sum(map(len, rows.values())) == len(awkward_rows())
+    assert rows[10][0]["text"] == "Mail [EMAIL] or call [PHONE], [IP] and [CARD]."
+    assert rows[10][0]["n_chars"] == len(rows[10][0]["text"])
+    assert rows[1][0]["text"] == PROSE and rows[4][0]["text"] is None and rows[1][0]["spans"] == "own spans"
+    assert pii.sanitise(nothing).collect() == []
+
+
+def test_extra_columns_are_those_the_operators_use():
+    assert len(EXTRA) == len(set(EXTRA)) and LOWER
