@@ -28,6 +28,17 @@ def test_query_matches_sql(spark, con, name):
     assert differences(con, entry.oracle_sql()[name], entry.queries()[name](spark, SF_DIR)) == []
 
 
+@pytest.mark.parametrize(
+    "name", ["daily_revenue", "top_pickup_zones", "payment_breakdown", "trips_by_borough", "trips_between_boroughs"]
+)
+def test_ordered_queries_come_in_order(spark, con, name):
+    df = bindings.QUERIES[name](spark, SF_DIR)
+    order = {"trips_between_boroughs": " ORDER BY pickup_borough, dropoff_borough"}.get(name, "")
+    assert "ORDER BY" in oracle.SQL[name] + order
+    expected = con.sql(f"SELECT {', '.join(df.columns)} FROM ({oracle.SQL[name]}) {order}").fetchall()
+    assert [tuple(r) for r in df.collect()] == expected
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["pickup_date", "trip_count"]
