@@ -134,18 +134,16 @@ def frequent_lines(
 def lines_to_remove(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", **limits):
     """Per row (``_id`` and ``_hash`` of the text): the positions of its lines above the limits, and the words on them."""
     limited = frequent_lines(docs, id, text, host, **limits)
-    lines = (
-        _hosted(docs, id, text, host)
-        .select("id", "host", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")))
-        .where(_has_word(F.col("col")))
-        .select(
-            "id",
-            "host",
-            "text_hash",
-            "pos",
-            F.xxhash64(normal_line(F.col("col"))).alias("line"),
-            F.size(split_words(F.col("col"))).alias("words"),
-        )
+    lines = _hosted(docs, id, text, host).select(
+        "id", "host", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n"))
+    )
+    lines = lines.where(_has_word(F.col("col"))).select(
+        "id", "host", "text_hash", "pos", normal_line(F.col("col")).alias("normal")
+    )
+    # The normal form has one space between two words.
+    spaces = F.length("normal") - F.length(F.translate("normal", " ", ""))
+    lines = lines.select(
+        "id", "host", "text_hash", "pos", F.xxhash64("normal").alias("line"), (spaces + 1).alias("words")
     )
     return (
         lines.join(limited, ["host", "line"])
