@@ -9,8 +9,8 @@ copies stays whole. A document is depleted, hence rejected, when more than the a
 on removed lines.
 
 Defined results: a null text counts as empty (no words, so it fails the base rules); a null host is the host
-``""``; every row counts as a document of its own, so repeated rows count repeatedly; rows that agree in
-id and text get equal results. Other columns are not touched, whatever they are called.
+``""``; equal texts of one host count as one document, so copies do not make their own lines frequent; rows that
+agree in id and text get equal results. Other columns are not touched, whatever they are called.
 """
 
 from __future__ import annotations
@@ -120,13 +120,17 @@ def frequent_lines(
     hashes = F.transform(
         F.filter(F.split("text", "\n"), _has_word), lambda line: F.xxhash64(normal_line(line))
     )
-    lines = hosted.select("id", "host", F.explode(F.array_distinct(hashes)).alias("line"))
+    text_hash = F.xxhash64("text").alias("text_hash")
+    lines = hosted.select("id", "host", text_hash, F.explode(F.array_distinct(hashes)).alias("line"))
     counts = (
-        lines.groupBy("host", "line")
-        .agg(F.count(F.lit(1)).alias("documents"), F.min("id").alias("first_id"))
+        lines.groupBy("host", "line", "text_hash")  # copies are one document
+        .agg(F.min("id").alias("first_id"))
+        .groupBy("host", "line")
+        .agg(F.count(F.lit(1)).alias("documents"), F.min("first_id").alias("first_id"))
         .where(F.col("documents") > min_documents)
     )
-    sizes = hosted.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+    distinct = hosted.select("host", text_hash).distinct()
+    sizes = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
     above = F.col("documents") > max_share * F.col("host_documents")
     return counts.join(sizes, "host").where(above).select("host", "line", "first_id")
 
@@ -230,19 +234,19 @@ cov AS (
   SELECT doc_id, count(DISTINCT p) AS n
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep WHERE n > 1) GROUP BY doc_id),
 l AS (
-  SELECT doc_id, host, line, pos,
+  SELECT doc_id, host, md5, line, pos,
     translate(regexp_replace(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
       '[\x20\x09-\x0D]+', ' ', 'g'),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS norm
   FROM (
-    SELECT doc_id, host, unnest(ls) AS line, unnest(range(len(ls))) AS pos
-    FROM (SELECT doc_id, host, string_split(text, chr(10)) AS ls FROM d))
+    SELECT doc_id, host, md5, unnest(ls) AS line, unnest(range(len(ls))) AS pos
+    FROM (SELECT doc_id, host, md5(text) AS md5, string_split(text, chr(10)) AS ls FROM d))
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id),
-sizes AS (SELECT host, count(*) AS n FROM d GROUP BY host),
+sizes AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
 frequent AS (
-  SELECT host, norm, count(DISTINCT doc_id) AS n, min(doc_id) AS first_id FROM l GROUP BY host, norm
-  HAVING count(DISTINCT doc_id) > 10),
+  SELECT host, norm, count(DISTINCT md5) AS n, min(doc_id) AS first_id FROM l GROUP BY host, norm
+  HAVING count(DISTINCT md5) > 10),
 gone AS (
   SELECT l.doc_id, count(*) AS n_lines, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS n_words
   FROM l JOIN frequent USING (host, norm) JOIN sizes USING (host)

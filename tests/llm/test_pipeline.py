@@ -38,11 +38,14 @@ def normal(line):
 
 def quality(docs):
     """Texts of documents that stay, by id."""
-    hosts, having = Counter(d["source"] for d in docs.values()), defaultdict(set)
+    hosts = Counter(host for host, _ in {(d["source"], d["text"]) for d in docs.values()})
+    having, first = defaultdict(set), {}
     for i, d in docs.items():
         for line in d["text"].split("\n"):
             if WORD.search(line):
-                having[d["source"], normal(line)].add(i)
+                key = d["source"], normal(line)
+                having[key].add(d["text"])
+                first[key] = min(first.get(key, i), i)
     out = {}
     for i, d in docs.items():
         words = WORD.findall(d["text"])
@@ -50,9 +53,9 @@ def quality(docs):
         repeated = {k + n for k in range(len(words) - 2) if windows[tuple(words[k : k + 3])] > 1 for n in range(3)}
         stay, gone = [], 0
         for line in d["text"].split("\n"):
-            with_line = having.get((d["source"], normal(line)), ())
-            above = len(with_line) > max(MIN_DOCUMENTS, MAX_HOST_SHARE * hosts[d["source"]])
-            if above and min(with_line) != i:
+            key = d["source"], normal(line)
+            above = len(having.get(key, ())) > max(MIN_DOCUMENTS, MAX_HOST_SHARE * hosts[d["source"]])
+            if above and first[key] != i:
                 gone += len(WORD.findall(line))
             else:
                 stay.append(line)
