@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences, online and in bounded space.
 
 Each map task keeps a fixed number of open bins, found by their free space through one bit set: the lowest bit at or
-above a piece's length is the best fit. When a bin more than allowed would open, the fullest closes. Bins still
+above a piece's length is the best fit. Pieces come in short runs, of each the longest first, which leaves
+short ones to fill up bins. When a bin more than allowed would open, the fullest closes. Bins still
 open at the end of a task are pieces themselves for a second round of the same method, in groups of bounded size,
 so that small tasks do not leave half-empty sequences behind. Placements are written to the shared folder before
 anything depends on them, so a task that runs again cannot disagree with itself.
@@ -31,7 +32,9 @@ from .common import documents, text_or_empty, written
 
 CAPACITY = 1024
 END_ID = 2
-OPEN_BINS = 1024
+OPEN_BINS = 4096
+#: Pieces that wait before they are placed, the longest first; their numbers only, not their ids.
+WAITING = 8192
 #: Bins left open by tasks are packed in groups of about this many.
 GROUP_BINS = 50_000
 
@@ -120,27 +123,34 @@ PIECES = pa.schema(
 PIECES_DDL = "piece int, start long, length long, ids_crc32 long, bin long, offset long, used long"
 
 
-def _placed_pieces(docs: DataFrame, path: str, id: str, text: str, capacity: int, open_bins: int) -> DataFrame:
+def _placed_pieces(
+    docs: DataFrame, path: str, id: str, text: str, capacity: int, open_bins: int, waiting: int
+) -> DataFrame:
     """A row per piece with its bin and offset; and a row without a piece for each bin left open."""
     taken = docs.select(F.col(id).alias("doc_id"), text_or_empty(text).alias("_text"))
     id_type = taken.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = OpenBins(capacity, open_bins, TaskContext.get().partitionId() << 40)
-        kind = pa.int64()
+        kind, held = pa.int64(), []
+
+        def placed() -> pa.RecordBatch:
+            held.sort(key=lambda piece: -piece[3])
+            names, *columns = zip(*[(*piece, *bins.place(piece[3]), None) for piece in held])
+            held.clear()
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, PIECES)]
+            return pa.RecordBatch.from_arrays([pa.array(names, kind), *arrays], ["doc_id", *PIECES.names])
+
         for batch in steps(batches):
             kind = batch.column(0).type
-            rows, pieces = [], []
-            for row, text in enumerate(batch.column("_text").to_pylist()):
+            for name, text in zip(batch.column(0).to_pylist(), batch.column("_text").to_pylist()):
                 ids = np.append(token_ids(path, text), END_ID).astype("<u4")
                 for number, (start, length) in enumerate(cut(len(ids), capacity)):
-                    crc = zlib.crc32(ids[start : start + length])
-                    rows.append(row)
-                    pieces.append((number, start, length, crc, *bins.place(length), None))
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*pieces), PIECES)] if pieces else None
-            if columns:
-                names = batch.column(0).take(pa.array(rows, pa.int64()))
-                yield pa.RecordBatch.from_arrays([names, *columns], ["doc_id", *PIECES.names])
+                    held.append((name, number, start, length, zlib.crc32(ids[start : start + length])))
+            if len(held) >= waiting:
+                yield placed()
+        if held:
+            yield placed()
         left = list(bins.still_open())
         if left:
             nothing = {"doc_id": pa.nulls(len(left), kind)} | {f.name: pa.nulls(len(left), f.type) for f in PIECES}
@@ -174,10 +184,11 @@ def pack(
     text: str = "text",
     capacity: int = CAPACITY,
     open_bins: int = OPEN_BINS,
+    waiting: int = WAITING,
     group_bins: int = GROUP_BINS,
 ) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    placed = written(_placed_pieces(docs, path, id, text, capacity, open_bins), "pieces")
+    placed = written(_placed_pieces(docs, path, id, text, capacity, open_bins, waiting), "pieces")
     left = placed.where("piece IS NULL").select("bin", "used")
     groups = max(1, math.ceil(left.count() / group_bins))
     moved = _packed_bins(left.repartition(groups, "bin"), capacity, open_bins)
