@@ -220,8 +220,8 @@ def spans_by_document(docs: DataFrame, id: str = "doc_id", text: str = "text", *
 def sanitise(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """All rows and columns; in texts, entities become their kind in brackets and disclosing terms ``[TERM]``.
 
-    Of spans that overlap, the one that starts first stands, of those the longest. ``n_chars``, where the table has it,
-    follows the text.
+    Spans that overlap are covered together, under the name of the one that starts first, of those the longest.
+    ``n_chars``, where the table has it, follows the text.
     """
     spans = spans_by_document(docs, id, text, **limits).select(
         F.col("id").alias("_id"), F.col("hash").alias("_hash"), "spans"
@@ -241,7 +241,8 @@ def sanitise(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits)
         grown = F.struct(
             F.concat(done["parts"], F.array(between, F.get(names, s["kind"]))).alias("parts"), s["end"].alias("at")
         )
-        return F.when(s["start"] >= done["at"], grown).otherwise(done)
+        covered = F.struct(done["parts"].alias("parts"), F.greatest(done["at"], s["end"]).alias("at"))
+        return F.when(s["start"] >= done["at"], grown).otherwise(covered)
 
     begin = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).cast("bigint").alias("at"))
     rest = F.aggregate(

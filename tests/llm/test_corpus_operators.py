@@ -612,5 +612,32 @@ def test_personal_data_in_awkward_rows(awkward, nothing):
     assert pii.sanitise(nothing).collect() == []
 
 
+def test_overlapping_spans_are_masked_as_a_whole(spark):
+    given = {
+        1: ("10.0.0.0 4111 1111 1111 1111", "[IP]"),
+        2: ("card 4111 1111 1111 1111@x.org now", "card [CARD] now"),
+        3: ("a 10.0.0.0 4111 1111 1111 1111@x.org, jo@x.org", "a [IP], [EMAIL]"),
+    }
+    rows = [(i, text, "a") for i, (text, _) in given.items()]
+    draw = random.Random(11)
+    parts = ["10.0.0.0", "4111 1111 1111 1111", "@x.org", " ", "+1 (212) 555-0188", "b", "-"]
+    rows += [(10 + i, "".join(draw.choices(parts, k=draw.randint(2, 8))), "a") for i in range(200)]
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, rows)).collect()}
+    assert {i: out[i] for i in given} == {i: want for i, (_, want) in given.items()}
+    overlaps = 0
+    for i, text, _ in rows:
+        masked = [False] * len(text)
+        found = personal_spans(text)
+        for _, a, b in found:
+            overlaps += sum(c < a < d < b for _, c, d in found)
+            masked[a:b] = [True] * (b - a)
+        plain = "".join(c for c, gone in zip(text, masked) if not gone)
+        left = out[i]
+        for kind in ("EMAIL", "IP", "CARD", "PHONE"):
+            left = left.replace(f"[{kind}]", "")
+        assert left == plain
+    assert overlaps > 10
+
+
 def test_extra_columns_are_those_the_operators_use():
     assert len(EXTRA) == len(set(EXTRA)) and LOWER
