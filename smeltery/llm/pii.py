@@ -13,6 +13,12 @@ is at least ``DISCLOSURE`` of the entity's information content, log2(lines / lin
 must be seen in at least ``SUPPORT`` different lines, so that copies of one line prove nothing. Such terms are removed
 wherever a document also holds the entity; entities are generalised to their kind.
 
+That is what the query and its SQL state. The stage, ``sanitise``, counts documents instead of lines, near reaches
+across line breaks, and no entity is left out for being rare: in place of ``SUPPORT`` the share of the term's
+documents that have it near the entity is multiplied by d / (d + ``DOUBT``), where d counts the different lines of the
+entity in these. So copies of one line still count once, and the rarer an entity is in the corpus, the less it takes: from
+some thousand documents on, a term of one document near an entity of that document alone is removed.
+
 No pattern reaches across a line break, so entities can be looked for line by line. Possessive quantifiers and
 look-behind keep patterns linear and free of recursion on long runs, and match what the plain ones match.
 
@@ -30,6 +36,8 @@ from .common import ascii_lower, documents, text_or_empty, written
 DISCLOSURE = 0.8
 SUPPORT = 3
 NEAR = 10
+#: Imagined lines that hold a term without the entity, added to those seen.
+DOUBT = 3
 
 _LOCAL = r"[A-Za-z0-9._%+-]"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -122,11 +130,13 @@ def _letter_runs(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(text), r"[^\p{L}]+"), lambda t: t != "")
 
 
-def _mentions(line: Column, near: int) -> Column:
-    """Each valid match of a line: its entity, and the terms near it."""
+def _mentions(text: Column, near: int, with_line: bool = False) -> Column:
+    """Each valid match of a text: its entity, the terms near it, and, if wanted, a hash of the line it is in."""
 
     def of_kind(m: Column) -> Column:
         def mention(hit: Column, i: Column) -> Column:
+            begun = F.substring_index(F.get(m["parts"], i), "\n", -1)
+            line = F.concat(begun, hit, F.substring_index(F.get(m["parts"], i + 1), "\n", 1))
             before = F.filter(F.split(F.get(m["parts"], i), r"[\x20\x09-\x0D]+"), lambda w: w != "")
             after = F.filter(F.split(F.get(m["parts"], i + 1), r"[\x20\x09-\x0D]+"), lambda w: w != "")
             first = F.greatest(F.size(before) - near + 1, F.lit(1))
@@ -136,12 +146,13 @@ def _mentions(line: Column, near: int) -> Column:
                 F.struct(
                     _entity(m["kind"], hit).alias("entity"),
                     F.array_distinct(_letter_runs(F.array_join(around, " "))).alias("terms"),
+                    *([F.xxhash64(line).alias("line")] if with_line else []),
                 ),
             )
 
         return F.filter(F.transform(m["hits"], mention), lambda x: x.isNotNull())
 
-    return F.flatten(F.transform(_matches(line, parts=True), of_kind))
+    return F.flatten(F.transform(_matches(text, parts=True), of_kind))
 
 
 def disclosing_terms(
@@ -184,12 +195,66 @@ def disclosing_terms(
     return known.where(information >= disclosure * content).select("entity", "term")
 
 
-def personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
+def disclosing_terms_of_documents(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    disclosure: float = DISCLOSURE,
+    doubt: float = DOUBT,
+    near: int = NEAR,
+) -> DataFrame:
+    """Pairs of an entity and a term that discloses it, by documents, of entities however rare."""
+    rows = _named(docs, id, text)
+    mentions = rows.select("id", "hash", F.explode(_mentions(F.col("text"), near, with_line=True)).alias("m"))
+    mentions = written(mentions.select("id", "hash", "m.*"), "mentions")
+
+    def counted(found: DataFrame, *names: str) -> DataFrame:
+        """Documents by the names, those with the same line of the entity once in ``different``."""
+        own = found.groupBy("id", "hash", *names).agg(F.min("line").alias("line"))
+        by_line = own.groupBy("line", *names).agg(F.count(F.lit(1)).alias("documents"))
+        return by_line.groupBy(*names).agg(F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("different"))
+
+    entities = counted(mentions, "entity").select("entity", F.col("documents").alias("entity_documents"))
+    pairs = counted(mentions.select("id", "hash", "line", "entity", F.explode("terms").alias("term")), "entity", "term")
+    pairs = written(pairs, "pairs")
+    # Counted before the join, as above.
+    terms = rows.select(F.explode(F.array_distinct(_letter_runs(F.col("text")))).alias("term"))
+    known = pairs.join(terms.groupBy("term").agg(F.count(F.lit(1)).alias("term_documents")), "term")
+    known = known.join(entities, "entity")
+    n = F.lit(float(docs.count()))
+    believed = F.col("different") / (F.col("different") + F.lit(float(doubt)))
+    information = F.log2(
+        believed * F.col("documents") * n / (F.col("term_documents") * F.col("entity_documents"))
+    )
+    content = F.log2(n / F.col("entity_documents"))
+    return known.where(information >= disclosure * content).select("entity", "term")
+
+
+def _told(docs: DataFrame, id: str, text: str, held: DataFrame, disclosing: DataFrame) -> DataFrame:
+    """Terms that disclose an entity of the same document, from the terms it has.
+
+    An entity may have as many terms as documents, most of them in one document each, so that all terms of an
+    entity for all its documents would be a square.
+    """
+    own = _named(docs, id, text).join(held.select("id", "hash").distinct(), ["id", "hash"], "left_semi")
+    terms = own.select("id", "hash", F.explode(F.array_distinct(_letter_runs(F.col("text")))).alias("term"))
+    terms = terms.join(disclosing.select("term").distinct(), "term", "left_semi")
+    both = terms.join(held, ["id", "hash"]).join(disclosing, ["entity", "term"], "left_semi")
+    return both.select("id", "hash", "term").distinct()
+
+
+def personal_data(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", by_documents: bool = False, **limits
+) -> DataFrame:
     """A row per span: ``id``, ``hash`` of the text, number of the kind, ``start``, ``end``. Terms inside other spans are left to them."""
     base = written(pattern_spans(docs, id, text), "spans")
-    disclosing = written(disclosing_terms(docs, id, text, **limits), "disclosing")
+    judged = disclosing_terms_of_documents if by_documents else disclosing_terms
+    disclosing = written(judged(docs, id, text, **limits), "disclosing")
     held = base.select("id", "hash", _entity(F.col("kind"), F.col("value")).alias("entity")).distinct()
-    told = held.join(disclosing, "entity").groupBy("id", "hash", "term").agg(F.lit(1).alias("one")).drop("one")
+    if by_documents:
+        told = _told(docs, id, text, held, disclosing)
+    else:
+        told = held.join(disclosing, "entity").groupBy("id", "hash", "term").agg(F.lit(1).alias("one")).drop("one")
     told = written(told, "told")
     concerned = told.select("id", "hash").distinct()
     same = ["id", "hash"]
@@ -217,13 +282,15 @@ def spans_by_document(docs: DataFrame, id: str = "doc_id", text: str = "text", *
     return found.groupBy("id", "hash").agg(F.sort_array(F.collect_list(one)).alias("spans"))
 
 
-def sanitise(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
+def sanitise(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", by_documents: bool = True, **limits
+) -> DataFrame:
     """All rows and columns; in texts, entities become their kind in brackets and disclosing terms ``[TERM]``.
 
     Spans that overlap are covered together, under the name of the one that starts first, of those the longest.
     ``n_chars``, where the table has it, follows the text.
     """
-    spans = spans_by_document(docs, id, text, **limits).select(
+    spans = spans_by_document(docs, id, text, by_documents=by_documents, **limits).select(
         F.col("id").alias("_id"), F.col("hash").alias("_hash"), "spans"
     )
     filled = text_or_empty(text)

@@ -576,6 +576,27 @@ def test_terms_that_disclose_are_removed(spark):
     assert all(any(f in out[200 + i] for f in fill) for i in range(4))
 
 
+def test_terms_of_rare_entities_and_other_lines_are_removed(spark):
+    draw = random.Random(12)
+    fill = ["amber", "basil", "cedar", "dune", "ember", "fjord", "grove", "heath", "islet", "jetty"]
+
+    def prose(n):
+        return " ".join(draw.choice(fill) for _ in range(n))
+
+    rows = [(i, f"{prose(12)}\n{prose(8)}", "a") for i in range(3000)]
+    rows += [(4000, f"{prose(12)}\nName Zorblatt\nzb@mail.example.com\n{prose(4)}", "a")]  # seen once, other line
+    rows += [(4001 + i, f"{prose(3)} quagmire {prose(3)} 10.1.2.3 {prose(3)}", "a") for i in range(2)]  # seen twice
+    rows += [(4010, f"farther {prose(20)} call +1 (212) 555-0188 {prose(20)}", "a")]  # not near
+    # A term of many documents does not disclose.
+    rows += [(4020 + i, f"plenty {prose(4)}" + " +1 (212) 555-0199" * (i == 0), "a") for i in range(40)]
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(table(spark, rows)).collect()}
+    assert "Zorblatt" not in out[4000] and "[TERM]\n[EMAIL]" in out[4000]
+    assert all("quagmire" not in out[4001 + i] and "[IP]" in out[4001 + i] for i in range(2))
+    assert out[4010].startswith("farther ") and "[PHONE]" in out[4010]
+    assert out[4020].startswith("plenty ") and out[4020].endswith("[PHONE]")
+    assert all(out[i] == t for i, t, _ in rows[:3000])
+
+
 def test_disclosing_terms_match_sql(spark, tmp_path):
     """Entities named in several lines, among words of very different frequency."""
     draw = random.Random(9)
