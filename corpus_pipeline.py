@@ -14,8 +14,8 @@ from smeltery.llm.common import documents, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the rules keep, without lines that are frequent on their host."""
-    return quality_rules.apply_quality_rules(docs)
+    """Documents the rules keep, without lines that are frequent on their host, however large the host."""
+    return quality_rules.apply_quality_rules(docs, max_share=0.0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,7 +115,10 @@ def frequent_lines(
     min_documents: int = MIN_DOCUMENTS,
     max_share: float = MAX_HOST_SHARE,
 ) -> DataFrame:
-    """Lines above the limits: host, line hash, the first document that has the line."""
+    """Lines above the limits: host, line hash, the first document that has the line.
+
+    With a ``max_share`` of 0 the number of documents alone decides, however large the host.
+    """
     hosted = _hosted(docs, id, text, host)
     hashes = F.transform(
         F.filter(F.split("text", "\n"), _has_word), lambda line: F.xxhash64(normal_line(line))
@@ -129,6 +132,8 @@ def frequent_lines(
         .agg(F.count(F.lit(1)).alias("documents"), F.min("first_id").alias("first_id"))
         .where(F.col("documents") > min_documents)
     )
+    if not max_share:
+        return counts.select("host", "line", "first_id")
     distinct = hosted.select("host", text_hash).distinct()
     sizes = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
     above = F.col("documents") > max_share * F.col("host_documents")

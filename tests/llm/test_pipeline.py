@@ -89,6 +89,22 @@ def test_quality_stage(frames):
     assert {i: r["text"] for i, r in rows(frames[1]).items()} == want
 
 
+def test_frequent_lines_go_from_a_host_with_a_third_of_all_rows(spark):
+    def body(i):
+        return " ".join(f"word{'abcdefghij'[i % 10]}{'x' * (i // 10 % 30)}{'y' * (i // 300)}{'z' * k}" for k in range(55))
+
+    def host(i):
+        return "hot" if i % 3 == 0 else f"small{i % 40}"
+
+    given = [(i, body(i) if i % 150 else f"Share This Page\n{body(i)}", host(i)) for i in range(1, 2700)]
+    out = rows(corpus_pipeline.quality(spark, table(spark, given), SF_DIR))
+    having = [i for i, text, _ in given if "\n" in text]
+    hot = [i for i, _, h in given if h == "hot"]
+    assert set(having) <= set(hot) and 10 < len(having) <= 0.02 * len(hot)
+    assert [i for i in having if "Share" in out[i]["text"]] == having[:1]
+    assert all(out[i]["text"] == body(i) for i in having[1:])
+
+
 def test_near_duplicate_stage(frames):
     before, after = rows(frames[1]), rows(frames[2])
     reached = components({i: fingerprint(r["text"]) for i, r in before.items()})
