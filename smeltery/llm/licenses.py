@@ -5,8 +5,9 @@ template when it contains at least the threshold's share of the template's disti
 template words are put in one order over the whole corpus, rarest first by document frequency. A block that
 meets the threshold must contain one of the template's rarest words (prefix filter), must be long enough
 (length filter), and from the rank of that word the most it can still share is known (positional filter).
-Only what passes is verified. Templates are a parameter and small, so they travel with the tasks; texts stay
-where they are read.
+Only what passes is verified. Every block that meets the threshold is found; those of a template that share words are
+given as one range. Templates are a parameter and small, so they travel with the tasks; texts stay where they
+are read.
 
 Defined results: a null text counts as empty: no words, no labels, score 0; every row gets its result. Only
 the named columns are read.
@@ -86,29 +87,34 @@ class Template:
             if rarer + len(self.order) - rank >= self.least:
                 yield place
 
-    def best_block(self, words: Sequence[str]) -> tuple[int, int, int] | None:
-        """Shared words, start and end of the first block that shares most, if it meets the threshold."""
+    def ranges(self, words: Sequence[str]) -> list[tuple[int, int, int]]:
+        """Start and end of each run of words that blocks which meet the threshold cover together, and the most one shares."""
         if len(words) < self.least:
-            return None
+            return []
         places = [(i, w) for i, w in enumerate(words) if w in self.prefix]
-        best, done = None, 0
+        last = max(0, len(words) - self.block)
+        found: list[tuple[int, int, int]] = []
+        done = 0
         for place in self._candidates(places):
             # Blocks that contain the place, but for starts looked at before.
             first = max(done, place - self.block + 1, 0)
             done = max(done, place + 1)
             inside = Counter(w for w in words[first : first + self.block - 1] if w in self.rank)
-            for start in range(first, place + 1):
+            for start in range(first, min(place, last) + 1):
                 end = min(start + self.block, len(words))
                 if start + self.block <= len(words) and words[end - 1] in self.rank:
                     inside[words[end - 1]] += 1
-                if len(inside) >= self.least and (best is None or len(inside) > best[0]):
-                    best = len(inside), start, end
+                if len(inside) >= self.least:
+                    if found and start < found[-1][1]:
+                        found[-1] = found[-1][0], end, max(found[-1][2], len(inside))
+                    else:
+                        found.append((start, end, len(inside)))
                 gone = words[start]
                 if gone in inside:
                     inside[gone] -= 1
                     if not inside[gone]:
                         del inside[gone]
-        return best
+        return found
 
 
 def template_frequencies(docs: DataFrame, text: str, vocabulary: frozenset[str]) -> dict[str, int]:
@@ -152,7 +158,10 @@ def license_scan(
     templates: Mapping[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """Per row: places of phrases, and for each template the block that shares most, if it meets the threshold."""
+    """Per row: places of phrases, and for each template all blocks that meet the threshold.
+
+    Blocks that share words are one range, with the best containment of any of them.
+    """
     vocabulary = frozenset(w for t in templates for w in split_words(t))
     frequency = template_frequencies(docs, text, vocabulary)
     made = [Template(t, label, frequency, threshold) for t, label in templates.items()]
@@ -167,9 +176,9 @@ def license_scan(
         present = set(words)
         blocks = []
         for t in made:
-            if not present.isdisjoint(t.prefix) and (best := t.best_block(words)):
-                shared, begin, end = best
-                blocks.append({"label": t.label, "start": begin, "end": end, "containment": shared / len(t.order)})
+            if not present.isdisjoint(t.prefix):
+                for begin, end, shared in t.ranges(words):
+                    blocks.append({"label": t.label, "start": begin, "end": end, "containment": shared / len(t.order)})
         places = [p for p, _ in starts]
         return (
             len(words),

@@ -526,6 +526,35 @@ def test_license_join_finds_every_block(spark, awkward, nothing):
     assert licenses.license_scan(nothing).collect() == []
 
 
+def test_all_blocks_of_a_template_are_found(spark):
+    draw = random.Random(13)
+    notice = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    other = "one two three one four"
+    templates = {notice: "greek", other: "numbers"}
+    words = [*notice.split(), *other.split(), *"uvwxyz"]
+    rows = [(i, " ".join(draw.choices(words, k=draw.randint(0, 60))), "a") for i in range(150)]
+    fill = " x" * 40
+    rows += [(200 + i, f"{notice}{fill} {notice} y {other}{fill * i} {notice[:40]} {notice}", "a") for i in range(5)]
+    for threshold in (0.5, 0.7, 0.8, 1.0):
+        found = licenses.license_scan(table(spark, rows), templates=templates, threshold=threshold).collect()
+        got = {r["doc_id"]: {tuple(b) for b in r["blocks"]} for r in found}
+        assert all(len(r["blocks"]) == len(got[r["doc_id"]]) for r in found)
+        for i, text, _ in rows:
+            split, want = text.split(), set()
+            for template, label in templates.items():
+                has, size = set(template.split()), math.ceil(1.5 * len(template.split()))
+                runs = []
+                for k in range(max(1, len(split) - size + 1)):
+                    share = len(has & set(split[k : k + size])) / len(has)
+                    if share >= threshold and runs and k < runs[-1][1]:
+                        runs[-1] = runs[-1][0], min(k + size, len(split)), max(runs[-1][2], share)
+                    elif share >= threshold:
+                        runs.append((k, min(k + size, len(split)), share))
+                want |= {(label, *r) for r in runs}
+            assert got[i] == want
+        assert sum(label == "greek" for label, *_ in got[204]) == 3
+
+
 # 10: personal data
 
 
