@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, let, split_words, text_or_empty, written
 
-SAMPLES = 24
+SAMPLES = 64
 #: The value of a term is kept in steps of this fraction.
 _STEPS = 1 << 22
 _LOW = 0xFFFFFFFF

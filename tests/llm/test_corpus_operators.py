@@ -465,6 +465,19 @@ def test_fingerprints_and_edited_texts(spark, texts):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.15
 
 
+def test_likeness_is_near_the_similarity_where_it_is_hardest(texts, spark):
+    rows = weighted_fingerprints.op8_fingerprints(spark, SF_DIR).collect()
+    order = sorted(texts, reverse=True)
+    errors = []
+    for r in rows:
+        text, following = texts[r["doc_id"]], texts[order[(order.index(r["doc_id"]) + 1) % len(order)]]
+        half = len(text) // 2
+        true = jaccard(text, text[: len(text) - half] + following[:half])
+        if 0.25 <= true <= 0.75:
+            errors.append(r["near_edited"] - true)
+    assert len(errors) > 50 and np.std(errors) < 0.075
+
+
 def test_fingerprints_of_awkward_rows(awkward, nothing):
     rows = weighted_fingerprints.edited_likeness(awkward).collect()
     distinct = {(i, t or "") for i, t, _ in awkward_rows()}
