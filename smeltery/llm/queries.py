@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import codec, licenses, lm_scoring, packing, pii, quality_rules, simhash, suffix_dedup, token_counts, weighted_fingerprints
+from . import (
+    codec,
+    hard_negatives,
+    licenses,
+    lm_scoring,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    square_packing,
+    suffix_dedup,
+    token_counts,
+    weighted_fingerprints,
+    whitening,
+)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_fingerprints": weighted_fingerprints.op8_fingerprints,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_personal_data": pii.op10_personal_data,
+    "op11_square_packing": square_packing.op11_square_packing,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL = {
@@ -22,4 +39,5 @@ SQL = {
     "op6_quality_rules": quality_rules.OP6_SQL,
     "op9_license_scan": licenses.OP9_SQL,
     "op10_personal_data": pii.OP10_SQL,
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
 }
