@@ -93,6 +93,9 @@ def test_queries_return_the_agreed_columns(spark):
         8: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
         9: "doc_id n_words n_base first_word last_word base_labels labels score",
         10: "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+        11: "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+        12: "anchor_id positive_id rank negative_id positive_score negative_score",
+        13: "vec_id component n deviation whitened explained identity_error",
     }
     for number, names in agreed.items():
         (query,) = [q for n, q in queries.QUERIES.items() if n.startswith(f"op{number}_")]
