@@ -8,16 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import (
-    LIMB_BITS,
-    REST_BITS,
-    UNIT_DECIMALS,
-    half_up_quotient,
-    in_units,
-    is_exact,
-    rest_of_unit,
-    units,
-)
+from ..functions.money import UNIT_DECIMALS, merged_sums, rounded, row_parts, row_sums, totals
 
 
 class Measure(NamedTuple):
@@ -52,9 +43,6 @@ def mean(name: str, column: str, decimals: int = 2) -> Measure:
     return Measure(name, "mean", column, decimals)
 
 
-# Finite values too large for units add up as decimals, up to this size; beyond it as doubles.
-_LARGE = "decimal(38,6)"
-_LARGE_LIMIT = 1e31
 _WHOLE = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -62,89 +50,69 @@ def _is_double(dtype: str) -> bool:
     return dtype not in _WHOLE and not dtype.startswith("decimal")
 
 
-def _taken_apart(fact: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """The whole numbers of each double, computed once per row, before the sums."""
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
+def _taken_apart(fact: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str]) -> DataFrame:
+    """Keys, values and the whole numbers of each double, computed once per row, before the sums."""
     parts = []
     for i, (name, dtype) in enumerate(columns.items()):
-        c = F.col(name)
-        if not _is_double(dtype):
-            parts.append(c.alias(f"_value{i}"))
-            continue
-        c = c.cast("double")
-        fits = in_units(c)
-        parts += [
-            F.when(fits, units(c)).alias(f"_units{i}"),
-            F.when(fits & ~is_exact(c), rest_of_unit(c)).alias(f"_rest{i}"),
-            F.when(~fits, c).alias(f"_odd{i}"),
-        ]
-    return fact.select("*", *parts)
-
-
-def _first_parts(columns: Mapping[str, str]) -> list[Column]:
-    parts = [F.count(F.lit(1)).alias("_rows")]
-    for i, (name, dtype) in enumerate(columns.items()):
-        parts.append(F.count(name).alias(f"_count{i}"))
-        if not _is_double(dtype):
-            value = F.col(f"_value{i}")
-            parts.append(F.sum(value.cast("decimal(20,0)") if dtype in _WHOLE else value).alias(f"_sum{i}"))
-            continue
-        counted, odd = F.col(f"_units{i}"), F.col(f"_odd{i}")
-        large = F.abs(odd) < _LARGE_LIMIT
-        parts += [
-            F.sum(F.shiftright(counted, LIMB_BITS)).alias(f"_high{i}"),
-            F.sum(counted.bitwiseAND(F.lit((1 << LIMB_BITS) - 1))).alias(f"_low{i}"),
-            F.sum(f"_rest{i}").alias(f"_rest{i}"),
-            F.sum(F.when(large, odd.cast(_LARGE))).alias(f"_large{i}"),
-            F.sum(F.when(~large, odd)).alias(f"_odd{i}"),
-        ]
-    return parts
-
-
-def _merged_parts(columns: Mapping[str, str]) -> list[Column]:
-    # No groups at all make one row of nothing, which counts zero rows.
-    parts = [F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows")]
+        value = _quoted(name)
+        if _is_double(dtype):
+            value = value if dtype == "double" else f"CAST({value} AS DOUBLE)"
+            parts += row_parts(value, i)
+        parts.append(f"{value} AS _value{i}")
+    return fact.select(*[F.col(key).alias(name) for key, name in keys.items()], *map(F.expr, parts))
+
+
+def _first_sums(columns: Mapping[str, str]) -> list[Column]:
+    sums = ["count(1) AS _rows"]
     for i, dtype in enumerate(columns.values()):
-        names = [f"_high{i}", f"_low{i}", f"_rest{i}", f"_large{i}", f"_odd{i}"]
-        parts.append(F.coalesce(F.sum(f"_count{i}"), F.lit(0)).alias(f"_count{i}"))
-        parts += [F.sum(n).alias(n) for n in (names if _is_double(dtype) else [f"_sum{i}"])]
-    return parts
+        sums.append(f"count(_value{i}) AS _known{i}")
+        if _is_double(dtype):
+            sums += row_sums(i)
+        else:
+            value = f"CAST(_value{i} AS DECIMAL(20,0))" if dtype in _WHOLE else f"_value{i}"
+            sums.append(f"sum({value}) AS _sum{i}")
+    return [F.expr(s) for s in sums]
 
 
-def _from_doubles(i: int, divisor: Column, decimals: int) -> Column:
-    """The sum over a divisor, rounded half away from zero."""
-    zero = F.lit(0).cast("decimal(20,0)")
+def _merged(columns: Mapping[str, str]) -> list[Column]:
+    # No groups at all make one row of nothing, which counts zero rows.
+    sums = ["coalesce(sum(_rows), 0L) AS _rows"]
+    for i, dtype in enumerate(columns.values()):
+        sums.append(f"coalesce(sum(_known{i}), 0L) AS _known{i}")
+        sums += merged_sums(i) if _is_double(dtype) else [f"sum(_sum{i}) AS _sum{i}"]
+    return [F.expr(s) for s in sums]
 
-    def part(name: str) -> Column:
-        return F.coalesce(F.col(f"{name}{i}").cast("decimal(20,0)"), zero)
 
-    counted = (part("_high") * F.lit(1 << LIMB_BITS) + part("_low")).cast("decimal(28,0)")
-    whole = (counted * F.lit(1 << REST_BITS) + part("_rest")).cast("decimal(38,0)")
-    scale = 10 ** (UNIT_DECIMALS - decimals) << REST_BITS
-    exact = half_up_quotient(whole, (F.lit(scale).cast("decimal(18,0)") * divisor).cast("decimal(38,0)"))
-    exact = exact / F.lit(float(10**decimals))
-    size = whole.cast("double") / F.lit(float(10**UNIT_DECIMALS << REST_BITS))
-    large, odd = F.col(f"_large{i}"), F.col(f"_odd{i}")
-    plain = (F.coalesce(odd, F.lit(0.0)) + F.coalesce(large.cast("double"), F.lit(0.0)) + size) / divisor
-    return F.when(odd.isNull() & large.isNull(), exact).otherwise(F.round(plain, decimals))
+def _with_totals(grouped: DataFrame, keys: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """The sums of doubles put together from their limbs; others stay as they are."""
+    kept = [_quoted(k) for k in keys] + ["_rows"] + [f"_known{i}" for i in range(len(columns))]
+    kept += [f"_sum{i}" for i, dtype in enumerate(columns.values()) if not _is_double(dtype)]
+    doubles = [totals(i) for i, dtype in enumerate(columns.values()) if _is_double(dtype)]
+    return grouped.selectExpr(*kept, *[text for column in doubles for text in column])
 
 
-def _finish(measure: Measure, columns: Mapping[str, str]) -> Column:
+def _finish(measure: Measure, columns: Mapping[str, str]) -> str:
+    name = _quoted(measure.name)
     if measure.kind == "rows":
-        return F.col("_rows").alias(measure.name)
+        return f"_rows AS {name}"
     if not 0 <= measure.decimals <= UNIT_DECIMALS:
         raise ValueError(f"decimals must lie between 0 and {UNIT_DECIMALS}")
     i = list(columns).index(measure.column)
-    count, dtype = F.col(f"_count{i}"), columns[measure.column]
-    divisor = F.greatest(count, F.lit(1)) if measure.kind == "mean" else F.lit(1)
+    dtype = columns[measure.column]
+    divisor = f"greatest(_known{i}, 1L)" if measure.kind == "mean" else "1L"
     if _is_double(dtype):
-        result = _from_doubles(i, divisor.cast("decimal(20,0)"), measure.decimals)
+        result = rounded(i, divisor, measure.decimals)
     elif measure.kind == "mean":
-        result = F.round(F.col(f"_sum{i}") / divisor, measure.decimals)
+        result = f"round(_sum{i} / {divisor}, {measure.decimals})"
     elif dtype in _WHOLE:
-        result = F.col(f"_sum{i}").cast("bigint")
+        result = f"CAST(_sum{i} AS BIGINT)"
     else:
-        result = F.round(f"_sum{i}", measure.decimals)
-    return F.when(count > 0, result).alias(measure.name)
+        result = f"round(_sum{i}, {measure.decimals})"
+    return f"CASE WHEN _known{i} > 0 THEN {result} END AS {name}"
 
 
 def rollup(
@@ -172,17 +140,17 @@ def rollup(
     # A NULL foreign key cannot match: drop it before grouping rather than in the join.
     for d in dims:
         fact = fact.where(F.col(d.fact_key).isNotNull())
-    grouped = _taken_apart(fact, columns).groupBy(*[F.col(k).alias(v) for k, v in inner.items()]).agg(
-        *_first_parts(columns)
-    )
+    grouped = _taken_apart(fact, inner, columns).groupBy(*inner.values()).agg(*_first_sums(columns))
     for n, d in enumerate(dims):
         named = [F.col(a).alias(a) if isinstance(a, str) else F.col(a[0]).alias(a[1]) for a in d.attributes]
         side = d.frame.select(F.col(d.dim_key).alias(f"_dim{n}"), *named)
         grouped = grouped.join(side, F.col(inner[d.fact_key]) == F.col(f"_dim{n}"))
-    out_keys = [F.col(inner[k]).alias(k) for k in keys]
+    out_keys = [inner[k] for k in keys]
     if dims:
         attributes = [a if isinstance(a, str) else a[1] for d in dims for a in d.attributes]
-        grouped = grouped.groupBy(*out_keys, *attributes).agg(*_merged_parts(columns))
-        out_keys = [F.col(k) for k in [*keys, *attributes]]
-    result = grouped.select(*out_keys, *[_finish(m, columns) for m in measures])
+        grouped = grouped.groupBy(*out_keys, *attributes).agg(*_merged(columns))
+        out_keys += attributes
+    shown = [F.col(_quoted(k)).alias(name) for k, name in zip(out_keys, [*keys, *out_keys[len(keys) :]])]
+    finished = _with_totals(grouped, out_keys, columns)
+    result = finished.select(*shown, *[F.expr(_finish(m, columns)) for m in measures])
     return result.orderBy(*order_by) if order_by else result

@@ -1,6 +1,8 @@
+import math
 import random
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -101,6 +103,66 @@ def test_totals_do_not_depend_on_the_order_of_rows(spark):
         assert abs(Decimal(sum_x) - exact) <= max(Decimal("0.0051"), abs(exact) / 10**15)
 
 
+@pytest.mark.parametrize(
+    "values",
+    [
+        [9e30] * 30 + [1e22 + 2.0**30, -3.3e25, 0.01, 1 / 3],
+        [(-1) ** k * 7.7 * 10.0**e for k in range(40) for e in (-5, 2, 11, 12, 15, 19, 24, 30)] + [1e32, 5e31],
+        [1.7e18, -1.7e18, 0.07, 1.2e11, -1.2e11],
+        [1e300, 1.0, 3e306],
+    ],
+)
+def test_huge_totals_neither_overflow_nor_depend_on_the_order(spark, values):
+    rng = random.Random(5)
+    rows = [(k % 3, v) for v in values for k in range(12)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, x double")
+    dim = spark.range(3).select(F.col("id").cast("int").alias("key"), F.lit("a").alias("side"))
+    seen = set()
+    for parts in (1, 7, 31):
+        mixed = df.repartition(parts, F.rand(parts))
+        by_key = sorted(map(tuple, rollup(mixed, MEASURES, ["k"]).collect()))
+        seen.add((*by_key, tuple(rollup(mixed, MEASURES, dims=[Dim(dim, "k", "key", ["side"])]).first())))
+    assert len(seen) == 1
+    for k, n, sum_x, avg_x in list(seen)[0][:3]:
+        own = [Decimal(x) for key, x in rows if key == k]
+        size = sum(map(abs, own))
+        assert abs(Decimal(sum_x) - sum(own)) <= max(Decimal("0.0051"), size / 10**14)
+        assert abs(Decimal(avg_x) - sum(own) / n) <= max(Decimal("0.0051"), size / n / 10**14)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.floats(-1e9, 1e9) | st.integers(-(10**9), 10**9).map(lambda c: c / 1000), min_size=1, max_size=30),
+    st.integers(0, 4),
+)
+def test_rounding_against_fractions(spark, values, decimals):
+    """Each value counts to 2^-25 of a unit; what is rounded is their exact sum."""
+    unit = [Fraction(v) * 10**4 for v in values]
+    counted = [Fraction(v * 10_000.0) for v in values]  # the product of doubles
+    exact = sum(
+        Fraction(math.floor(v * 10_000.0 + 0.5)) if math.floor(v * 10_000.0 + 0.5) / 10_000.0 == v
+        else Fraction(math.floor(v * 10_000.0 + 0.5))
+        + Fraction(math.floor((v * 10_000.0 - math.floor(v * 10_000.0 + 0.5)) * 2.0**24 + 0.5), 2**24)
+        for v in values
+    )
+    assert abs(exact - sum(unit)) <= len(values) * (Fraction(1, 2**25) + max(abs(a - b) for a, b in zip(unit, counted)))
+    measures = [total("s", "x", decimals), mean("m", "x", decimals)]
+    row = rollup(spark.createDataFrame([(v,) for v in values], "x double"), measures).first()
+
+    def away(x: Fraction) -> float:
+        size = math.floor(abs(x) / 10 ** (4 - decimals) + Fraction(1, 2))
+        return (-1 if x < 0 else 1) * size / 10.0**decimals
+
+    assert (row.s, row.m) == (away(exact), away(exact / len(values)))
+
+
+def test_awkward_column_names(spark):
+    df = spark.sql("SELECT 1 AS `a key`, 2.5D AS `the ``value`")
+    got = rollup(df, [total("the sum", "the `value"), row_count("n`")], ["a key"]).first()
+    assert tuple(got) == (1, 2.5, 1)
+
+
 def test_decimals_and_whole_numbers_add_up_as_they_are(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (CAST('12345678901234567.91' AS DECIMAL(20,2)), 9007199254740993L), "
