@@ -7,6 +7,7 @@ that dies midway leaves it in place. One writer per store is assumed.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import listing_folders
-from .tables import ensure_namespace, partitioned_writer
+from .tables import create_at, details, ensure_namespace, partitioned_writer
 
 _LOG_SCHEMA = (
     "table_name string, version int, committed_at timestamp, row_count bigint, "
@@ -152,28 +153,25 @@ def _view_namespace(spark: SparkSession, view: str) -> None:
         ensure_namespace(spark, view.rsplit(".", 1)[0])
 
 
-def _quoted(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
-
-
 def _show(spark: SparkSession, root: str, table: str, view: str) -> None:
     """Point a view at the current version, through a table with the types of the log.
 
-    A scan of files would guess the types of partition columns from their folder names.
+    A scan of files would guess the types of partition columns from their folder names. The view changes by
+    one step of the catalog, and then the tables it no longer needs go; their files belong to the store and stay.
     """
     path, schema = _resolve(spark, root, table)
-    version = path.rsplit("-", 1)[1]
-    under = f"{view}_v{version}"
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    under = f"{view}_v{path.rsplit('-', 1)[1]}"
     marked = sorted((f.metadata[_PARTITION], f.name) for f in schema if _PARTITION in f.metadata)
-    by = f" PARTITIONED BY ({', '.join(f'`{name}`' for _, name in marked)})" if marked else ""
     spark.sql(f"DROP TABLE IF EXISTS {under}")  # its name, not its files
-    spark.sql(f"CREATE TABLE {under} ({kinds}) USING parquet{by} LOCATION '{_quoted(path)}'")
-    if marked:
-        with listing_folders(spark):
-            spark.sql(f"MSCK REPAIR TABLE {under}")
+    create_at(spark, under, schema, [name for _, name in marked], path)
     picked = ", ".join(f"`{f.name}`" for f in schema)
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {picked} FROM {under}")
+    space, _, short = view.rpartition(".")
+    for other in spark.catalog.listTables(space or None, f"{short}_v*"):
+        named = f"{space}.{other.name}" if space else other.name
+        earlier = re.fullmatch(re.escape(short.lower()) + r"_v\d{6,}", other.name.lower())
+        if earlier and named.lower() != under.lower() and f"/{table}/version-" in details(spark, named).get("Location", ""):
+            spark.sql(f"DROP TABLE IF EXISTS {named}")
 
 
 def _views_path(root: str) -> str:

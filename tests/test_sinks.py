@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import threading
 from datetime import timedelta
 
 import pytest
@@ -19,6 +20,7 @@ from smeltery.sinks import (
     replace_table,
     stage,
 )
+from smeltery.sinks import tables
 from smeltery.sources import count_rows, declare_sources, read_table
 from tests_support import plan_of
 
@@ -233,6 +235,133 @@ def test_a_table_stays_until_its_successor_is_written(spark, days):
         assert not spark.catalog.tableExists(f"{table}__old")
 
 
+def files_of(table):
+    return {os.path.dirname(f).split("__data/")[1].split("/")[0] for f in table.inputFiles()}
+
+
+def test_a_replacement_moves_no_data(spark, namespace, days):
+    for by in ([], ["d"]):
+        name = f"{namespace}.still{len(by)}"
+        replace_table(days, name, by)
+        first = spark.table(name).inputFiles()
+        replace_table(days.where("id < 200"), name, by)
+        assert files_of(spark.table(name)) == {"000002-whole"}
+        # The files that were current are where they were, for their readers, until the next replacement.
+        assert all(os.path.exists(f.removeprefix("file://")) for f in first)
+        replace_table(days.where("id < 100"), name, by)
+        assert spark.table(name).count() == 100
+        assert not any(os.path.exists(f.removeprefix("file://")) for f in first)
+
+
+def test_the_name_is_never_absent(spark, namespace, days):
+    """A reader that looks all the time sees the old rows or the new, of a partitioned table those of each day."""
+    for by in ([], ["d"]):
+        name = f"{namespace}.seen{len(by)}"
+        replace_table(days, name, by)
+        stop, seen = threading.Event(), set()
+
+        def look():
+            while not stop.is_set():
+                counts = {str(r.d): r["count"] for r in spark.table(name).groupBy("d").count().collect()}
+                seen.add(tuple(sorted(counts.items())))
+
+        reader = threading.Thread(target=look)
+        reader.start()
+        try:
+            replace_table(days.where("id < 150"), name, by)
+            replace_table(days.where("id < 90"), name, by)
+        finally:
+            stop.set()
+            reader.join()
+        assert seen and all(len(counts) == 3 and {n for _, n in counts} <= {100, 50, 30} for counts in seen)
+        assert by or all(len({n for _, n in counts}) == 1 for counts in seen)
+
+
+def test_a_failure_between_partitions_leaves_each_old_or_new(spark, namespace, days, monkeypatch):
+    name = f"{namespace}.half"
+    replace_table(days, name, ["d"])
+    less = days.where("id < 30")
+    for replace in (lambda: replace_partitions(less, name), lambda: replace_table(less, name, ["d"])):
+        replace_table(days, name, ["d"])
+        plain, calls = tables._spec, []
+
+        def breaks(fragment):
+            calls.append(fragment)
+            if len(calls) > 1:
+                raise RuntimeError("lost the driver")
+            return plain(fragment)
+
+        monkeypatch.setattr(tables, "_spec", breaks)
+        monkeypatch.setattr(tables, "_AT_A_TIME", 1)
+        with pytest.raises(RuntimeError):
+            replace()
+        monkeypatch.setattr(tables, "_spec", plain)
+        counts = sorted(r["count"] for r in spark.table(name).groupBy("d").count().collect())
+        assert counts == [10, 100, 100]
+        replace()
+        assert sorted(r["count"] for r in spark.table(name).groupBy("d").count().collect()) == [10, 10, 10]
+
+
+def test_partitions_are_audited_before_they_show(spark, namespace, days):
+    name = f"{namespace}.audited"
+    replace_table(days, name, ["d"])
+
+    def refuse(written):
+        assert written.count() == 10
+        assert written.columns == spark.table(name).columns
+        raise ValueError("refused")
+
+    with pytest.raises(ValueError, match="refused"):
+        replace_partitions(days.where("id < 30 AND d = DATE'2023-01-01'"), name, refuse)
+    assert spark.table(name).count() == 300
+    replace_partitions(days.where("id < 30 AND d = DATE'2023-01-01'"), name, lambda written: None)
+    assert spark.table(name).count() == 210
+
+
+def test_partitions_of_any_type_come_and_go(spark, namespace):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, 5, 'a b/c=:%', DATE'2020-01-01', 1.50BD), (2, NULL, NULL, NULL, NULL), "
+        "(3, -7, 'it''s', DATE'1999-12-31', 2.25BD) AS t(v, i, s, d, n)"
+    )
+    for by in (["i"], ["s"], ["d"], ["n"], ["s", "i", "n"]):
+        name = f"{namespace}.by_{'_'.join(by)}"
+        replace_table(df, name, by)
+        replace_table(df, name, by)
+        stored = spark.table(name)
+        assert sorted(map(tuple, stored.select(df.columns).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+        replace_partitions(df.where("v <> 1").withColumn("v", F.col("v") * 10), name)
+        assert sorted(r.v for r in spark.table(name).collect()) == [1, 20, 30]
+        replace_table(df.where("v = 3"), name, by)
+        assert [r.v for r in spark.table(name).collect()] == [3]
+
+
+def test_other_columns_or_partitions_make_a_new_table(spark, namespace, days):
+    name = f"{namespace}.shape"
+    days.limit(5).write.saveAsTable(name)  # one that keeps its files in the warehouse
+    replace_table(days, name)
+    replace_table(days.withColumn("x", F.lit("y")), name)
+    assert spark.table(name).columns == ["id", "d", "x"]
+    replace_table(days, name, ["d"])
+    assert len(spark.sql(f"SHOW PARTITIONS {name}").collect()) == 3
+    replace_table(days.select("d", "id"), name)
+    assert rows(spark.table(name)) == rows(days.select("d", "id"))
+
+
+def test_many_publishes_leave_one_table_and_one_view(spark, days):
+    store = work_folder(spark, "store")
+    space = store.rsplit("/", 1)[1].replace("-", "_")
+    publish(days, store, "t", ["d"])
+    expose(spark, store, {"t": f"{space}.days"})
+    days.limit(1).write.saveAsTable(f"{space}.days_v000001x")
+    days.limit(1).write.saveAsTable(f"{space}.days_v000099")  # not ours
+    for n in range(10):
+        publish(days.where(f"id < {n + 1}").withColumn(f"c{n % 2}", F.lit(n)), store, "t", ["d"])
+        assert spark.table(f"{space}.days").count() == n + 1
+    left = sorted(t.name for t in spark.catalog.listTables(space))
+    assert left == ["days", "days_v000001x", "days_v000011", "days_v000099"]
+    assert read_version(spark, store, "t", 1).count() == 300
+
+
 def test_defaults_fill_in_what_spark_defaults_leaves_open(tmp_path):
     (tmp_path / "spark-defaults.conf").write_text(
         "spark.sql.session.timeZone America/New_York\nspark.sql.adaptive.advisoryPartitionSizeInBytes 32m\n"
