@@ -30,6 +30,8 @@ MAX_TOKENS = 2048
 #: Rows of the broadcast table, and items a sketch tracks to find them.
 TABLE_ROWS = 8_192
 TRACKED = 16_384
+#: Longer runs of letters are left to the workers, so that the table is bounded in bytes too.
+MAX_LETTERS = 64
 #: Sketches of map tasks are merged in so many groups before one task merges the groups.
 SKETCH_GROUPS = 32
 
@@ -38,7 +40,7 @@ def frequent_pre_tokens(docs: DataFrame, text: str = "text", rows: int = TABLE_R
     """The most frequent runs of letters in lower case, about; at most ``rows``."""
     words = docs.select(F.explode(F.split(F.lower(text_or_empty(text)), r"[^\p{L}]+")).alias("word"))
     sketches = (
-        words.where("word != ''")
+        words.where(f"word != '' AND length(word) <= {MAX_LETTERS}")
         .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
         .agg(F.expr(f"approx_top_k_accumulate(word, {tracked})").alias("sketch"))
     )
@@ -91,7 +93,7 @@ def token_counts(
     made = encoder(path)
     # A run of letters is one pre-token unless the vocabulary normalises it to something else.
     words = [w for w in frequent_pre_tokens(docs, text, rows) if made.pre_tokens(w) == [w]]
-    counts = made.vocabulary.encode_pieces(words)[1].astype(np.uint16)
+    counts = made.vocabulary.encode_pieces(words)[1]
     table = docs.sparkSession.sparkContext.broadcast(("\n".join(words), counts))
     filled = text_or_empty(text)
     taken = docs.select(*keep, F.octet_length(filled).cast("bigint").alias("n_bytes"), filled.alias("_text"))
