@@ -270,7 +270,8 @@ def induced_minima(contents: list[bytes], left: np.ndarray, owner: np.ndarray) -
     for reach in range(WINDOW):
         suffixes[:, reach] = np.where(reach < behind[items], padded[spot[items] + reach], 0)
     columns = suffixes.view(">u8").astype(np.uint64)
-    order = np.lexsort(columns.T[::-1])
+    # Of suffixes that differ only in the zeros they are filled up with, the shorter come first, so equal ones stay together.
+    order = np.lexsort([np.minimum(behind[items], WINDOW), *columns.T[::-1]])
     items, suffixes = items[order], suffixes[order]
     differ = suffixes[1:] != suffixes[:-1]
     common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)

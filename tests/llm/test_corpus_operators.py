@@ -145,6 +145,17 @@ def test_repeats_of_few_letters(spark):
         check_repeats([(i, t) for i, t, _ in rows], found)
 
 
+def test_repeats_with_zero_bytes(spark):
+    """A suffix that ends early differs from one that goes on with zeros."""
+    draw = random.Random(17)
+    rows = []
+    for i in range(240):
+        unit = "".join(draw.choice("a\0") for _ in range(draw.randint(1, 5)))
+        rows.append((i, (unit * 130)[: draw.randint(40, 130)] + draw.choice(["", "\0" * draw.randint(1, 60), "aa"]), "s"))
+    found = suffix_dedup.remove_repeats(table(spark, rows)).collect()
+    check_repeats([(i, t) for i, t, _ in rows], found)
+
+
 def test_texts_without_repeats_keep_rows_and_columns(awkward):
     out = suffix_dedup.without_repeats(awkward)
     assert out.columns == awkward.columns
@@ -220,6 +231,16 @@ def test_token_counts(spark, awkward, nothing, texts):
     assert token_counts.token_counts(nothing, WORDS).collect() == []
 
 
+def test_runs_of_letters_of_very_many_tokens(spark):
+    """More tokens than 16 bits count, in one run that is also the most frequent."""
+    run = "".join(random.Random(2).choices("bcdfghjklmnpqrstvwxz", k=180_000))
+    rows = [(i, run, "a") for i in range(3)] + [(3, run[:150_000] + " and the rest", "a")]
+    library = Tokenizer.from_file(WORDS)
+    found = token_counts.token_counts(table(spark, rows), WORDS).collect()
+    want = {i: len(library.encode(t, add_special_tokens=False).ids) for i, t, _ in rows}
+    assert {r["doc_id"]: r["n_tokens"] for r in found} == want and min(want.values()) > 65_535
+
+
 def test_counter_forgets_without_changing_counts(texts):
     made = bpe.encoder(WORDS)
     small = token_counts.TokenCounter(made, {"the": 1}, remembered=50)
