@@ -3,10 +3,15 @@
 Built on DataFrame functions alone.
 
 A line's identity is its host and a 64-bit hash of its normal form: ASCII lower case, digits as ``0``,
-runs of blanks as one space. Lines without a word are never counted and never removed. A line above the limit
-of its host is removed from every document but the first (smallest id) that has it, so that one of many near
-copies stays whole. A document is depleted, hence rejected, when more than the allowed share of its words stood
-on removed lines.
+runs of blanks as one space. Lines without a word are never counted and never removed. A line is above its limit
+when more than ``MIN_DOCUMENTS`` documents of the host have it and, times its words, they are more than
+``ROOT_FACTOR`` times the square root of the host's documents: what is said in a word or two recurs by chance on a
+large host, a sentence does not. It is one rule for hosts of any size. Such a line is removed from every document but
+the first (smallest id) that has it, so that one of many near copies stays whole. A document is depleted, hence
+rejected, when more than the allowed share of its words stood on removed lines.
+
+Texts are split and hashed in one pass; what follows reads a table of numbers: statistics, and for each line its hash and
+words.
 
 Defined results: a null text counts as empty (no words, so it fails the base rules); a null host is the host
 ``""``; equal texts of one host count as one document, so copies do not make their own lines frequent; rows that
@@ -18,21 +23,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK_RUN, BLANKS, ascii_lower, documents, let, split_words, text_or_empty
+from .common import BLANKS, documents, let, split_words, text_or_empty, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SYMBOLS = "#*$%&|<>"
-#: A line is above the limit in more documents than this, and in more than this share of the host's.
+SYMBOLS = "[#*$%&|<>]"
+#: A line is above its limit in more documents than this, and than this factor times the root of the host's over its words.
 MIN_DOCUMENTS = 10
-MAX_HOST_SHARE = 0.02
+ROOT_FACTOR = 0.5
 #: The largest share of words that may stand on removed lines.
 MAX_REMOVED_PERCENT = 50
 
 
-def normal_line(line: Column) -> Column:
-    folded = F.regexp_replace(F.btrim(line, F.lit(BLANKS)), BLANK_RUN, " ")
-    return F.translate(ascii_lower(folded), "123456789", "000000000")
+_FOLDED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000"
+
+
+def normal_lines(text: Column) -> Column:
+    """Each line's hash and number of words, null for a line without a word; the text is folded as a whole."""
+    folded = F.translate(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), *_FOLDED)
+
+    def hashed(line: Column) -> Column:
+        # The normal form has one space between two words.
+        words = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+        return F.when(line != "", F.struct(F.xxhash64(line).alias("line"), words.alias("words")))
+
+    return F.transform(F.split(folded, "\n"), lambda line: let(F.trim(line), hashed))
 
 
 def _has_word(line: Column) -> Column:
@@ -46,6 +61,8 @@ def repeated_window_words(words: Column, width: int = 3) -> Column:
         starts = F.sequence(F.lit(0), F.size(ws) - width)
         return F.transform(starts, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(width)]))
 
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+
     def repeated_starts(hashes: Column) -> Column:
         placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
@@ -71,91 +88,62 @@ def repeated_window_words(words: Column, width: int = 3) -> Column:
         repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
         return F.when(repeats, covered(repeated_starts(hashes))).otherwise(F.lit(0))
 
-    total = let(words, lambda ws: let(window_hashes(ws), counted))
+    total = let(hashed, lambda ws: let(window_hashes(ws), counted))
     return F.when(F.size(words) >= width, total).otherwise(F.lit(0)).cast("bigint")
 
 
-def text_statistics(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts per row, and whether the base rules reject it; ``text_hash`` with the id names the row."""
-    filled = docs.select(F.col(id), text_or_empty(text).alias("text"))
-    parts = filled.select(
-        id,
-        F.xxhash64("text").alias("text_hash"),
-        "text",
+def text_statistics(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """``id``, ``host``, ``text_hash``, counts per row, whether the base rules reject it, and its ``lines``."""
+    parts = docs.select(
+        F.col(id).alias("id"),
+        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
+        text_or_empty(text).alias("text"),
+    ).select(
+        "*",
         split_words(F.col("text")).alias("words"),
-        F.filter(F.split("text", "\n"), _has_word).alias("lines"),
+        F.filter(F.split("text", "\n"), _has_word).alias("own_lines"),
     )
     counts = parts.select(
-        id,
-        "text_hash",
+        "id",
+        "host",
+        F.xxhash64("text").alias("text_hash"),
         F.size("words").cast("bigint").alias("n_words"),
-        F.length(F.translate("text", BLANKS, "")).cast("bigint").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
+        F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
+        (F.size("own_lines") - F.size(F.array_distinct("own_lines"))).cast("bigint").alias("n_dup_lines"),
         repeated_window_words(F.col("words")).alias("n_repeat_words"),
+        normal_lines(F.col("text")).alias("lines"),
     )
     too_short = F.col("n_words") < MIN_WORDS
     repetitive = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     return counts.withColumn("base_failed", too_short | repetitive)
 
 
-def _hosted(docs: DataFrame, id: str, text: str, host: str) -> DataFrame:
-    return docs.select(
-        F.col(id).alias("id"),
-        F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"),
-        text_or_empty(text).alias("text"),
-    )
-
-
 def frequent_lines(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    host: str = "source",
-    min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_HOST_SHARE,
+    statistics: DataFrame, min_documents: int = MIN_DOCUMENTS, root_factor: float = ROOT_FACTOR
 ) -> DataFrame:
-    """Lines above the limits: host, line hash, the first document that has the line.
-
-    With a ``max_share`` of 0 the number of documents alone decides, however large the host.
-    """
-    hosted = _hosted(docs, id, text, host)
-    hashes = F.transform(
-        F.filter(F.split("text", "\n"), _has_word), lambda line: F.xxhash64(normal_line(line))
-    )
-    text_hash = F.xxhash64("text").alias("text_hash")
-    lines = hosted.select("id", "host", text_hash, F.explode(F.array_distinct(hashes)).alias("line"))
+    """Lines above their limits: host, line hash, the first document that has the line."""
+    own = F.array_distinct(F.filter("lines", lambda x: x.isNotNull()))
+    lines = statistics.select("id", "host", "text_hash", F.explode(own).alias("l")).select("id", "host", "text_hash", "l.*")
     counts = (
-        lines.groupBy("host", "line", "text_hash")  # copies are one document
+        lines.groupBy("host", "line", "words", "text_hash")  # copies are one document
         .agg(F.min("id").alias("first_id"))
-        .groupBy("host", "line")
+        .groupBy("host", "line", "words")
         .agg(F.count(F.lit(1)).alias("documents"), F.min("first_id").alias("first_id"))
         .where(F.col("documents") > min_documents)
     )
-    if not max_share:
-        return counts.select("host", "line", "first_id")
-    distinct = hosted.select("host", text_hash).distinct()
+    distinct = statistics.select("host", "text_hash").distinct()
     sizes = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
-    above = F.col("documents") > max_share * F.col("host_documents")
-    return counts.join(sizes, "host").where(above).select("host", "line", "first_id")
+    above = F.col("documents") * F.col("words") > root_factor * F.sqrt(F.col("host_documents"))
+    return counts.join(sizes, "host").where(above).select("host", "line", "words", "first_id")
 
 
-def lines_to_remove(docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", **limits):
+def lines_to_remove(statistics: DataFrame, **limits) -> DataFrame:
     """Per row (``_id`` and ``_hash`` of the text): the positions of its lines above the limits, and the words on them."""
-    limited = frequent_lines(docs, id, text, host, **limits)
-    lines = _hosted(docs, id, text, host).select(
-        "id", "host", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n"))
-    )
-    lines = lines.where(_has_word(F.col("col"))).select(
-        "id", "host", "text_hash", "pos", normal_line(F.col("col")).alias("normal")
-    )
-    # The normal form has one space between two words.
-    spaces = F.length("normal") - F.length(F.translate("normal", " ", ""))
-    lines = lines.select(
-        "id", "host", "text_hash", "pos", F.xxhash64("normal").alias("line"), (spaces + 1).alias("words")
-    )
+    lines = statistics.select("id", "host", "text_hash", F.posexplode("lines").alias("pos", "l")).where("l IS NOT NULL")
     return (
-        lines.join(limited, ["host", "line"])
+        lines.select("id", "host", "text_hash", "pos", "l.*")
+        .join(frequent_lines(statistics, **limits), ["host", "line", "words"])
         .where(~F.col("id").eqNullSafe(F.col("first_id")))
         .groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "pos")  # equal rows count once
         .agg(F.first("words").alias("words"))
@@ -168,12 +156,14 @@ def quality_rules(
     docs: DataFrame, id: str = "doc_id", text: str = "text", host: str = "source", **limits
 ) -> DataFrame:
     """The statistics of each row, its lines above the limits, and the verdict ``kept``."""
-    base = text_statistics(docs, id, text)
-    removed = lines_to_remove(docs, id, text, host, **limits)
-    same = F.col(id).eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    base = written(text_statistics(docs, id, text, host), "statistics")
+    removed = lines_to_remove(base, **limits)
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     depleted = 100 * F.col("n_removed_words") > MAX_REMOVED_PERCENT * F.col("n_words")
+    counts = ["text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return base.join(removed, same, "left").select(
-        *[base[c] for c in base.columns],
+        F.col("id").alias(id),
+        *[base[c] for c in counts],
         F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
         F.coalesce("n_removed_words", F.lit(0)).cast("bigint").alias("n_removed_words"),
         (~F.col("base_failed") & ~F.coalesce(depleted, F.lit(False))).alias("kept"),
@@ -250,12 +240,13 @@ l AS (
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM l GROUP BY doc_id),
 sizes AS (SELECT host, count(DISTINCT text) AS n FROM d GROUP BY host),
 frequent AS (
-  SELECT host, norm, count(DISTINCT md5) AS n, min(doc_id) AS first_id FROM l GROUP BY host, norm
+  SELECT host, norm, length(norm) - length(replace(norm, ' ', '')) + 1 AS words, count(DISTINCT md5) AS n,
+    min(doc_id) AS first_id FROM l GROUP BY host, norm
   HAVING count(DISTINCT md5) > 10),
 gone AS (
   SELECT l.doc_id, count(*) AS n_lines, sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS n_words
   FROM l JOIN frequent USING (host, norm) JOIN sizes USING (host)
-  WHERE frequent.n > 0.02 * sizes.n AND l.doc_id <> first_id GROUP BY l.doc_id),
+  WHERE frequent.n * frequent.words > 0.5 * sqrt(sizes.n) AND l.doc_id <> first_id GROUP BY l.doc_id),
 base AS (
   SELECT w.doc_id, len(ws)::BIGINT AS n_words,
     length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,

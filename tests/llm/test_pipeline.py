@@ -8,12 +8,14 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from corpus_cases import LOWER, WORD, awkward_rows, components, covered_bytes, fingerprint, personal_spans, table
+from pyspark.sql import functions as F
 from test_corpus_operators import check_packing
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from smeltery.llm import quality_rules
 from smeltery.llm.common import documents, written
-from smeltery.llm.quality_rules import MAX_HOST_SHARE, MIN_DOCUMENTS
+from smeltery.llm.quality_rules import MIN_DOCUMENTS, ROOT_FACTOR
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,7 +56,8 @@ def quality(docs):
         stay, gone = [], 0
         for line in d["text"].split("\n"):
             key = d["source"], normal(line)
-            above = len(having.get(key, ())) > max(MIN_DOCUMENTS, MAX_HOST_SHARE * hosts[d["source"]])
+            n_words = max(1, len(WORD.findall(line)))
+            above = len(having.get(key, ())) > max(MIN_DOCUMENTS, ROOT_FACTOR * hosts[d["source"]] ** 0.5 / n_words)
             if above and first[key] != i:
                 gone += len(WORD.findall(line))
             else:
@@ -96,13 +99,28 @@ def test_frequent_lines_go_from_a_host_with_a_third_of_all_rows(spark):
     def host(i):
         return "hot" if i % 3 == 0 else f"small{i % 40}"
 
-    given = [(i, body(i) if i % 150 else f"Share This Page\n{body(i)}", host(i)) for i in range(1, 2700)]
+    # Of the hot host, one document in fifty shows a sentence, and one in fifty a single word.
+    given = [
+        (i, body(i) if i % 150 else f"Share This Page\n{body(i)}" if i % 300 else f"Next\n{body(i)}", host(i))
+        for i in range(1, 3700)
+    ]
     out = rows(corpus_pipeline.quality(spark, table(spark, given), SF_DIR))
-    having = [i for i, text, _ in given if "\n" in text]
+    having = [i for i, text, _ in given if "Share" in text]
+    short = [i for i, text, _ in given if "Next" in text]
     hot = [i for i, _, h in given if h == "hot"]
-    assert set(having) <= set(hot) and 10 < len(having) <= 0.02 * len(hot)
+    assert {*having, *short} <= set(hot) and min(len(having), len(short)) > 10
+    assert 3 * len(having) > 0.5 * len(hot) ** 0.5 > len(short)
     assert [i for i in having if "Share" in out[i]["text"]] == having[:1]
     assert all(out[i]["text"] == body(i) for i in having[1:])
+    assert all(out[i]["text"] == f"Next\n{body(i)}" for i in short)  # a word recurs by chance on a large host
+
+
+def test_one_large_host_loses_what_small_hosts_lose(spark):
+    """The limits grow with a host by its root only: sentences frequent on a small host are so on all hosts put together."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    each = [quality_rules.text_statistics(d) for d in (docs, docs.withColumn("source", F.lit("one")))]
+    small, large = ({r["line"] for r in quality_rules.frequent_lines(s).collect()} for s in each)
+    assert small and small <= large
 
 
 def test_near_duplicate_stage(frames):
