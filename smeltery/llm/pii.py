@@ -4,20 +4,17 @@ Built on DataFrame functions alone.
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers; each value is a protected entity. A term (a run of
 letters, ASCII lower case) discloses an entity when seeing the term tells most of what the entity's own
-appearance would: with counts of lines over the whole corpus, pointwise mutual information
+appearance would: with counts of documents over the whole corpus, pointwise mutual information
 
-    log2(lines(term near entity) * lines / (lines(term) * lines(entity)))
+    log2(believed * documents(term near entity) * documents / (documents(term) * documents(entity)))
 
-is at least ``DISCLOSURE`` of the entity's information content, log2(lines / lines(entity)). Near means among the
-``NEAR`` words on either side of the entity in its line, so pairs grow with the text and not with its square. A pair
-must be seen in at least ``SUPPORT`` different lines, so that copies of one line prove nothing. Such terms are removed
-wherever a document also holds the entity; entities are generalised to their kind.
-
-That is what the query and its SQL state. The stage, ``sanitise``, counts documents instead of lines, near reaches
-across line breaks, and no entity is left out for being rare: in place of ``SUPPORT`` the share of the term's
-documents that have it near the entity is multiplied by d / (d + ``DOUBT``), where d counts the different lines of the
-entity in these. So copies of one line still count once, and the rarer an entity is in the corpus, the less it takes: from
-some thousand documents on, a term of one document near an entity of that document alone is removed.
+is at least ``DISCLOSURE`` of the entity's information content, log2(documents / documents(entity)). Near means among the
+``NEAR`` words on either side of the entity, across line breaks, so pairs grow with the text and not with its square. No
+entity is left out for being rare: ``believed`` is d / (d + ``DOUBT``), where d counts the different lines that the
+entity is in, one of each document that has term and entity near each other. So copies of one line count once, and the
+rarer an entity is in the corpus, the less it takes: from some thousand documents on, a term of one document near an
+entity of that document alone is removed. Such terms are removed wherever a document also holds the entity; entities
+are generalised to their kind.
 
 No pattern reaches across a line break, so entities can be looked for line by line. Possessive quantifiers and
 look-behind keep patterns linear and free of recursion on long runs, and match what the plain ones match.
@@ -34,7 +31,6 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, documents, text_or_empty, written
 
 DISCLOSURE = 0.8
-SUPPORT = 3
 NEAR = 10
 #: Imagined lines that hold a term without the entity, added to those seen.
 DOUBT = 3
@@ -130,8 +126,8 @@ def _letter_runs(text: Column) -> Column:
     return F.filter(F.split(ascii_lower(text), r"[^\p{L}]+"), lambda t: t != "")
 
 
-def _mentions(text: Column, near: int, with_line: bool = False) -> Column:
-    """Each valid match of a text: its entity, the terms near it, and, if wanted, a hash of the line it is in."""
+def _mentions(text: Column, near: int) -> Column:
+    """Each valid match of a text: its entity, the terms near it, and a digest of the line it is in."""
 
     def of_kind(m: Column) -> Column:
         def mention(hit: Column, i: Column) -> Column:
@@ -146,7 +142,7 @@ def _mentions(text: Column, near: int, with_line: bool = False) -> Column:
                 F.struct(
                     _entity(m["kind"], hit).alias("entity"),
                     F.array_distinct(_letter_runs(F.array_join(around, " "))).alias("terms"),
-                    *([F.xxhash64(line).alias("line")] if with_line else []),
+                    F.md5(line).alias("line"),
                 ),
             )
 
@@ -156,46 +152,6 @@ def _mentions(text: Column, near: int, with_line: bool = False) -> Column:
 
 
 def disclosing_terms(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    disclosure: float = DISCLOSURE,
-    support: int = SUPPORT,
-    near: int = NEAR,
-) -> DataFrame:
-    """Pairs of an entity and a term that discloses it."""
-    lines = _named(docs, id, text).select("id", "hash", F.posexplode(F.split("text", "\n")).alias("number", "line"))
-    mentions = lines.select(
-        "id", "hash", "number", F.xxhash64("line").alias("line"), F.explode(_mentions(F.col("line"), near)).alias("m")
-    ).select("id", "hash", "number", "line", "m.*")
-    mentions = written(mentions, "mentions")
-
-    def counted(rows: DataFrame, *names: str) -> DataFrame:
-        """Lines by the names, those of equal text once in ``different``."""
-        own = rows.select("id", "hash", "number", "line", *names).distinct()
-        by_line = own.groupBy("line", *names).agg(F.count(F.lit(1)).alias("lines"))
-        return by_line.groupBy(*names).agg(F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("different"))
-
-    entities = counted(mentions, "entity").where(F.col("different") >= support)
-    frequent = mentions.join(entities.select("entity"), "entity", "left_semi")
-    pairs = counted(frequent.withColumn("term", F.explode("terms")), "entity", "term")
-    pairs = pairs.where(F.col("different") >= support).select("entity", "term", F.col("lines").alias("both"))
-    pairs = written(pairs, "pairs")
-
-    # Counted before the join, so that what moves is a row per term and task, not one per word.
-    all_lines = lines.select(F.explode(F.array_distinct(_letter_runs(F.col("line")))).alias("term"))
-    term_lines = all_lines.groupBy("term").agg(F.count(F.lit(1)).alias("term_lines"))
-    total = docs.select(F.sum(F.size(F.split(text_or_empty(text), "\n"))).alias("n")).first()["n"] or 0
-    known = pairs.join(term_lines, "term").join(
-        entities.select("entity", F.col("lines").alias("entity_lines")), "entity"
-    )
-    n = F.lit(float(total))
-    information = F.log2(F.col("both") * n / (F.col("term_lines") * F.col("entity_lines")))
-    content = F.log2(n / F.col("entity_lines"))
-    return known.where(information >= disclosure * content).select("entity", "term")
-
-
-def disclosing_terms_of_documents(
     docs: DataFrame,
     id: str = "doc_id",
     text: str = "text",
@@ -205,11 +161,11 @@ def disclosing_terms_of_documents(
 ) -> DataFrame:
     """Pairs of an entity and a term that discloses it, by documents, of entities however rare."""
     rows = _named(docs, id, text)
-    mentions = rows.select("id", "hash", F.explode(_mentions(F.col("text"), near, with_line=True)).alias("m"))
+    mentions = rows.select("id", "hash", F.explode(_mentions(F.col("text"), near)).alias("m"))
     mentions = written(mentions.select("id", "hash", "m.*"), "mentions")
 
     def counted(found: DataFrame, *names: str) -> DataFrame:
-        """Documents by the names, those with the same line of the entity once in ``different``."""
+        """Documents by the names, those with the same line of the entity once in ``different``. Of several lines the first digest counts."""
         own = found.groupBy("id", "hash", *names).agg(F.min("line").alias("line"))
         by_line = own.groupBy("line", *names).agg(F.count(F.lit(1)).alias("documents"))
         return by_line.groupBy(*names).agg(F.sum("documents").alias("documents"), F.count(F.lit(1)).alias("different"))
@@ -217,7 +173,7 @@ def disclosing_terms_of_documents(
     entities = counted(mentions, "entity").select("entity", F.col("documents").alias("entity_documents"))
     pairs = counted(mentions.select("id", "hash", "line", "entity", F.explode("terms").alias("term")), "entity", "term")
     pairs = written(pairs, "pairs")
-    # Counted before the join, as above.
+    # Counted before the join, so that what moves is a row per term and task, not one per word.
     terms = rows.select(F.explode(F.array_distinct(_letter_runs(F.col("text")))).alias("term"))
     known = pairs.join(terms.groupBy("term").agg(F.count(F.lit(1)).alias("term_documents")), "term")
     known = known.join(entities, "entity")
@@ -243,19 +199,12 @@ def _told(docs: DataFrame, id: str, text: str, held: DataFrame, disclosing: Data
     return both.select("id", "hash", "term").distinct()
 
 
-def personal_data(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", by_documents: bool = False, **limits
-) -> DataFrame:
+def personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """A row per span: ``id``, ``hash`` of the text, number of the kind, ``start``, ``end``. Terms inside other spans are left to them."""
     base = written(pattern_spans(docs, id, text), "spans")
-    judged = disclosing_terms_of_documents if by_documents else disclosing_terms
-    disclosing = written(judged(docs, id, text, **limits), "disclosing")
+    disclosing = written(disclosing_terms(docs, id, text, **limits), "disclosing")
     held = base.select("id", "hash", _entity(F.col("kind"), F.col("value")).alias("entity")).distinct()
-    if by_documents:
-        told = _told(docs, id, text, held, disclosing)
-    else:
-        told = held.join(disclosing, "entity").groupBy("id", "hash", "term").agg(F.lit(1).alias("one")).drop("one")
-    told = written(told, "told")
+    told = written(_told(docs, id, text, held, disclosing), "told")
     concerned = told.select("id", "hash").distinct()
     same = ["id", "hash"]
     words = _named(docs, id, text).join(concerned, same, "left_semi")
@@ -282,15 +231,13 @@ def spans_by_document(docs: DataFrame, id: str = "doc_id", text: str = "text", *
     return found.groupBy("id", "hash").agg(F.sort_array(F.collect_list(one)).alias("spans"))
 
 
-def sanitise(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", by_documents: bool = True, **limits
-) -> DataFrame:
+def sanitise(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """All rows and columns; in texts, entities become their kind in brackets and disclosing terms ``[TERM]``.
 
     Spans that overlap are covered together, under the name of the one that starts first, of those the longest.
     ``n_chars``, where the table has it, follows the text.
     """
-    spans = spans_by_document(docs, id, text, by_documents=by_documents, **limits).select(
+    spans = spans_by_document(docs, id, text, **limits).select(
         F.col("id").alias("_id"), F.col("hash").alias("_hash"), "spans"
     )
     filled = text_or_empty(text)
@@ -401,35 +348,32 @@ placed AS (
   SELECT doc_id, kind, v,
     (sum(length(g) + length(v)) OVER (PARTITION BY doc_id, kind ORDER BY n))::BIGINT AS e FROM each),
 base AS (SELECT doc_id, kind, v, e - length(v) AS a, e, {_NAME} AS entity FROM placed WHERE {_VALID}),
-l AS (
-  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS number
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM d)),
-lm AS ({_found("l", "doc_id, number, line", "line")}),
 mention AS (
-  SELECT doc_id, number, line, kind, unnest(hits) AS v, unnest(gaps[1:len(hits)]) AS before,
-    unnest(gaps[2:len(hits) + 1]) AS after FROM lm),
+  SELECT doc_id, kind, unnest(hits) AS v, unnest(gaps[1:len(hits)]) AS before, unnest(gaps[2:len(hits) + 1]) AS after
+  FROM m),
 near AS (
-  SELECT doc_id, number, line, {_NAME} AS entity,
-    list_filter(string_split_regex({_lower(
+  SELECT doc_id, {_NAME} AS entity,
+    md5(string_split(before, chr(10))[-1] || v || string_split(after, chr(10))[1]) AS line,
+    list_distinct(list_filter(string_split_regex({_lower(
         "array_to_string(list_concat(regexp_extract_all(before, '[^\\x20\\x09-\\x0D]+')[-10:], "
         "regexp_extract_all(after, '[^\\x20\\x09-\\x0D]+')[1:10]), ' ')"
-    )}, '[^\p{{L}}]+'), lambda t: t <> '') AS terms
+    )}, '[^\p{{L}}]+'), lambda t: t <> '')) AS terms
   FROM mention WHERE {_VALID}),
-entities AS (
-  SELECT entity, count(DISTINCT (doc_id, number)) AS lines FROM near
-  GROUP BY entity HAVING count(DISTINCT line) >= {SUPPORT}),
+entities AS (SELECT entity, count(DISTINCT doc_id) AS documents FROM near GROUP BY entity),
 pairs AS (
-  SELECT entity, term, count(DISTINCT (doc_id, number)) AS both_lines
-  FROM (SELECT doc_id, number, line, entity, unnest(terms) AS term FROM near) JOIN entities USING (entity)
-  GROUP BY entity, term HAVING count(DISTINCT line) >= {SUPPORT}),
+  SELECT entity, term, count(*) AS documents, count(DISTINCT line) AS different
+  FROM (SELECT doc_id, entity, term, min(line) AS line
+    FROM (SELECT doc_id, line, entity, unnest(terms) AS term FROM near) GROUP BY doc_id, entity, term)
+  GROUP BY entity, term),
 words AS (
-  SELECT term, count(*) AS lines
-  FROM (SELECT unnest(list_distinct(string_split_regex({_lower("line")}, '[^\p{{L}}]+'))) AS term FROM l)
+  SELECT term, count(*) AS documents
+  FROM (SELECT unnest(list_distinct(string_split_regex({_lower("text")}, '[^\p{{L}}]+'))) AS term FROM d)
   WHERE term IN (SELECT term FROM pairs) GROUP BY term),
-total AS (SELECT count(*)::DOUBLE AS n FROM l),
+total AS (SELECT count(*)::DOUBLE AS n FROM d),
 telling AS (
   SELECT p.entity, p.term FROM pairs p JOIN words w USING (term) JOIN entities x USING (entity), total
-  WHERE log2(both_lines * n / (w.lines * x.lines)) >= {DISCLOSURE} * log2(n / x.lines)),
+  WHERE log2(different / (different + {float(DOUBT)}) * p.documents * n / (w.documents * x.documents))
+    >= {DISCLOSURE} * log2(n / x.documents)),
 told AS (SELECT DISTINCT doc_id, term FROM base JOIN telling USING (entity)),
 runs AS (
   SELECT doc_id, regexp_extract_all(text, '\p{{L}}+') AS hits, string_split_regex(text, '\p{{L}}+') AS gaps

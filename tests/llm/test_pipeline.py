@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import importlib
+import math
+import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from corpus_cases import LOWER, WORD, awkward_rows, components, covered_bytes, fingerprint, personal_spans, table
+import regex
+from corpus_cases import (
+    LOWER,
+    PERSONAL,
+    WORD,
+    awkward_rows,
+    components,
+    covered_bytes,
+    fingerprint,
+    is_personal,
+    personal_spans,
+    table,
+)
 from pyspark.sql import functions as F
 from test_corpus_operators import check_packing
 
@@ -67,13 +83,61 @@ def quality(docs):
     return out
 
 
-def without_spans(text):
-    out, at = [], 0
-    for start, end, kind in sorted((a, b, k) for k, a, b in personal_spans(text)):
-        if start >= at:
-            out += [text[at:start], f"[{kind.upper()}]"]
-            at = end
-    return "".join([*out, text[at:]])
+def entity(kind, value):
+    return kind, value.lower() if kind == "email" else value if kind == "ip" else re.sub("[^0-9]", "", value)
+
+
+LETTERS = regex.compile(r"\p{L}+")
+
+
+def disclosing(docs):
+    """Pairs of an entity and a term that tells it, from texts by id."""
+    near, having = defaultdict(lambda: defaultdict(set)), defaultdict(set)
+    for i, text in docs.items():
+        for kind, pattern in PERSONAL.items():
+            matches = list(re.finditer(pattern, text))
+            ends = [0, *(m.end() for m in matches)]
+            starts = [*(m.start() for m in matches), len(text)]
+            for k, m in enumerate(matches):
+                if is_personal(kind, m.group()):
+                    before, after = text[ends[k] : m.start()], text[m.end() : starts[k + 1]]
+                    line = before.split("\n")[-1] + m.group() + after.split("\n")[0]
+                    around = " ".join(WORD.findall(before)[-10:] + WORD.findall(after)[:10])
+                    having[entity(kind, m.group())].add(i)
+                    for term in {t.translate(LOWER) for t in LETTERS.findall(around)}:
+                        near[entity(kind, m.group()), term][i].add(hashlib.md5(line.encode()).hexdigest())
+    frequency = Counter(t for text in docs.values() for t in {t.translate(LOWER) for t in LETTERS.findall(text)})
+    found = set()
+    for (one, term), lines in near.items():
+        different = len({min(of_doc) for of_doc in lines.values()})
+        believed = different / (different + 3)
+        told = math.log2(believed * len(lines) * len(docs) / (frequency[term] * len(having[one])))
+        if told >= 0.8 * math.log2(len(docs) / len(having[one])):
+            found.add((one, term))
+    return found
+
+
+def sanitised(docs):
+    """Texts by id with the union of their spans under the name of the one that starts first, of those the longest."""
+    telling = defaultdict(set)
+    for one, term in disclosing(docs):
+        telling[one].add(term)
+    out = {}
+    for i, text in docs.items():
+        base = personal_spans(text)
+        told = set().union(*(telling[entity(k, text[a:b])] for k, a, b in base))
+        terms = [
+            ("term", m.start(), m.end())
+            for m in LETTERS.finditer(text)
+            if m.group().translate(LOWER) in told and not any(a < m.end() and m.start() < b for _, a, b in base)
+        ]
+        parts, at = [], 0
+        for start, _, end, kind in sorted((a, -b, b, k) for k, a, b in base + terms):
+            if start >= at:
+                parts += [text[at:start], f"[{kind.upper()}]"]
+            at = max(at, end)
+        out[i] = "".join([*parts, text[at:]])
+    return out
 
 
 def test_stages_in_order_and_registered():
@@ -138,10 +202,31 @@ def test_repeats_stage(frames):
 
 
 def test_personal_data_stage(frames):
-    before, after = rows(frames[3]), rows(frames[4])
-    assert {i: r["text"].replace("[TERM]", "") for i, r in after.items()} == {
-        i: without_spans(r["text"]) for i, r in before.items()
-    }
+    want = sanitised({i: r["text"] for i, r in rows(frames[3]).items()})
+    assert {i: r["text"] for i, r in rows(frames[4]).items()} == want
+
+
+def test_personal_data_stage_where_terms_are_removed(spark):
+    """Entities of all frequencies among words of all frequencies; spans that overlap; copies of a line."""
+    draw = random.Random(21)
+    fill = [f"word{'abcdefghij'[k % 10]}{'x' * (k // 10)}" for k in range(60)]
+    names = [f"name{'qrstuvwxyz'[k % 10]}{'y' * (k // 10)}" for k in range(25)]
+    values = [f"{n}@mail.example.com" for n in names[:10]] + [f"10.1.{k}.7" for k in range(8)]
+    values += ["+1 (212) 555-0188", "4111 1111 1111 1111", "4111 1111 1111 1111@x.org", "10.0.0.0 4111 1111 1111 1111"]
+    given = {}
+    for i in range(900):
+        words = draw.choices(fill, k=draw.randint(3, 40))
+        if i % 6 == 0:
+            k = min(int(draw.expovariate(0.25)), len(values) - 1)
+            words.insert(draw.randint(0, len(words)), f"{names[k]} {values[k]}" if draw.random() < 0.7 else values[k])
+        given[i] = "".join(w + draw.choice("  \n") for w in words)
+    for i in range(900, 905):
+        given[i] = "copied quagmire +1 (212) 555-0199 line"
+    out = rows(corpus_pipeline.personal_data(spark, table(spark, [(i, t, "a") for i, t in given.items()]), SF_DIR))
+    want = sanitised(given)
+    assert {i: r["text"] for i, r in out.items()} == want
+    assert sum(t.count("[TERM]") for t in want.values()) > 20
+    assert len(disclosing(given)) < 60
 
 
 def test_packing_stage(frames):
