@@ -10,6 +10,7 @@ over the sum of larger ones.
 
 The edited text of a document is its own first half and the beginning of the next document by descending id. The
 next document is found among ids alone, in ranges of bounded size; then only the parts of texts that are needed move.
+Own and edited text meet in one row, and a term that has the same weight in both is drawn once for both.
 
 Defined results: a null text counts as empty; texts without words have the fingerprint of zeros and are alike among
 themselves; a null id comes after all others; rows that agree in id and text are one document and give one
@@ -51,35 +52,82 @@ def weighted_terms(text: Column) -> Column:
     return let(hashes, lambda h: F.when(F.size(h) > 0, counted(h)))
 
 
-def _uniforms(term: Column, sample: int, which: int) -> tuple[Column, Column]:
-    """Two numbers between 0 and 1 from one hash."""
-    h = F.xxhash64(term, F.lit(3 * sample + which))
-    scale = 2.0**-32
-    high = (F.shiftrightunsigned(h, 32).cast("double") + 0.5) * scale
-    low = (h.bitwiseAND(F.lit(_LOW)).cast("double") + 0.5) * scale
-    return high, low
+_BITS = 21
+#: Which texts of a row have a term with this weight: the own, the edited one, both.
+OWN, EDITED, BOTH = 0, 1, 2
+
+
+def _uniforms(sample: int, which: int) -> list[Column]:
+    """Three numbers between 0 and 1 from one hash of the term."""
+    # Every draw has a hash function of its own: the term is changed by another constant before.
+    h = F.xxhash64(F.col("term").bitwiseXOR(F.lit((2 * sample + which + 1) * 0x2545F4914F6CDD1D % (1 << 62))))
+    mask = F.lit((1 << _BITS) - 1)
+    return [
+        (F.shiftrightunsigned(h, _BITS * k).bitwiseAND(mask).cast("double") + 0.5) * 2.0**-_BITS for k in range(3)
+    ]
 
 
 def _draw(sample: int) -> Column:
     """Value and identity of a term's draw in one number: the smallest is the sample."""
-    a, b = _uniforms(F.col("term"), sample, 0)
-    c, d = _uniforms(F.col("term"), sample, 1)
-    shift, _ = _uniforms(F.col("term"), sample, 2)
+    a, b, shift = _uniforms(sample, 0)
+    c, d, _ = _uniforms(sample, 1)
     r = -F.log(a * b)
     step = F.floor(F.col("log_weight") / r + shift)
     value = F.log(-F.log(c * d)) - r * (step.cast("double") - shift) - r
-    name = F.xxhash64("term", step).bitwiseAND(F.lit(_LOW))
+    name = F.shiftright("term", 16).bitwiseXOR(step).bitwiseAND(F.lit(_LOW))
     return F.shiftleft((value * _STEPS).cast("bigint"), 32).bitwiseOR(name)
 
 
+def _marked(own: Column, edited: Column) -> Column:
+    """Terms and weights of both texts, once where both have a term with one weight, and which have it."""
+
+    def sided(terms: Column, side: int) -> Column:
+        return F.transform(
+            F.coalesce(terms, F.array().cast("array<struct<term:bigint,weight:int>>")),
+            lambda t: F.struct(t["term"].alias("term"), t["weight"].alias("weight"), F.lit(side).alias("side")),
+        )
+
+    def merged(rows: Column) -> Column:
+        def same(x: Column, y: Column) -> Column:
+            return F.coalesce((x["term"] == y["term"]) & (x["weight"] == y["weight"]), F.lit(False))
+
+        def shown(x: Column, k: Column) -> Column:
+            side = F.when((x["side"] == OWN) & same(x, F.get(rows, k + 1)), BOTH).otherwise(x["side"])
+            return F.struct(x["term"].alias("term"), x["weight"].alias("weight"), side.alias("side"))
+
+        first = F.transform(rows, lambda x, k: F.when((x["side"] == OWN) | ~same(x, F.get(rows, k - 1)), shown(x, k)))
+        return F.filter(first, lambda x: x.isNotNull())
+
+    return let(F.sort_array(F.concat(sided(own, OWN), sided(edited, EDITED))), merged)
+
+
 def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """The keys and their ``signature``, an array of sample names; equal keys stand for equal texts."""
-    terms = texts.select(*keys, F.explode_outer(weighted_terms(F.col("text"))).alias("t")).select(
-        *keys, F.col("t.term").alias("term"), F.log(F.col("t.weight").cast("double")).alias("log_weight")
+    """The keys, the ``signature`` of ``text`` and the ``edited_signature`` of ``edited``, arrays of sample names.
+
+    Rows of equal keys have equal texts.
+    """
+    terms = _marked(weighted_terms(F.col("text")), weighted_terms(F.col("edited")))
+    each = texts.select(*keys, F.explode_outer(terms).alias("t")).select(
+        *keys,
+        F.col("t.side").alias("side"),
+        F.col("t.term").alias("term"),
+        F.log(F.col("t.weight").cast("double")).alias("log_weight"),
     )
-    drawn = terms.groupBy(*keys).agg(*[F.min(_draw(k)).alias(f"s{k}") for k in range(samples)])
-    names = [F.coalesce(F.col(f"s{k}").bitwiseAND(F.lit(_LOW)), F.lit(0).cast("bigint")) for k in range(samples)]
-    return drawn.select(*keys, F.array(*names).alias("signature"))
+    drawn = each.groupBy(*keys, "side").agg(*[F.min(_draw(k)).alias(f"s{k}") for k in range(samples)])
+
+    def name(k: int, other: int) -> Column:
+        return F.min(F.when(F.col("side") != other, F.col(f"s{k}"))).bitwiseAND(F.lit(_LOW))
+
+    none = F.lit(0).cast("bigint")
+    return drawn.groupBy(*keys).agg(
+        F.array(*[F.coalesce(name(k, EDITED), none) for k in range(samples)]).alias("signature"),
+        F.array(*[F.coalesce(name(k, OWN), none) for k in range(samples)]).alias("edited_signature"),
+    )
+
+
+def packed(signature: Column) -> Column:
+    """Names as 32-bit numbers."""
+    return F.transform(signature, lambda s: (s - (1 << 31)).cast("int"))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
@@ -88,7 +136,8 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 
 
 def as_text(signature: Column) -> Column:
-    return F.array_join(F.transform(signature, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), "")
+    unpacked = F.transform(signature, lambda s: s.cast("bigint") + (1 << 31))
+    return F.array_join(F.transform(unpacked, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))), "")
 
 
 _RANGE_BITS = 16
@@ -126,8 +175,8 @@ def next_documents(rows: DataFrame) -> DataFrame:
 _NULL_ID = -(1 << 63)
 
 
-def edited_texts(texts: DataFrame, order: DataFrame) -> DataFrame:
-    """``id``, ``hash`` and the edited ``text``; ``order`` has n_chars and next by id and hash."""
+def with_edited(texts: DataFrame, order: DataFrame) -> DataFrame:
+    """``id``, ``hash``, ``text`` and the ``edited`` text; ``order`` has n_chars and next by id and hash."""
     same = ["id", "hash"]
     wanted = order.select(
         F.col("next.id").alias("id"),
@@ -140,8 +189,8 @@ def edited_texts(texts: DataFrame, order: DataFrame) -> DataFrame:
         F.col("of_id").alias("id"), F.col("of_hash").alias("hash"), F.left("text", "half").alias("beginning")
     )
     half = F.floor(F.length("text") / 2).cast("int")
-    own = texts.select(*same, F.left("text", F.length("text") - half).alias("own"))
-    return own.join(beginnings, same).select(*same, F.concat("own", "beginning").alias("text"))
+    edited = F.concat(F.left("text", F.length("text") - half), "beginning")
+    return texts.join(beginnings, same).select(*same, "text", edited.alias("edited"))
 
 
 def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
@@ -150,14 +199,21 @@ def edited_likeness(docs: DataFrame, id: str = "doc_id", text: str = "text", sam
     filled = text_or_empty(text)
     known = F.coalesce(F.col(id).cast("bigint"), F.lit(_NULL_ID))
     texts = docs.select(known.alias("id"), F.xxhash64(filled).alias("hash"), filled.alias("text"))
-    sized = texts.withColumn("n_chars", F.length("text").cast("bigint"))
-    own = written(signatures(sized, [*same, "n_chars"], samples), "signatures")
-    after = next_documents(own.select(*same))
-    order = written(own.select(*same, "n_chars").join(after, same), "order")
-    edited = edited_texts(texts, order).withColumn("edited_sha256", F.sha2("text", 256))
-    edited = signatures(edited, [*same, "edited_sha256"], samples).withColumnRenamed("signature", "edited_signature")
-    following = own.select(F.struct(*same).alias("next"), F.col("signature").alias("next_signature"))
-    joined = own.join(edited, same).join(order.select(*same, "next"), same).join(following, "next")
+    keys = written(texts.select(*same, F.length("text").cast("bigint").alias("n_chars")).distinct(), "keys")
+    order = written(keys.join(next_documents(keys.select(*same)), same), "order")
+    both = with_edited(texts, order).withColumn("n_chars", F.length("text").cast("bigint"))
+    both = both.withColumn("edited_sha256", F.sha2("edited", 256))
+    made = signatures(both, [*same, "n_chars", "edited_sha256"], samples)
+    own = written(
+        made.withColumn("signature", packed(F.col("signature"))).withColumn(
+            "edited_signature", packed(F.col("edited_signature"))
+        ),
+        "signatures",
+    )
+    # Each signature goes to the document before, which is all that has to move.
+    before = order.select(F.col("next.id").alias("id"), F.col("next.hash").alias("hash"), F.struct(*same).alias("of"))
+    following = own.select(*same, F.col("signature").alias("next_signature")).join(before, same)
+    joined = own.join(following.select("of.*", "next_signature"), same)
     return joined.select(
         F.when(F.col("id") != _NULL_ID, F.col("id")).alias("doc_id"),
         "n_chars",

@@ -13,6 +13,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from corpus_cases import (
     EXTRA,
     LOWER,
@@ -502,13 +503,53 @@ def test_likeness_is_near_the_similarity_where_it_is_hardest(texts, spark):
     assert len(errors) > 50 and np.std(errors) < 0.075
 
 
+def plain_signature(text, samples):
+    """The smallest draw of each sample, term by term."""
+    weights = Counter(xxhash.xxh64_intdigest(w.encode(), 42) for w in WORD.findall(text))
+
+    def signed(h):
+        return h - (1 << 64) if h >> 63 else h
+
+    names = []
+    for k in range(samples):
+        best = None
+        for term, weight in weights.items():
+            uniform = []
+            for which in range(2):
+                constant = (2 * k + which + 1) * 0x2545F4914F6CDD1D % (1 << 62)
+                h = xxhash.xxh64_intdigest((term ^ constant).to_bytes(8, "little"), 42)
+                uniform += [((h >> 21 * j & (1 << 21) - 1) + 0.5) * 2.0**-21 for j in range(3)]
+            a, b, shift, c, d, _ = uniform
+            r = -math.log(a * b)
+            step = math.floor(math.log(weight) / r + shift)
+            value = math.log(-math.log(c * d)) - r * (step - shift) - r
+            name = (signed(term) >> 16 ^ step) & 0xFFFFFFFF
+            draw = int(value * (1 << 22)), name
+            best = draw if best is None or draw < best else best
+        names.append(best[1] if best else 0)
+    return "".join(f"{n:08x}" for n in names)
+
+
+def test_signatures_match_a_plain_sampler(spark, texts):
+    rows = {r["doc_id"]: r for r in weighted_fingerprints.op8_fingerprints(spark, SF_DIR).collect()}
+    order = sorted(texts, reverse=True)
+    some = [k for k, i in enumerate(order) if len(texts[i]) < 1500][:25]
+    for k in some:
+        text, following = texts[order[k]], texts[order[(k + 1) % len(order)]]
+        half = len(text) // 2
+        for got, t in (("fingerprint", text), ("edited_fingerprint", text[: len(text) - half] + following[:half])):
+            got, want = rows[order[k]][got], plain_signature(t, 64)
+            # Steps of equal size may go either way where logarithms differ in the last bit.
+            assert sum(got[j : j + 8] == want[j : j + 8] for j in range(0, 512, 8)) >= 63
+
+
 def test_fingerprints_of_awkward_rows(awkward, nothing):
     rows = weighted_fingerprints.edited_likeness(awkward).collect()
     distinct = {(i, t or "") for i, t, _ in awkward_rows()}
     assert len(rows) == len(distinct)
     of = by_id(rows)
     assert of[1][0]["signature"] == of[2][0]["signature"] == of[12][0]["signature"]
-    assert set(of[4][0]["signature"]) == {0}
+    assert set(of[4][0]["signature"]) == {-(1 << 31)}  # zeros, as they are stored
     # By descending id; of one id by hash; a null id is last, and the first follows it.
     assert of[2][0]["edited_sha256"] == sha(PROSE[: len(PROSE) - len(PROSE) // 2] + PROSE[: len(PROSE) // 2])
     assert of[5][0]["edited_sha256"] == sha("")
@@ -669,7 +710,7 @@ def test_disclosing_terms_match_sql(spark, tmp_path):
     words = [f"w{'abcdefghij'[k % 10]}{'xyz' * (k // 10)}" for k in range(300)]
     people = [(f"p{i}@mail.example.com", [f"rare{'qrstuv'[i]}", f"odd{'qrstuv'[i]}"]) for i in range(6)]
     rows = []
-    for i in range(160):
+    for i in range(400):  # documents are counted, of which there are fewer than lines
         lines = [" ".join(draw.choices(words, k=draw.randint(1, 30))) for _ in range(draw.randint(1, 6))]
         for mail, own in draw.sample(people, draw.choice([0, 0, 0, 1, 2])):
             around = [*draw.choices(words, k=8), *draw.sample(own, draw.randint(0, 2))]
