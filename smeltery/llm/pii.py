@@ -109,6 +109,12 @@ def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(F.col(id).alias("id"), F.xxhash64(filled).alias("hash"), filled.alias("text"))
 
 
+def holders(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents with a valid match, written: ``id``, ``hash``, ``text``. All that follows reads these, but for counts of terms."""
+    valid = F.exists(_matches(F.col("text")), lambda m: F.exists(m["hits"], lambda hit: is_valid(m["kind"], hit)))
+    return written(_named(docs, id, text).where(valid), "holders")
+
+
 def pattern_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per valid match: id, hash of the text, number of the kind, start, end, value."""
     found = _named(docs, id, text).select("id", "hash", F.explode(_matches(F.col("text"))).alias("m"))
@@ -158,10 +164,14 @@ def disclosing_terms(
     disclosure: float = DISCLOSURE,
     doubt: float = DOUBT,
     near: int = NEAR,
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    """Pairs of an entity and a term that discloses it, by documents, of entities however rare."""
+    """Pairs of an entity and a term that discloses it, by documents, of entities however rare.
+
+    ``held`` is what ``holders`` gives for the documents, if it is there already.
+    """
     rows = _named(docs, id, text)
-    mentions = rows.select("id", "hash", F.explode(_mentions(F.col("text"), near)).alias("m"))
+    mentions = (held or holders(docs, id, text)).select("id", "hash", F.explode(_mentions(F.col("text"), near)).alias("m"))
     mentions = written(mentions.select("id", "hash", "m.*"), "mentions")
 
     def counted(found: DataFrame, *names: str) -> DataFrame:
@@ -186,14 +196,13 @@ def disclosing_terms(
     return known.where(information >= disclosure * content).select("entity", "term")
 
 
-def _told(docs: DataFrame, id: str, text: str, held: DataFrame, disclosing: DataFrame) -> DataFrame:
-    """Terms that disclose an entity of the same document, from the terms it has.
+def _told(texts: DataFrame, held: DataFrame, disclosing: DataFrame) -> DataFrame:
+    """Terms that disclose an entity of the same document, from the terms it has. ``held`` has the entities of each of the texts.
 
     An entity may have as many terms as documents, most of them in one document each, so that all terms of an
     entity for all its documents would be a square.
     """
-    own = _named(docs, id, text).join(held.select("id", "hash").distinct(), ["id", "hash"], "left_semi")
-    terms = own.select("id", "hash", F.explode(F.array_distinct(_letter_runs(F.col("text")))).alias("term"))
+    terms = texts.select("id", "hash", F.explode(F.array_distinct(_letter_runs(F.col("text")))).alias("term"))
     terms = terms.join(disclosing.select("term").distinct(), "term", "left_semi")
     both = terms.join(held, ["id", "hash"]).join(disclosing, ["entity", "term"], "left_semi")
     return both.select("id", "hash", "term").distinct()
@@ -201,13 +210,14 @@ def _told(docs: DataFrame, id: str, text: str, held: DataFrame, disclosing: Data
 
 def personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text", **limits) -> DataFrame:
     """A row per span: ``id``, ``hash`` of the text, number of the kind, ``start``, ``end``. Terms inside other spans are left to them."""
-    base = written(pattern_spans(docs, id, text), "spans")
-    disclosing = written(disclosing_terms(docs, id, text, **limits), "disclosing")
+    texts = holders(docs, id, text)
+    base = written(pattern_spans(texts, "id"), "spans")
+    disclosing = written(disclosing_terms(docs, id, text, held=texts, **limits), "disclosing")
     held = base.select("id", "hash", _entity(F.col("kind"), F.col("value")).alias("entity")).distinct()
-    told = written(_told(docs, id, text, held, disclosing), "told")
+    told = written(_told(texts, held, disclosing), "told")
     concerned = told.select("id", "hash").distinct()
     same = ["id", "hash"]
-    words = _named(docs, id, text).join(concerned, same, "left_semi")
+    words = texts.join(concerned, same, "left_semi")
     runs = words.select(
         "id",
         "hash",
