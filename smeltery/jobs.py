@@ -45,6 +45,7 @@ def _arguments() -> argparse.ArgumentParser:
             command.add_argument("--raw", required=True)
             command.add_argument("--dataset", default="yellow")
             command.add_argument("--periods", required=True, help="comma-separated, e.g. 2023-01")
+            command.add_argument("--inventory", help="folder that remembers what landed files store")
         if step in ("bronze", "zones", "all"):
             command.add_argument("--zones", required=True)
         if step == "silver":
@@ -63,7 +64,8 @@ def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
     bronze: DataFrame | None = (
         read_ingested(spark, args.ingested, RAW_COLUMNS) if args.ingested else None
     )
-    layers.build_silver(spark, args.store, bronze=bronze)
+    # The bronze step has told what silver leaves out; an ingest has not.
+    layers.build_silver(spark, args.store, bronze=bronze, reported=bronze is None)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
@@ -76,7 +78,7 @@ def main(argv: Sequence[str] | None = None) -> int:
                 spark, args.raw, args.target, args.checkpoint, RAW_COLUMNS, dataset=args.dataset
             )
         elif args.step == "bronze":
-            layers.load_bronze(spark, args.store, _periods(args), args.zones)
+            layers.load_bronze(spark, args.store, _periods(args), args.zones, inventory=args.inventory)
         elif args.step == "zones":
             layers.load_zones(spark, args.store, args.zones)
         elif args.step == "silver":
@@ -88,7 +90,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         elif args.step == "views":
             layers.expose_views(spark, args.store)
         else:
-            layers.build_all(spark, args.store, _periods(args), args.zones)
+            layers.build_all(spark, args.store, _periods(args), args.zones, inventory=args.inventory)
     except QualityGateError as error:
         for failure in error.failures:
             print(f"FAIL {failure}")

@@ -12,13 +12,22 @@ from .quality import (
     references,
     unique,
 )
-from .refine import add_duration, apply_rules, conform_and_filter, dedup, rule_rejects
+from .refine import (
+    Outcomes,
+    add_duration,
+    apply_rules,
+    conform_and_filter,
+    dedup,
+    losses_and_rejects,
+    rule_rejects,
+)
 from .rollup import Dim, Measure, mean, rollup, row_count, total
 from .star import attribute_dim, date_dim, fact, static_dim
 
 __all__ = [
     "Dim",
     "Measure",
+    "Outcomes",
     "QualityGateError",
     "add_duration",
     "apply_rules",
@@ -33,6 +42,7 @@ __all__ = [
     "duplicates",
     "fact",
     "gate",
+    "losses_and_rejects",
     "mean",
     "no_nulls",
     "non_empty",

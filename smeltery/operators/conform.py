@@ -78,13 +78,25 @@ def _fits(column: Column, source: str, target: str) -> Column:
     return above & (value < float(high))
 
 
-def conform(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
-    """Select, rename and cast the listed columns; a missing one fails at analysis."""
+def conform_columns(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[Column]:
+    """The listed columns of ``df``, renamed and cast."""
     specs = [_spec(c) for c in columns]
     if not specs:
         raise ValueError("the column list is empty")
     types = _types(df, [s for s, _, _ in specs])
-    return df.select([convert(F.col(s), types[s], t).alias(n) for s, n, t in specs])
+    return [convert(F.col(s), types[s], t).alias(n) for s, n, t in specs]
+
+
+def conform(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
+    """Select, rename and cast the listed columns; a missing one fails at analysis."""
+    return df.select(conform_columns(df, columns))
+
+
+def lost_flags(df: DataFrame, columns: Sequence[ColumnSpec]) -> dict[str, Column]:
+    """By target column: a non-null value of ``df`` that the declared type cannot hold."""
+    specs = [_spec(c) for c in columns]
+    types = _types(df, [s for s, _, _ in specs])
+    return {n: F.col(s).isNotNull() & convert(F.col(s), types[s], t).isNull() for s, n, t in specs}
 
 
 def union_conformed(frames: Iterable[DataFrame]) -> DataFrame:
@@ -97,17 +109,9 @@ def union_conformed(frames: Iterable[DataFrame]) -> DataFrame:
 
 def cast_losses(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """Per column, how many non-null values the declared type cannot hold. One pass."""
-    specs = [_spec(c) for c in columns]
-    types = _types(df, [s for s, _, _ in specs])
-    counted = df.agg(
-        *[
-            F.count_if(F.col(s).isNotNull() & convert(F.col(s), types[s], t).isNull()).alias(n)
-            for s, n, t in specs
-        ]
-    )
-    rows = [
-        F.struct(F.lit(n).alias("column_name"), F.col(n).alias("lost_values")) for _, n, _ in specs
-    ]
+    flags = lost_flags(df, columns)
+    counted = df.agg(*[F.count_if(flag).alias(n) for n, flag in flags.items()])
+    rows = [F.struct(F.lit(n).alias("column_name"), F.col(n).alias("lost_values")) for n in flags]
     return counted.select(F.inline(F.array(*rows)))
 
 

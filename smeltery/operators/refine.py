@@ -5,13 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import all_hold, minutes_between, rule_columns
 from ..functions.predicates import Rules
-from .conform import ColumnSpec, early_columns, late_columns
+from .conform import ColumnSpec, conform_columns, early_columns, late_columns, lost_flags
 
 # A null test, or a comparison of a column with a number or another column.
 _PLAIN_RULE = re.compile(r"\w+\s+IS\s+NOT\s+NULL|\w+\s*(<|<=|>|>=|=)\s*(\w+|-?\d+(\.\d+)?)", re.I)
@@ -54,6 +54,51 @@ def rule_rejects(df: DataFrame, rules: Rules) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def _outcomes(df: DataFrame, columns: Sequence[ColumnSpec], rules: Rules) -> tuple[list, list, list]:
+    """Columns to select, counts over them, and check and unit of each count."""
+    lost = lost_flags(df, columns)
+    tests = rule_columns(rules)
+    flags = {f"_lost{i}": flag for i, flag in enumerate(lost.values())}
+    counts = [F.count_if(F.col(name)).alias(name) for name in flags]
+    counts += [F.count_if(~F.coalesce(t, F.lit(False))).alias(f"_reject{i}") for i, t in enumerate(tests.values())]
+    units = [("cast_loss", name) for name in lost] + [("rule_reject", name) for name in tests]
+    return [*conform_columns(df, columns), *[c.alias(n) for n, c in flags.items()]], counts, units
+
+
+_OUTCOME = "check_name string, column_name string, violations bigint"
+
+
+def losses_and_rejects(df: DataFrame, columns: Sequence[ColumnSpec], rules: Rules) -> DataFrame:
+    """Values lost to casts by column and rows rejected by rule, each rule on its own. One pass for all."""
+    selected, counts, units = _outcomes(df, columns, rules)
+    counted = df.select(selected).agg(*counts)
+    rows = [
+        F.struct(F.lit(check).alias("check_name"), F.lit(unit).alias("column_name"), F.col(name).alias("violations"))
+        for (check, unit), name in zip(units, counted.columns)
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+class Outcomes:
+    """``losses_and_rejects`` counted while ``frame`` is written, without a scan of its own.
+
+    Put the write directly above ``frame``: then each row is counted by the task that writes it, and a task that
+    fails and runs again counts once. A shuffle between the two could count rows of a stage that is run again twice.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[ColumnSpec], rules: Rules):
+        selected, counts, self._units = _outcomes(df, columns, rules)
+        self._observed = Observation()
+        whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_whole")
+        self.frame = df.select(whole, *selected).observe(self._observed, *counts).select("_whole.*")
+
+    def report(self) -> DataFrame:
+        """The counts. Call after the write; before, it would wait for one."""
+        found = self._observed.get
+        rows = [(check, unit, value) for (check, unit), value in zip(self._units, found.values())]
+        return self.frame.sparkSession.createDataFrame(rows, _OUTCOME)
+
+
 def add_duration(
     df: DataFrame,
     start: str,

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import audit, combine, gate, non_empty, stamp_ingested
+from ..operators import Outcomes, audit, combine, gate, non_empty, stamp_ingested
 from ..sinks import commit, expose, publish, read_version, stage
 from ..sources import read_csv_strings, read_periods
 from . import trips as T
@@ -32,8 +32,14 @@ def load_bronze(
     period_paths: Sequence[str],
     zone_csv: str,
     columns=T.RAW_COLUMNS,
+    refined_columns=T.REFINED_COLUMNS,
+    rules=T.RULES,
+    inventory: str | None = None,
 ) -> None:
-    publish(stamp_ingested(read_periods(spark, period_paths, columns)), store, "bronze_trips")
+    """What silver will leave out is counted while bronze is written, and published beside it."""
+    landed = Outcomes(read_periods(spark, period_paths, columns, inventory), refined_columns, rules)
+    publish(stamp_ingested(landed.frame), store, "bronze_trips")
+    publish(T.observed_silver_report(landed).coalesce(1), store, "silver_report")
     load_zones(spark, store, zone_csv)
 
 
@@ -48,14 +54,17 @@ def build_silver(
     columns=T.REFINED_COLUMNS,
     rules=T.RULES,
     bronze: DataFrame | None = None,
+    reported: bool = False,
 ) -> None:
     """From the published bronze trips, or from ``bronze`` such as an incremental ingest target.
 
-    What the casts and the rules leave out is published beside it, and refuses nothing.
+    What the casts and the rules leave out is published beside it, and refuses nothing; with ``reported``
+    the load of bronze has told it, by these columns and rules, and no scan goes into it.
     """
     if bronze is None:
         bronze = read_version(spark, store, "bronze_trips")
-    publish(T.silver_report(bronze, columns, rules).coalesce(1), store, "silver_report")
+    if not reported:
+        publish(T.silver_report(bronze, columns, rules).coalesce(1), store, "silver_report")
     publish(T.clean_trips(bronze, columns, rules), store, "silver_trips", ["pickup_date"])
 
 
@@ -108,10 +117,11 @@ def build_all(
     zone_csv: str,
     raw_columns=T.RAW_COLUMNS,
     refined_columns=T.REFINED_COLUMNS,
+    inventory: str | None = None,
 ) -> DataFrame:
     """All layers in order; returns the published daily mart."""
-    load_bronze(spark, store, period_paths, zone_csv, raw_columns)
-    build_silver(spark, store, refined_columns)
+    load_bronze(spark, store, period_paths, zone_csv, raw_columns, refined_columns, inventory=inventory)
+    build_silver(spark, store, refined_columns, reported=True)
     build_gold(spark, store)
     build_marts(spark, store)
     return read_version(spark, store, "daily_revenue")

@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     Dim,
+    Outcomes,
     add_duration,
     attribute_dim,
-    cast_losses,
-    combine,
-    conform,
     conform_and_filter,
     date_dim,
     dedup,
     fact,
+    losses_and_rejects,
     mean,
     no_nulls,
     non_empty,
@@ -23,7 +22,6 @@ from ..operators import (
     references,
     rollup,
     row_count,
-    rule_rejects,
     static_dim,
     total,
     unique,
@@ -204,21 +202,24 @@ def zone_notes(zones: DataFrame) -> list:
     ]
 
 
+def _silver_rows(counts: DataFrame) -> DataFrame:
+    return counts.select(
+        F.lit("bronze_trips").alias("table_name"),
+        "check_name",
+        "column_name",
+        "violations",
+        (F.col("violations") == 0).alias("passed"),
+    )
+
+
 def silver_report(raw: DataFrame, columns=REFINED_COLUMNS, rules=RULES) -> DataFrame:
-    """What the way to silver leaves out: values lost to casts by column, rows rejected by rule."""
-
-    def rows(counts: DataFrame, check: str, unit: str, number: str) -> DataFrame:
-        return counts.select(
-            F.lit("bronze_trips").alias("table_name"),
-            F.lit(check).alias("check_name"),
-            F.col(unit).alias("column_name"),
-            F.col(number).alias("violations"),
-            (F.col(number) == 0).alias("passed"),
-        )
-
-    losses = rows(cast_losses(raw, columns), "cast_loss", "column_name", "lost_values")
-    rejects = rule_rejects(conform(raw, columns), rules)
-    return combine([losses, rows(rejects, "rule_reject", "rule_name", "rejected_rows")])
+    """What the way to silver leaves out: values lost to casts by column, rows rejected by rule. One scan."""
+    return _silver_rows(losses_and_rejects(raw, columns, rules))
+
+
+def observed_silver_report(outcomes: Outcomes) -> DataFrame:
+    """``silver_report`` of a table that has just been written."""
+    return _silver_rows(outcomes.report())
 
 
 # Column tests of the marts.

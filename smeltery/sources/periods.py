@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator, Sequence
-from urllib.parse import quote
+from collections.abc import Callable, Sequence
 
-import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import ColumnSpec, conform, union_conformed
+from .inventory import exact, footer, inventoried, is_file, landed_files, with_columns
 
 # Fixed value: how landed files are named.
 _LANDED_FILE = "{dataset}/{dataset}_tripdata_{period}.parquet"
 
-# Footers one task reads, about, and columns of what it tells.
-_FOOTERS_PER_TASK = 200
-_FOOTERS = "path string, columns string"
+# Plain files up to this number are looked at by the driver, which takes less than a job would.
+_NAMED = 16
 
 
 def period_path(root: str, dataset: str, period: str) -> str:
@@ -28,20 +23,9 @@ def period_path(root: str, dataset: str, period: str) -> str:
     return f"{root.rstrip('/')}/{_LANDED_FILE.format(dataset=dataset, period=period)}"
 
 
-def exact(path: str) -> str:
-    """The path with its glob characters escaped: Spark reads paths as patterns."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
 def list_files(spark: SparkSession, paths: Sequence[str], name_pattern: str = "*.parquet") -> list[str]:
-    """The parquet files at or below the paths. Lists names only, file contents stay unread."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", name_pattern)
-        .load([exact(p) for p in paths])
-    )
-    return sorted(r.path for r in files.select("path").collect())
+    """The names of ``landed_files``, in order."""
+    return sorted(r.path for r in landed_files(spark, paths, name_pattern).select("path").collect())
 
 
 def list_periods(spark: SparkSession, root: str, dataset: str | None = None) -> list[str]:
@@ -54,28 +38,6 @@ def read_period(spark: SparkSession, path: str, columns: Sequence[ColumnSpec]) -
     return conform(spark.read.parquet(exact(path)), columns)
 
 
-def _footers(spark: SparkSession, files: Sequence[str]) -> list[tuple[str, str | None]]:
-    """For each file its columns and their stored types, from one job; None where only Spark can open it."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths = batch.column(0).to_pylist()
-            found = []
-            for path in paths:
-                try:
-                    uri = quote(path if ":" in path else f"file://{path}", safe="/:")
-                    store, place = fs.FileSystem.from_uri(uri)
-                    with store.open_input_file(place) as file:
-                        found.append(pq.read_schema(file).remove_metadata().to_string(show_field_metadata=False))
-                except (OSError, ValueError, NotImplementedError):
-                    found.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "columns"])
-
-    tasks = max(1, min(len(files) // _FOOTERS_PER_TASK, 4 * spark.sparkContext.defaultParallelism))
-    named = spark.createDataFrame([(f,) for f in files], "path string").repartition(tasks)
-    return [tuple(r) for r in named.mapInArrow(read, _FOOTERS).collect()]
-
-
 def _needed(schema: T.StructType, names: Sequence[str], path: str, fold: Callable) -> T.StructType:
     found = {fold(f.name): f for f in schema}
     missing = [n for n in names if fold(n) not in found]
@@ -84,27 +46,45 @@ def _needed(schema: T.StructType, names: Sequence[str], path: str, fold: Callabl
     return T.StructType([T.StructField(n, found[fold(n)].dataType) for n in names])
 
 
-def read_periods(spark: SparkSession, paths: Sequence[str], columns: Sequence[ColumnSpec]) -> DataFrame:
+def _alike(spark: SparkSession, paths: Sequence[str], inventory: str | None) -> list[list[str]]:
+    """The files at or below the paths, those that store the same put together."""
+    if inventory is None and len(paths) <= _NAMED and all(map(is_file, paths)):
+        stored = [(path, footer(path)) for path in paths]
+        groups: dict[str, list[str]] = {}
+        for path, columns in stored:
+            groups.setdefault(columns or path, []).append(path)
+        return list(groups.values())
+    files = with_columns(landed_files(spark, paths)) if inventory is None else inventoried(spark, paths, inventory)
+    # A file only Spark can open makes a group of its own, and Spark reads its footer.
+    kind = F.coalesce("columns", "path")
+    found = files.select("path", F.sha2(kind, 256).alias("kind")).collect()
+    groups = {}
+    for path, key in found:
+        groups.setdefault(key, []).append(path)
+    return list(groups.values())
+
+
+def read_periods(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[ColumnSpec], inventory: str | None = None
+) -> DataFrame:
     """All periods, conformed and put together. Paths are exact, files or folders.
 
     One scan cannot span files whose types differ, and one scan per period makes a plan as wide as
     the list is long. So the footer of every file is read, all in one job, and files are grouped by
     what they store: one scan per distinct set of types, usually a handful. A file that lacks a column is
-    an error that names it.
+    an error that names it. With ``inventory``, a folder that remembers, only unknown files have their footers read.
+    The driver gets what the scans need, each path with a digest of what it stores; a short list of plain
+    files is looked at without any job.
     """
     if not paths:
         raise ValueError("nothing to read: the list of periods is empty")
     names = list(dict.fromkeys(c[0] for c in columns))
     fold = str if spark.conf.get("spark.sql.caseSensitive") == "true" else str.lower
-    files = list_files(spark, paths)
-    if not files:
+    alike = _alike(spark, paths, inventory)
+    if not alike:
         raise ValueError(f"no parquet files in {list(paths)[:3]}")
-    alike: dict[str, list[str]] = {}
-    for path, stored in _footers(spark, files):
-        # A file only Spark can open makes a group of its own, and Spark reads its footer.
-        alike.setdefault(stored or path, []).append(path)
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for members in alike.values():
+    for members in alike:
         first = min(members)
         schema = _needed(spark.read.parquet(exact(first)).schema, names, first, fold)
         groups.setdefault(schema.simpleString(), (schema, []))[1].extend(members)

@@ -6,11 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.conform import ColumnSpec, stamp_ingested
-from ..sources.periods import exact, read_periods
+from ..sources.inventory import exact, landed_files
+from ..sources.periods import read_periods
 
 _BATCH = "ingest_batch"
+_TAKEN = f"path string, {_BATCH} bigint"
+
+
+def _taken(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Path and batch of every file taken so far."""
+    try:
+        return spark.read.schema(_TAKEN).parquet(exact(f"{checkpoint}/taken"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _TAKEN)
 
 
 def ingest_new_files(
@@ -22,49 +35,39 @@ def ingest_new_files(
     max_files_per_batch: int = 1000,
     stamp: bool = True,
     dataset: str | None = None,
-    max_file_age: str = "36500d",
 ) -> None:
     """Conform the files that landed below ``source`` since the last run and add them to ``target``.
 
     With ``dataset`` only files in its folder below ``source`` count; others stay where they are.
 
-    The stream carries file names only, so files of differing types can share a run; each batch is
-    read with the period reader, by exact path. The checkpoint remembers the files, and a batch owns the
-    folder it writes, so a batch that is run again replaces its own output. A batch with a file that lacks
-    a column fails, naming it, and nothing of the batch is taken until the file is mended or moved.
+    The files taken are a table below ``checkpoint``, and new ones are what an anti join leaves of the listing,
+    however late they land: the driver holds the names of one batch, not of all files ever taken. (Spark's listing
+    itself passes through the driver and is let go with the run.) A file counts by its name: one that is
+    changed after it was taken is not taken again.
 
-    The stream keeps the names of files younger than ``max_file_age``, counted back from the newest, in the
-    driver's memory. By default that is every file ever taken, so that none is passed over however late it
-    lands; a folder that gets millions of files needs a bound on how late a file may be.
+    A batch is read with the period reader, so files of differing types can share it. Its rows go to a folder of its
+    own, and a row for each file into the table ends it, with one write. A batch that fails in between was not
+    taken: the next run chooses its files anew, and writes over its folder. A batch with a file that lacks a column fails,
+    naming it, and nothing of the batch is taken until the file is mended or moved. One run at a time.
     """
+    if max_files_per_batch < 1:
+        raise ValueError("a batch needs room for a file")
     folder = source if dataset is None else f"{source.rstrip('/')}/{dataset}"
-    landed = (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length bigint, content binary")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .option("maxFileAge", max_file_age)
-        .load(exact(folder))
-        .select("path")
-    )
-
-    def take(batch: DataFrame, batch_id: int) -> None:
-        # At most max_files_per_batch names, never file contents.
-        paths = sorted(row.path for row in batch.collect())
+    files = landed_files(spark, [folder])
+    while True:
+        taken = _taken(spark, checkpoint)
+        new = files.join(taken, "path", "left_anti").orderBy("modified_at", "path").limit(max_files_per_batch)
+        paths = [row.path for row in new.select("path").collect()]
         if not paths:
             return
-        rows = read_periods(batch.sparkSession, paths, columns)
+        last = taken.agg(F.max(_BATCH)).first()[0]
+        batch = 0 if last is None else last + 1
+        rows = read_periods(spark, paths, columns)
         rows = stamp_ingested(rows) if stamp else rows
-        rows.write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
-
-    query = (
-        landed.writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        rows.write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch}")
+        spark.createDataFrame([(p, batch) for p in paths], _TAKEN).coalesce(1).write.mode("append").parquet(
+            f"{checkpoint}/taken"
+        )
 
 
 def read_ingested(
