@@ -6,7 +6,8 @@ template words are put in one order over the whole corpus, rarest first by docum
 meets the threshold must contain one of the template's rarest words (prefix filter), must be long enough
 (length filter), and from the rank of that word the most it can still share is known (positional filter).
 Only what passes is verified. Every block that meets the threshold is found; those of a template that share words are
-given as one range. Templates are a parameter and small, so they travel with the tasks; texts stay where they
+given as one range. Short notices differ from one another by a word or two, so a template can name telling words, which a
+block must contain besides. Templates are a parameter and small, so they travel with the tasks; texts stay where they
 are read.
 
 Defined results: a null text counts as empty: no words, no labels, score 0; every row gets its result. Only
@@ -54,6 +55,43 @@ TEMPLATES = {
     "this program is free software you can redistribute it and or modify it under the terms of the "
     "gnu general public license as published by the free software foundation": "gpl-header",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software "
+    "and associated documentation files the software to deal in the software without restriction including "
+    "without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of "
+    "the software and to permit persons to whom the software is furnished to do so subject to the following "
+    "conditions the above copyright notice and this permission notice shall be included in all copies or "
+    "substantial portions of the software the software is provided as is without warranty of any kind express "
+    "or implied including but not limited to the warranties of merchantability fitness for a particular purpose "
+    "and noninfringement": "mit-text",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+    "with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless "
+    "required by applicable law or agreed to in writing software distributed under the license is distributed on "
+    "an as is basis without warranties or conditions of any kind either express or implied see the license for "
+    "the specific language governing permissions and limitations under the license": "apache-notice",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that "
+    "the following conditions are met redistributions of source code must retain the above copyright notice this "
+    "list of conditions and the following disclaimer redistributions in binary form must reproduce the above "
+    "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution": "bsd-2-text",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies": "isc-text",
+}
+
+# For each of these labels the words without which a block is not that notice.
+TELLING = {
+    "apache-2.0": "licensed apache 2",
+    "gpl-3.0": "licensed gnu general public 3",
+    "mit-release": "released mit",
+    "cc-by-nc-4.0": "cc by nc 4",
+    "mit-grant": "granted charge person",
+    "bsd-conditions": "redistribution source binary",
+    "apache-header": "file except compliance license",
+    "gpl-header": "free gnu general public",
+    "mpl-2.0": "mozilla public 2",
+    "mit-text": "granted charge sublicense noninfringement",
+    "apache-notice": "apache 2 compliance",
+    "bsd-2-text": "redistribution binary disclaimer",
+    "isc-text": "permission fee granted",
 }
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -67,9 +105,12 @@ def split_words(text: str) -> list[str]:
 class Template:
     """A template's distinct words, rarest first, and what a block must share with it."""
 
-    def __init__(self, text: str, label: str, frequency: Mapping[str, int], threshold: float):
+    def __init__(self, text: str, label: str, frequency: Mapping[str, int], threshold: float, telling: str = ""):
         words = split_words(text)
         self.label = label
+        self.telling = frozenset(split_words(telling))
+        if not self.telling.issubset(words):
+            raise ValueError(f"the telling words of {label} must be words of the template")
         self.order = sorted(set(words), key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(self.order)}
         self.block = math.ceil(BLOCK_FACTOR * len(words))
@@ -104,7 +145,7 @@ class Template:
                 end = min(start + self.block, len(words))
                 if start + self.block <= len(words) and words[end - 1] in self.rank:
                     inside[words[end - 1]] += 1
-                if len(inside) >= self.least:
+                if len(inside) >= self.least and self.telling <= inside.keys():
                     if found and start < found[-1][1]:
                         found[-1] = found[-1][0], end, max(found[-1][2], len(inside))
                     else:
@@ -157,14 +198,16 @@ def license_scan(
     text: str = "text",
     templates: Mapping[str, str] = TEMPLATES,
     threshold: float = THRESHOLD,
+    telling: Mapping[str, str] = TELLING,
 ) -> DataFrame:
     """Per row: places of phrases, and for each template all blocks that meet the threshold.
 
-    Blocks that share words are one range, with the best containment of any of them.
+    Blocks that share words are one range, with the best containment of any of them. ``telling`` gives by label the
+    words a block must contain besides; a label without an entry needs none.
     """
     vocabulary = frozenset(w for t in templates for w in split_words(t))
     frequency = template_frequencies(docs, text, vocabulary)
-    made = [Template(t, label, frequency, threshold) for t, label in templates.items()]
+    made = [Template(t, label, frequency, threshold, telling.get(label, "")) for t, label in templates.items()]
     taken = docs.select(F.col(id).alias("doc_id"), text_or_empty(text).alias("_text"))
     block_type = pa.list_(
         pa.struct([("label", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("containment", pa.float64())])
@@ -176,7 +219,7 @@ def license_scan(
         present = set(words)
         blocks = []
         for t in made:
-            if not present.isdisjoint(t.prefix):
+            if t.telling <= present and not present.isdisjoint(t.prefix):
                 for begin, end, shared in t.ranges(words):
                     blocks.append({"label": t.label, "start": begin, "end": end, "containment": shared / len(t.order)})
         places = [p for p, _ in starts]
@@ -220,6 +263,10 @@ def _rows(values: Mapping[str, str]) -> str:
     return ", ".join(f"('{text}', '{label}')" for text, label in values.items())
 
 
+def _template_rows() -> str:
+    return ", ".join(f"('{text}', '{label}', '{TELLING[label]}')" for text, label in TEMPLATES.items())
+
+
 OP9_SQL = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
@@ -234,13 +281,17 @@ based AS (
   SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY doc_id),
 templates AS (
-  SELECT label, list_distinct(string_split(t, ' ')) AS ts,
-    ceil({BLOCK_FACTOR} * len(string_split(t, ' '))) AS block FROM (VALUES {_rows(TEMPLATES)}) AS t(t, label)),
+  SELECT label, list_distinct(string_split(t, ' ')) AS ts, string_split(telling, ' ') AS must,
+    ceil({BLOCK_FACTOR} * len(string_split(t, ' '))) AS block
+  FROM (VALUES {_template_rows()}) AS t(t, label, telling)),
 hits AS (
-  SELECT w.doc_id, w.w, w.p, label, block, size
-  FROM w JOIN (SELECT label, block, len(ts) AS size, unnest(ts) AS t FROM templates) ON w.w = t),
+  SELECT w.doc_id, w.w, w.p, label, block, size, n_must, list_contains(must, t) AS tells
+  FROM w JOIN (
+    SELECT label, block, len(ts) AS size, must, len(must) AS n_must, unnest(ts) AS t FROM templates) ON w.w = t),
 blocks AS (
-  SELECT a.doc_id, a.label, a.p, count(DISTINCT b.w) / any_value(a.size) AS containment
+  SELECT a.doc_id, a.label, a.p,
+    CASE WHEN count(DISTINCT b.w) FILTER (b.tells) = any_value(a.n_must)
+      THEN count(DISTINCT b.w) / any_value(a.size) END AS containment
   FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND a.label = b.label AND b.p >= a.p AND b.p < a.p + a.block
   GROUP BY a.doc_id, a.label, a.p),
 met AS (SELECT doc_id, label, max(containment) AS c FROM blocks WHERE containment >= {THRESHOLD} GROUP BY ALL),

@@ -604,6 +604,28 @@ def test_license_join_finds_every_block(spark, awkward, nothing):
     assert licenses.license_scan(nothing).collect() == []
 
 
+def test_labels_need_their_telling_words(spark):
+    texts = {
+        "released under the Apache license": {"apache"},
+        "released under the GPL license": set(),
+        "Licensed under CC BY 4.0": {"cc-by"},
+        "Licensed under CC BY SA 4.0": {"cc-by"},
+        "licensed under the MIT license version 2.0": {"mit"},
+        "This is released under the MIT license.": {"mit", "mit-release"},
+        "Licensed under CC BY-NC 4.0": {"cc-by", "cc-by-nc-4.0"},
+        "licensed under the Apache License, Version 2.0": {"apache", "apache-2.0"},
+    }
+    for text, label in licenses.TEMPLATES.items():
+        texts[f"One two. {text.upper()} Three."] = {label}
+    rows = [(i, text, "a") for i, text in enumerate(texts)]
+    found = {r["doc_id"]: r for r in licenses.license_scan(table(spark, rows)).collect()}
+    for i, (text, want) in enumerate(texts.items()):
+        got = {*found[i]["base_labels"], *(b["label"] for b in found[i]["blocks"])}
+        assert got == want if i < 8 else want <= got, text
+    with pytest.raises(ValueError):
+        licenses.license_scan(table(spark, rows), templates={"a b": "x"}, telling={"x": "c"})
+
+
 def test_all_blocks_of_a_template_are_found(spark):
     draw = random.Random(13)
     notice = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
@@ -613,8 +635,11 @@ def test_all_blocks_of_a_template_are_found(spark):
     rows = [(i, " ".join(draw.choices(words, k=draw.randint(0, 60))), "a") for i in range(150)]
     fill = " x" * 40
     rows += [(200 + i, f"{notice}{fill} {notice} y {other}{fill * i} {notice[:40]} {notice}", "a") for i in range(5)]
-    for threshold in (0.5, 0.7, 0.8, 1.0):
-        found = licenses.license_scan(table(spark, rows), templates=templates, threshold=threshold).collect()
+    for threshold, telling in ((0.5, ""), (0.5, "theta iota"), (0.7, ""), (0.8, ""), (0.8, "beta"), (1.0, "")):
+        must = {"greek": telling} if telling else {}
+        found = licenses.license_scan(
+            table(spark, rows), templates=templates, threshold=threshold, telling=must
+        ).collect()
         got = {r["doc_id"]: {tuple(b) for b in r["blocks"]} for r in found}
         assert all(len(r["blocks"]) == len(got[r["doc_id"]]) for r in found)
         for i, text, _ in rows:
@@ -624,6 +649,8 @@ def test_all_blocks_of_a_template_are_found(spark):
                 runs = []
                 for k in range(max(1, len(split) - size + 1)):
                     share = len(has & set(split[k : k + size])) / len(has)
+                    if not set(must.get(label, "").split()) <= set(split[k : k + size]):
+                        continue
                     if share >= threshold and runs and k < runs[-1][1]:
                         runs[-1] = runs[-1][0], min(k + size, len(split)), max(runs[-1][2], share)
                     elif share >= threshold:
