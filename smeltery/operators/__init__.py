@@ -10,6 +10,7 @@ from .quality import (
     non_negative,
     orphans,
     references,
+    settled,
     unique,
 )
 from .refine import (
@@ -52,6 +53,7 @@ __all__ = [
     "rollup",
     "row_count",
     "rule_rejects",
+    "settled",
     "stamp_ingested",
     "static_dim",
     "total",

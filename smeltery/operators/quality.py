@@ -95,29 +95,28 @@ def _result(table: str, check: str, columns: str, violations: Column) -> Column:
 def audit(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Report of all checks on one table, a row per check and violated unit.
 
-    All row-level checks share one aggregate, hence one scan. Each reference or uniqueness check
-    is one more grouped count that reads its key columns only.
+    All row-level and reference checks share one scan: the table is counted by each foreign key and as a whole, by
+    grouping sets, and keys that a dimension knows are dropped from the counts, never from rows. Each
+    uniqueness check is one more grouped count that reads its key columns only, and so is a second
+    reference of the same column.
     """
     if not checks:
         raise ValueError("at least one check is needed")
-    counts: list[Column] = []
-    results: list[Column] = []
-    keyed: list[DataFrame] = []
-
-    def add(kind: str, columns: str, counter: Column) -> None:
-        name = f"v{len(counts)}"
-        counts.append(counter.alias(name))
-        results.append(_result(table, kind, columns, F.col(name)))
+    counts: list[tuple[str, str, Column, int]] = []
+    shared: dict[str, Check] = {}
+    frames: list[DataFrame] = []
 
     for check in checks:
         joined = ", ".join(check.columns)
         if check.kind == "non_empty":
-            add("non_empty", "", F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint"))
+            none = F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint")
+            counts.append(("non_empty", "", none, 1))
         elif check.kind == "no_nulls":
-            add("no_nulls", joined, F.count_if(any_null(check.columns)))
+            counts.append(("no_nulls", joined, F.count_if(any_null(check.columns)), 0))
         elif check.kind == "non_negative":
-            for column in check.columns:
-                add("non_negative", column, F.count_if(negative(column)))
+            counts += [("non_negative", c, F.count_if(negative(c)), 0) for c in check.columns]
+        elif check.kind == "references" and joined not in shared:
+            shared[joined] = check
         else:
             if check.kind == "references":
                 found = orphans(df, check.dim, [(check.columns[0], check.dim_key)])
@@ -126,18 +125,65 @@ def audit(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                 found = duplicates(df, check.columns)
                 counter = F.count(F.lit(1))
             one = found.agg(counter.alias("v"))
-            keyed.append(one.select(F.inline(F.array(_result(table, check.kind, joined, F.col("v"))))))
-    frames = keyed
-    if counts:
-        frames = [df.agg(*counts).select(F.inline(F.array(*results))), *keyed]
+            frames.append(one.select(F.inline(F.array(_result(table, check.kind, joined, F.col("v"))))))
+    if len(shared) == 1 and not counts:
+        ((name, check),) = shared.items()
+        one = orphans(df, check.dim, [(name, check.dim_key)]).agg(F.sum("orphan_rows").alias("n"))
+        violations = F.coalesce("n", F.lit(0).cast("bigint"))
+        frames = [one.select(F.inline(F.array(_result(table, check.kind, name, violations)))), *frames]
+    elif shared:
+        frames = [_one_scan(table, df, counts, list(shared.values())), *frames]
+    elif counts:
+        counted = df.agg(*[c.alias(f"v{i}") for i, (_, _, c, _) in enumerate(counts)])
+        results = [_result(table, kind, unit, F.col(f"v{i}")) for i, (kind, unit, _, _) in enumerate(counts)]
+        frames = [counted.select(F.inline(F.array(*results))), *frames]
     return combine(frames)
 
 
+def _one_scan(
+    table: str, df: DataFrame, counts: Sequence[tuple[str, str, Column, int]], references: Sequence[Check]
+) -> DataFrame:
+    """Counts over the whole table, each with what it is of an empty one, and rows without a partner by key."""
+    keys = [f"_key{i}" for i in range(len(references))]
+    keyed = df.withColumns({k: F.col(check.columns[0]) for k, check in zip(keys, references)})
+    # Which set a group is of: one bit for each key it is not by, the first key's the highest.
+    whole = 2 ** len(keys) - 1
+    by_key = [whole - 2 ** (len(keys) - 1 - i) for i in range(len(keys))]
+    sets = [[F.col(k)] for k in keys] + ([[]] if counts else [])
+    left = keyed.groupingSets(sets, *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("_set"),
+        F.count(F.lit(1)).alias("_rows"),
+        *[c.alias(f"_v{i}") for i, (_, _, c, _) in enumerate(counts)],
+    )
+    for key, number, check in zip(keys, by_key, references):
+        side = check.dim.select(F.col(check.dim_key).alias(f"_dim{key}"))
+        known = (F.col("_set") == number) & (F.col(key) == F.col(f"_dim{key}"))
+        left = left.join(side, known, "left_anti")
+    of_whole = [
+        F.coalesce(F.max(F.when(F.col("_set") == whole, F.col(f"_v{i}"))), F.lit(empty).cast("bigint"))
+        for i, (_, _, _, empty) in enumerate(counts)
+    ]
+    orphaned = [
+        F.coalesce(F.sum(F.when(F.col("_set") == number, F.col("_rows"))), F.lit(0).cast("bigint"))
+        for number in by_key
+    ]
+    found = left.agg(*[c.alias(f"v{i}") for i, c in enumerate([*of_whole, *orphaned])])
+    units = [(kind, unit) for kind, unit, _, _ in counts] + [(c.kind, c.columns[0]) for c in references]
+    return found.select(
+        F.inline(F.array(*[_result(table, kind, unit, F.col(f"v{i}")) for i, (kind, unit) in enumerate(units)]))
+    )
+
+
 def combine(reports: Sequence[DataFrame]) -> DataFrame:
     """Reports of several tables as one, still a single Spark action."""
     return reduce(DataFrame.unionByName, reports)
 
 
+def settled(report: DataFrame) -> DataFrame:
+    """The report, worked out once and held as rows of the driver: one for each check, none of a table."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def gate(report: DataFrame) -> None:
     """Raise with every failed check. Brings failed report rows to the driver, never table rows."""
     failed = report.where(~F.col("passed")).orderBy("table_name", "check_name", "column_name")

@@ -78,6 +78,36 @@ def test_row_checks_share_one_scan(spark, tmp_path, fact, dim):
     assert plan_of(audit("t", stored, checks)).split("\n\n")[0].count("Scan parquet") == 1
 
 
+def test_references_share_the_scan_of_row_checks(spark, tmp_path, dim):
+    rows = "IF(id % 5 = 0, NULL, CAST(id % 7 AS INT)) AS k, CAST(id % 3 AS STRING) AS tag, CAST(id - 4 AS DOUBLE) AS amount"
+    spark.sql(f"SELECT {rows} FROM range(1000)").write.parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    tags = spark.createDataFrame([("0",), ("2",), ("2",)], "tag string")
+    nothing = tags.limit(0)
+    checks = [
+        non_empty(), no_nulls("k"), non_negative("amount"), references("k", dim, "key"), references("tag", tags, "tag")
+    ]
+    for threshold in ("10MB", "-1"):
+        with overriding(spark, {"spark.sql.autoBroadcastJoinThreshold": threshold}):
+            report = audit("t", stored, checks)
+            assert plan_of(report).split("\n\n")[0].count("Scan parquet") == 1
+            assert violations(report) == {
+                ("non_empty", ""): (0, True),
+                ("no_nulls", "k"): (200, False),
+                ("non_negative", "amount"): (4, False),
+                ("references", "k"): (1000 - stored.where("k IN (1, 2)").count(), False),
+                ("references", "tag"): (333, False),
+            }
+            both = audit("t", stored, [references("tag", nothing, "tag"), references("k", dim, "key")])
+            assert violations(both)["references", "tag"] == (1000, False)
+            empty = audit("t", stored.where("amount > 5000"), checks)
+            assert {v for v, _ in violations(empty).values()} == {0, 1}
+            assert violations(empty)["non_empty", ""] == (1, False)
+    # The same column against two dimensions: each has its own answer.
+    twice = audit("t", stored, [references("tag", tags, "tag"), references("tag", nothing, "tag"), non_empty()])
+    assert sorted(r.violations for r in twice.collect()) == [0, 333, 1000]
+
+
 def test_orphan_keys_with_counts(spark, dim):
     df = spark.sql("SELECT CAST(IF(id % 3 = 0, NULL, id % 4) AS INT) AS k FROM range(120)")
     got = {r.k: r.orphan_rows for r in orphans(df, dim, [("k", "key")]).collect()}
