@@ -175,13 +175,14 @@ class Model:
 
 def _by_class(classes: np.ndarray, n_classes: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows in the order of their class, and where each class but the last begins and ends."""
-    small = classes.astype(np.int16)
+    small = classes.astype(np.int16 if n_classes < 1 << 15 else np.int32)
     order = np.argsort(small, kind="stable")
     return order, np.searchsorted(small[order], np.arange(n_classes))
 
 
 def _normalised(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the shares of the chosen columns; scores stay far from what floats can hold."""
+    """Natural logarithms of the shares of the chosen columns, whatever the size of scores, which are used up."""
+    scores -= scores.max(axis=1, keepdims=True)
     own = scores[np.arange(len(scores)), chosen].astype(np.float64)
     np.exp(scores, out=scores)
     return own - np.log(scores @ np.ones(scores.shape[1], dtype=scores.dtype))
@@ -278,7 +279,7 @@ class Reader:
         flat = np.fromiter(map(self.number.get, chain.from_iterable(split), repeat(-1)), np.int64, int(ends[-1]))
         words = np.where((flat < 0) | (flat >= self.n_words), self.n_words, flat)
         place = np.arange(len(flat)) - np.repeat(np.append(0, ends[:-1]), np.diff(ends, prepend=0))
-        context = np.full((len(flat), CONTEXT), self.n_words + 1, dtype=np.int16)
+        context = np.full((len(flat), CONTEXT), self.n_words + 1, dtype=np.int32)
         for j in range(CONTEXT):
             context[j + 1 :, j] = words[: len(words) - j - 1]
             context[place <= j, j] = self.n_words + 1
