@@ -75,14 +75,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines seen as trips from the customer's nation to the supplier's."""
+    """Order lines seen as trips from the customer's nation to the supplier's.
+
+    Orders meet their customers first: where both are too large to broadcast, that shuffles the narrow orders once more
+    and not the lines, which are many and wide.
+    """
+    customers = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     price = units(F.col("l_extendedprice"), 2)
     share = units(F.col("l_discount"), 2)
     with_tax = units(1 + F.col("l_tax"), 2)
     return (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             F.col("l_suppkey").alias("VendorID"),
