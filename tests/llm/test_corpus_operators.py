@@ -30,6 +30,7 @@ from corpus_cases import (
     table,
 )
 from oracle_check import differences, duck
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from smeltery.llm import (
@@ -543,6 +544,40 @@ def test_signatures_match_a_plain_sampler(spark, texts):
             assert sum(got[j : j + 8] == want[j : j + 8] for j in range(0, 512, 8)) >= 63
 
 
+def _texts_and_edited(spark, texts):
+    rows = [(i, 0, t, texts[j]) for i, j, t in zip(texts, [*texts][1:], texts.values())]
+    rows += [(-1, None, "", PROSE), (-2, 0, PROSE, " ")]
+    return spark.createDataFrame(rows, "id long, hash long, text string, edited string")
+
+
+def test_draws_left_out_change_no_signature(spark, texts):
+    both = _texts_and_edited(spark, dict([*texts.items()][:60])).withColumn("size", F.length("text").cast("bigint"))
+    both = both.union(both.limit(5))
+
+    def made(reach):
+        rows = weighted_fingerprints.signatures(both, ["id", "hash"], ["size"], reach=reach).collect()
+        return sorted((r["id"], r["size"], r["signature"], r["edited_signature"]) for r in rows)
+
+    whole = weighted_fingerprints._drawn(both, ["id", "hash"], ["size"], 64, None).collect()
+    whole = sorted((r["id"], r["size"], r["signature"], r["edited_signature"]) for r in whole)
+    assert len(whole) == 61 and all(len(s) == 64 for r in whole for s in r[2:])
+    # So small a reach leaves nearly all texts open.
+    few = weighted_fingerprints._drawn(both, ["id", "hash"], ["size"], 64, 0.5)
+    assert few.where("open").count() > 40
+    assert made(0.5) == whole and made(5.0) == whole and made(weighted_fingerprints.REACH) == whole
+
+
+def test_the_bound_holds_and_leaves_most_draws_out(spark):
+    words = [f"w{i}" for i in range(3000) for _ in range(1 + (i % 97 == 0) * i)]
+    both = spark.createDataFrame([(1, " ".join(words), " ".join(words[:2000]))], "id long, text string, edited string")
+    every = weighted_fingerprints.draws(both, ["id"], [], 64, None)
+    for limit in (1e-4, 0.01, 0.3, 3.0):
+        above = every.where(weighted_fingerprints._above(F.lit(limit))).select(weighted_fingerprints._draw().alias("d"))
+        least, n = above.agg(F.min(F.shiftright("d", 32)), F.count("*")).first()
+        assert n == 0 or least >= math.floor(math.log(limit) * weighted_fingerprints._STEPS) - 2
+    assert weighted_fingerprints.draws(both, ["id"], [], 64, weighted_fingerprints.REACH).count() < 0.1 * every.count()
+
+
 def test_fingerprints_of_awkward_rows(awkward, nothing):
     rows = weighted_fingerprints.edited_likeness(awkward).collect()
     distinct = {(i, t or "") for i, t, _ in awkward_rows()}
